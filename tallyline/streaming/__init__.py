@@ -1,0 +1,5 @@
+"""Left empty on purpose: the workload this library serves is batch only.
+
+Late rows are handled by the update window of the upsert
+(``tallyline.functions.predicates.recent``).
+"""
