@@ -56,4 +56,4 @@ def reprocess_days(as_of, start_load=None) -> int:
 
 
 def _field(side: str, name: str) -> Column:
-    return F.col(side)[name]
+    return F.col(f"{side}.`{name}`")

@@ -15,13 +15,17 @@ def clean_rates(
     date: str,
     value: str,
     pattern: str = "yyyy-MM-dd",
+    keep: tuple[str, ...] = ("ymd",),
 ) -> DataFrame:
-    """Text rates to (rate_type, rate_date date, rate_value double); bad text becomes null."""
+    """Text rates to (rate_type, rate_date date, rate_value double); bad text becomes null.
+
+    Columns in ``keep`` are passed on.
+    """
     return raw.select(
         F.col(rate_type).alias("rate_type"),
         lenient_date(date, pattern).alias("rate_date"),
         lenient_double(value).alias("rate_value"),
-        *[c for c in raw.columns if c == "ymd"],
+        *[c for c in keep if c in raw.columns],
     )
 
 

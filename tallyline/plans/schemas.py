@@ -6,7 +6,21 @@ An ``!`` marks a column that must not be null.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+TYPES = {
+    "string": StringType(), "double": DoubleType(), "int": IntegerType(), "long": LongType(), "date": DateType(),
+    "boolean": BooleanType(),
+}
 
 
 def declare(text: str) -> StructType:
@@ -14,8 +28,7 @@ def declare(text: str) -> StructType:
     fields = []
     for part in text.split(","):
         name, kind = part.split()
-        parsed = StructType.fromDDL(f"{name} {kind.rstrip('!')}")[0]
-        fields.append(StructField(name, parsed.dataType, nullable=not kind.endswith("!")))
+        fields.append(StructField(name, TYPES[kind.rstrip("!")], nullable=not kind.endswith("!")))
     return StructType(fields)
 
 

@@ -23,4 +23,4 @@ def broadcast_limit(spark: SparkSession) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """True if the optimizer's size estimate of ``df`` is under the broadcast threshold."""
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate.toString()) <= broadcast_limit(df.sparkSession)
+    return int(str(estimate)) <= broadcast_limit(df.sparkSession)
