@@ -30,23 +30,22 @@ def merge(
     """
     condition = F.lit(True) if update_when is None else update_when
     condition = F.expr(condition) if isinstance(condition, str) else condition
-    paired = pair_rows(old, checked_source(new, keys), keys, strategy).withColumn(
-        ACTION,
-        F.when(only_new(), INSERT).when(matched() & F.coalesce(condition, F.lit(False)), UPDATE).otherwise(KEEP),
-    )
-    taken = F.col(ACTION) != KEEP
+    action = F.when(only_new(), INSERT).when(matched() & F.coalesce(condition, F.lit(False)), UPDATE).otherwise(KEEP)
     old_types = {f.name: f.dataType for f in old.schema}
+    names = old.columns + [c for c in new.columns if c not in old_types]
 
     def value(name: str) -> Column:
         if name not in new.columns:
-            return F.col("old")[name]
-        incoming = F.col("new")[name]
+            return F.col(f"old.`{name}`")
+        taken, incoming = F.col(ACTION) != KEEP, F.col(f"new.`{name}`")
         if name not in old_types:
             return F.when(taken, incoming)
-        return F.when(taken, incoming.cast(old_types[name])).otherwise(F.col("old")[name])
+        return F.when(taken, incoming.cast(old_types[name])).otherwise(F.col(f"old.`{name}`"))
 
-    names = old.columns + [c for c in new.columns if c not in old_types]
-    return paired.select(*[value(c).alias(c) for c in names], ACTION)
+    def table_row(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn(ACTION, action).select(*[value(c).alias(c) for c in names], ACTION)
+
+    return pair_rows(old, checked_source(new, keys), keys, table_row, strategy)
 
 
 def merge_metrics(merged: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,11 +14,11 @@ from tallyline.settings import fits_broadcast
 
 
 def matched() -> Column:
-    return F.col("_in_old") & F.col("_in_new")
+    return F.col("_in_old").isNotNull() & F.col("_in_new").isNotNull()
 
 
 def only_new() -> Column:
-    return ~F.col("_in_old") & F.col("_in_new")
+    return F.col("_in_old").isNull()
 
 
 def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,22 +28,28 @@ def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     scalar over key counts that combine before the shuffle, so even a key that repeats in
     much of a bad source is found without being gathered in one task.
     """
-    null_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    worst = counts.agg(F.max(F.when(null_key, 2).when(F.col("_rows") > 1, 1).otherwise(0))).scalar()
+    fault = F.when(_null_key(keys), 2).when(F.col("_rows") > 1, 1).otherwise(0)
+    worst = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max(fault).alias("_worst"))
     sound = (
-        F.when(worst == 2, F.raise_error(F.lit("null key in the source")).cast("boolean"))
-        .when(worst == 1, F.raise_error(F.lit("more than one source row for a key")).cast("boolean"))
+        F.when(F.col("_worst") == 2, F.raise_error(F.lit("null key in the source")).cast("boolean"))
+        .when(F.col("_worst") == 1, F.raise_error(F.lit("more than one source row for a key")).cast("boolean"))
         .otherwise(F.lit(True))
     )
-    return source.where(sound)
+    return source.where(worst.select(sound).scalar())
 
 
-def pair_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], strategy: str = "auto") -> DataFrame:
-    """Every row of both sides, matched on ``keys``.
+def pair_rows(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    select: Callable[[DataFrame], DataFrame],
+    strategy: str = "auto",
+) -> DataFrame:
+    """``select`` of every row of both sides, matched on ``keys``.
 
-    Columns: structs ``old`` and ``new``, and flags ``_in_old`` and ``_in_new``. Null keys
-    match nothing. Strategies, equal in result:
+    What ``select`` is given has the columns of both sides, as ``old.<column>`` and
+    ``new.<column>``, null for a side without a match. Null keys match nothing. Strategies,
+    equal in result:
 
     * ``shuffle``: one full outer join. Table rows with a null key go round it, since they
       would all meet in one task.
@@ -56,49 +62,36 @@ def pair_rows(old: DataFrame, new: DataFrame, keys: Sequence[str], strategy: str
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "auto":
         strategy = "probe" if fits_broadcast(new) else "shuffle"
-    return (_probe if strategy == "probe" else _shuffle)(old, new, list(keys))
+    pairs = (_probe if strategy == "probe" else _shuffle)(old, new, list(keys))
+    return reduce(DataFrame.unionByName, [select(p) for p in pairs])
 
 
-def _shuffle(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    null_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    left, right = _marked(old.where(~null_key), "old"), _marked(new, "new")
-    paired = left.join(right, keys_equal(keys), "full_outer")
-    return _structs(paired, old, new).unionByName(_one_sided(old.where(null_key), old, new, "old"))
+def _shuffle(old: DataFrame, new: DataFrame, keys: list[str]) -> list[DataFrame]:
+    on = keys_equal(keys)
+    return [
+        _side(old.where(~_null_key(keys)), "old").join(_side(new, "new"), on, "full_outer"),
+        _side(old.where(_null_key(keys)), "old").join(_side(_none(new), "new"), on, "left_outer"),
+    ]
 
 
-def _probe(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    matched_or_old = _marked(old, "old").join(_marked(new, "new"), keys_equal(keys), "left_outer")
+def _probe(old: DataFrame, new: DataFrame, keys: list[str]) -> list[DataFrame]:
+    on = keys_equal(keys)
     matched_keys = old.select(*keys).join(new.select(*keys), keys, "left_semi").distinct()
     unmatched = new.join(matched_keys, keys, "left_anti")
-    return _structs(matched_or_old, old, new).unionByName(_one_sided(unmatched, old, new, "new"))
+    return [
+        _side(old, "old").join(_side(new, "new"), on, "left_outer"),
+        _side(unmatched, "new").join(_side(_none(old), "old"), on, "left_outer"),
+    ]
 
 
-def _marked(df: DataFrame, side: str) -> DataFrame:
-    return df.withColumn(f"_in_{side}", F.lit(True)).alias(side)
+def _side(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(f"_in_{name}", F.lit(True)).alias(name)
 
 
-def _structs(paired: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
-    def flag(side: str) -> Column:
-        return F.coalesce(F.col(f"{side}._in_{side}"), F.lit(False)).alias(f"_in_{side}")
+def _none(df: DataFrame) -> DataFrame:
+    """No rows: Catalyst folds an outer join with it into null columns."""
+    return df.where(F.lit(False))
 
-    return paired.select(_struct(old, "old"), _struct(new, "new"), flag("old"), flag("new"))
 
-
-def _one_sided(df: DataFrame, old: DataFrame, new: DataFrame, side: str) -> DataFrame:
-    def half(frame: DataFrame, name: str) -> Column:
-        if name == side:
-            return _struct(frame, None).alias(name)
-        return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema]).alias(name)
-
-    return df.select(
-        half(old, "old"),
-        half(new, "new"),
-        F.lit(side == "old").alias("_in_old"),
-        F.lit(side == "new").alias("_in_new"),
-    )
-
-
-def _struct(frame: DataFrame, side: str | None) -> Column:
-    prefix = f"{side}." if side else ""
-    packed = F.struct(*[F.col(f"{prefix}`{c}`").alias(c) for c in frame.columns])
-    return packed.alias(side) if side else packed
+def _null_key(keys: Sequence[str]) -> Column:
+    return reduce(operator.or_, [F.col(k).isNull() for k in keys])

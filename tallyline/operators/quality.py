@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructType
+from pyspark.sql.types import DoubleType, LongType, NumericType, StringType, StructType
 
 from tallyline.functions.dates import as_date, invalid_date
+from tallyline.functions.numbers import lenient_double
 
 
 class DataQualityError(Exception):
@@ -49,10 +50,13 @@ def invalid_date_counts(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame
 def quality_report(df: DataFrame, schema: StructType) -> DataFrame:
     """One row: check_header, has_negatives, has_nulls, check_dtypes and the verdict is_valid.
 
-    Negatives are looked for in double and long columns, nulls in the non-nullable ones.
+    Negatives are looked for in double and long columns, nulls in the non-nullable ones. A
+    number that came as text is read leniently here; its type is what fails the table.
     """
     present = [f for f in schema if f.name in df.columns]
-    negative = [F.col(f.name) < 0 for f in present if isinstance(f.dataType, (DoubleType, LongType))]
+    numbers = [f.name for f in present if isinstance(f.dataType, (DoubleType, LongType))]
+    readable = [n for n in numbers if isinstance(df.schema[n].dataType, (NumericType, StringType))]
+    negative = [lenient_double(n) < 0 for n in readable]
     null = [F.col(f.name).isNull() for f in present if not f.nullable]
     verdict = F.col("check_header") & ~F.col("has_negatives") & ~F.col("has_nulls") & F.col("check_dtypes")
     return df.agg(

@@ -37,22 +37,28 @@ def apply_snapshot(
     ``_action`` tells kept rows from closed ("update") and opened ("insert") ones.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    types = {f.name: f.dataType for f in history.schema}
     business = [c for c in history.columns if c not in (END, CURRENT)]
-    columns = business + [END, CURRENT]
     changed = matched() & differs(business, exclude=keys, null_safe=null_safe)
-    closing = (as_of - F.expr("INTERVAL 1 DAY")).cast(history.schema[END].dataType)
+    closing = (as_of - F.expr("INTERVAL 1 DAY")).cast(types[END])
+    actions = (
+        F.when(changed, F.array(F.lit(UPDATE), F.lit(INSERT)))
+        .when(only_new(), F.array(F.lit(INSERT)))
+        .otherwise(F.array(F.lit(KEEP)))
+    )
 
-    def version(side: str, end: Column, current: bool, action: str) -> Column:
-        values = [F.col(side)[c].cast(history.schema[c].dataType).alias(c) for c in business]
-        ending = end.cast(history.schema[END].dataType).alias(END)
-        return F.struct(*values, ending, F.lit(current).alias(CURRENT), F.lit(action).alias(ACTION))
+    def versions(pairs: DataFrame) -> DataFrame:
+        action = F.col(ACTION)
+        values = [
+            F.when(action == INSERT, F.col(f"new.`{c}`").cast(types[c])).otherwise(F.col(f"old.`{c}`")).alias(c)
+            for c in business
+        ]
+        end = F.when(action == UPDATE, closing).when(action == KEEP, F.col(f"old.`{END}`")).alias(END)
+        return pairs.withColumn(ACTION, F.explode(actions)).select(
+            *values, end, (action != UPDATE).alias(CURRENT), ACTION
+        )
 
-    opened = version("new", F.lit(None), True, INSERT)
-    closed = version("old", closing, False, UPDATE)
-    kept = version("old", F.col("old")[END], True, KEEP)
     current, past = history.where(F.col(CURRENT)), history.where(~F.coalesce(F.col(CURRENT), F.lit(False)))
     source = checked_source(snapshot.select(*business), keys)
-    versions = pair_rows(current.select(*columns), source, keys, strategy).select(
-        F.inline(F.when(changed, F.array(closed, opened)).when(only_new(), F.array(opened)).otherwise(F.array(kept)))
-    )
-    return past.select(*columns, F.lit(KEEP).alias(ACTION)).unionByName(versions)
+    compared = pair_rows(current, source, keys, versions, strategy)
+    return past.select(*business, END, CURRENT, F.lit(KEEP).alias(ACTION)).unionByName(compared)

@@ -43,7 +43,7 @@ def change(period: str, base: str, percent_base: str) -> list[str]:
     ]
 
 
-ZSCORE = "round((vl_close - avg(vl_close) OVER so_far) / NULLIF(stddev_samp(vl_close) OVER so_far, 0), 4) AS z_score"
+ZSCORE = "round((vl_close - avg(vl_close) OVER so_far) / NULLIF(stddev_samp(vl_close) OVER so_far, 0), 4) + 0.0 AS z_score"
 CHANGE_DAY = change("day", "lag(vl_close, 1) OVER w", "lag(vl_close, 1) OVER w")
 CHANGE_WEEK = change("week", "lag(vl_close, 5) OVER w", "lag(vl_close, 5) OVER w")
 CHANGE_MONTH = change("month", "first_value(vl_close) OVER m", "lag(vl_close, 1) OVER m")
@@ -380,7 +380,7 @@ ORACLES: dict[str, str] = {
     "q_month_summary": with_(SALES, BARS, KPIS, MONTHS) + "SELECT * FROM month_rows",
     "q_month_kpis": with_(SALES, BARS, KPIS, MONTHS, MONTH_BASES)
     + f"""SELECT * EXCLUDE (mean, deviation),
-         CASE WHEN deviation IS NULL THEN 0.0::DOUBLE ELSE round((vl_close - mean) / NULLIF(deviation, 0), 4) END AS z_score,
+         CASE WHEN deviation IS NULL THEN 0.0::DOUBLE ELSE round((vl_close - mean) / NULLIF(deviation, 0), 4) + 0.0 END AS z_score,
          {MONTH_CHANGE} AS vl_change_month,
          {rnd(f'100 * {MONTH_CHANGE} / NULLIF(vl_previous_month, 0)', 2)} AS perc_change_month,
          {YEAR_CHANGE} AS vl_change_year,

@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.sources import landed, tables
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_path():
+    assert tables.table_path("s3://b/", "RAW", "Prices") == "s3://b/raw/prices"
+    assert tables.table_path("/w", "raw", "prices", "x") == "/w/raw/prices/x"
+
+
+def test_read_prunes_partitions_and_pushes_filters(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "b", "y")], "k int, p string, v string").write.partitionBy("p").parquet(path)
+    df = tables.read_table(spark, path, "p = 'b' AND v = 'x'").select("k")
+    assert rows(df) == [(2,)]
+    text = plan(df)
+    assert "PartitionFilters: [isnotnull(p" in text and "EqualTo(v,x)" in text and "ReadSchema: struct<k:int,v:string>" in text
+    assert tables.read_table(spark, path).count() == 3
+
+
+def test_exists_and_empty(spark, tmp_path):
+    assert not tables.table_exists(spark, str(tmp_path / "none"))
+    empty = tables.empty_table(spark, "a int, b string")
+    assert empty.columns == ["a", "b"] and empty.isEmpty()
+
+
+def test_find(spark, rows):
+    df = spark.range(3000).withColumn("v", -F.col("id"))
+    assert tables.find(df).count() == tables.DEFAULT_FIND_LIMIT
+    assert tables.find(df, "id < 2500").count() == 2500
+    assert rows(tables.find(df, "id < 10", limit=2, order=["v"]), "id") == [(8,), (9,)]
+    assert tables.find(df, limit=1, order=["id"]).first().id == 0
+
+
+def test_fallback_to_the_newest_partition(spark, rows):
+    earlier = spark.createDataFrame([(1, "20240101"), (2, "20240201"), (3, "20240201")], "k int, ymd string")
+    none, some = earlier.where("k > 9"), spark.createDataFrame([(7, "20240301")], "k int, ymd string")
+    assert rows(tables.or_latest_partition(none, earlier), "k") == [(2,), (3,)]
+    assert rows(tables.or_latest_partition(some, earlier), "k") == [(7,)]
+
+
+def test_high_water_mark(spark, rows):
+    loaded = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 2, 1),)], "rate_date date")
+    assert tables.high_water_mark(loaded, "rate_date").first()[0] == date(2024, 2, 1)
+    empty = loaded.where(F.lit(False))
+    assert tables.high_water_mark(empty, "rate_date").first()[0] == date(2013, 1, 1)
+    feed = spark.createDataFrame([(date(2024, 1, 31),), (date(2024, 2, 1),), (date(2024, 2, 2),)], "rate_date date")
+    got = rows(tables.since(feed, "rate_date", tables.high_water_mark(loaded, "rate_date")))
+    assert got == [(date(2024, 2, 1),), (date(2024, 2, 2),)]
+
+
+def test_json_rates(spark, tmp_path, rows):
+    content = [{"data": "05/03/2024", "valor": "10.5"}, {"data": "06/03/2024", "valor": "10.6", "extra": 1}]
+    (tmp_path / "a.json").write_text(json.dumps(content))
+    got = landed.json_rates(spark, str(tmp_path), "SELIC", "20240307")
+    assert got.columns == ["tipo", "data", "valor", "ymd"]
+    assert rows(got) == [("SELIC", "05/03/2024", "10.5", "20240307"), ("SELIC", "06/03/2024", "10.6", "20240307")]
+    held = spark.createDataFrame([(json.dumps(content),)], "payload string")
+    assert rows(landed.json_rates_in(held, "payload", F.lit("SELIC"), "20240307")) == rows(got)
+
+
+def test_xml_rates(spark, tmp_path, rows):
+    rate = "<rate type='x'><effectiveDate>{}</effectiveDate><percentRate>{}</percentRate><note>n</note></rate>"
+    body = "".join(rate.format(d, p) for d, p in (("2024-03-05", "5.33"), ("2024-03-04", "5.31")))
+    (tmp_path / "a.xml").write_text(f"<?xml version='1.0'?><feed><rates>{body}</rates></feed>")
+    got = landed.xml_rates(spark, str(tmp_path), "EFFR", "20240307")
+    assert got.columns == ["typeRate", "effectiveDate", "percentRate", "ymd"]
+    assert rows(got) == [("EFFR", "2024-03-04", "5.31", "20240307"), ("EFFR", "2024-03-05", "5.33", "20240307")]
+    held = spark.createDataFrame([(rate.format("2024-03-05", "5.33"),)], "payload string")
+    assert rows(landed.xml_rates_in(held, "payload", F.lit("EFFR"), "20240307")) == [("EFFR", "2024-03-05", "5.33", "20240307")]
+
+
+def test_documents(spark, tmp_path, rows):
+    docs = [{"_id": "1", "Ticker": "A", "Name": "x"}, {"_id": "2", "Ticker": None}, {"_id": "3"}]
+    (tmp_path / "d.json").write_text("\n".join(json.dumps(d) for d in docs))
+    got = landed.documents(spark, str(tmp_path), "_id string, Ticker string, Name string", "Ticker", "20240307")
+    assert rows(got) == [("1", "A", "x", "20240307")]
+
+
+def test_profiles(spark, rows):
+    records = spark.createDataFrame(
+        [("A", "x", [("n",)]), ("A", "x", [("m",)]), ("B", "y", None)],
+        "ticker string, name string, companyOfficers array<struct<n:string>>",
+    )
+    assert rows(landed.flatten_profiles(records, "20240307")) == [("A", "x", "20240307"), ("B", "y", "20240307")]
+
+
+@pytest.fixture
+def portfolios(spark):
+    return spark.createDataFrame(
+        [
+            ("p1", [("MSFT", "Stock", date(2024, 1, 2)), ("SPY", "ETF", date(2024, 1, 1))]),
+            ("p2", [("MSFT", "Stock", date(2023, 1, 2)), ("AAPL", "Stock", date(2024, 5, 5))]),
+            (None, [("GHOST", "Stock", date(2020, 1, 1))]),
+            ("p3", []),
+        ],
+        "_id string, stocks array<struct<ticker:string,type:string,inserted_date:date>>",
+    )
+
+
+def test_wallet_tickers(portfolios):
+    got = [tuple(r) for r in landed.wallet_tickers(portfolios).collect()]
+    assert got == [("MSFT", date(2023, 1, 2), 2), ("SPY", date(2024, 1, 1), 1), ("AAPL", date(2024, 5, 5), 1)]
+    assert landed.first_ticker(landed.wallet_tickers(portfolios)).first()[0] == "AAPL"
+
+
+def test_wallet_tickers_by_type(portfolios):
+    stocks = landed.wallet_tickers(portfolios, "stocks.type = 'Stock' AND _id IS NOT NULL")
+    assert [r.ticker for r in stocks.collect()] == ["MSFT", "AAPL"]
+    etfs = landed.wallet_tickers(portfolios, F.col("stocks.type").isin("ETF", "Index"))
+    assert [r.ticker for r in etfs.collect()] == ["SPY"]
