@@ -48,11 +48,17 @@ PRICES = Series()
 
 
 def checked_series(prices: DataFrame, s: Series = PRICES) -> DataFrame:
-    """The same rows; fails at run time on a second row for the same ticker and day."""
+    """The same rows, dated by dates; fails at run time on a second row for one ticker and day.
+
+    The check rides on the close, which every indicator reads, and looks one row back in the
+    windows' own order: it costs no further sort or shuffle.
+    """
+    dated = prices.withColumn(s.date, F.col(s.date).cast("date"))
     repeated = F.lag(s.date).over(s.by_date) == F.col(s.date)
-    message = F.concat(F.lit("more than one price row for "), F.col(s.ticker), F.lit(" on "), F.col(s.date).cast("string"))
-    guarded = F.when(repeated, F.raise_error(message).cast("date")).otherwise(F.col(s.date).cast("date"))
-    return prices.withColumn(s.date, guarded)
+    message = F.concat(
+        F.lit("more than one price row for "), F.col(s.ticker), F.lit(" on "), F.col(s.date).cast("string")
+    )
+    return dated.withColumn(s.close, F.when(repeated, F.raise_error(message).cast("double")).otherwise(s.value))
 
 
 def with_zscore(prices: DataFrame, s: Series = PRICES) -> DataFrame:
@@ -88,9 +94,12 @@ def with_moving_averages(prices: DataFrame, s: Series = PRICES) -> DataFrame:
 
 
 def daily_kpis(prices: DataFrame, s: Series = PRICES) -> DataFrame:
-    """Every daily indicator, computed from the exact close; prices are rounded last."""
+    """Every daily indicator, computed from the exact close; prices are rounded last.
+
+    The month's windows come last: the others share one sort, they need their own.
+    """
     series = checked_series(prices, s)
-    for step in (with_zscore, with_change_day, with_change_week, with_change_month, with_moving_averages):
+    for step in (with_zscore, with_change_day, with_change_week, with_moving_averages, with_change_month):
         series = step(series, s)
     rounded = ["vl_open", "vl_high", "vl_low", s.close]
     return series.withColumns({c: F.round(c, 2) for c in rounded if c in prices.columns})
@@ -111,6 +120,9 @@ def latest_rows(df: DataFrame, key: str = "ticker", date: str = "price_date") ->
 
 def _with_change(prices: DataFrame, period: str, base: Column, percent_base: Column, s: Series) -> DataFrame:
     value, share = f"vl_change_{period}", f"perc_change_{period}"
-    return prices.withColumn(value, F.round(s.value - base, 2)).withColumn(
-        share, percent(F.col(value), percent_base)
+    based = prices.withColumns({"_base": base, "_percent_base": percent_base})
+    return (
+        based.withColumn(value, F.round(s.value - F.col("_base"), 2))
+        .withColumn(share, percent(F.col(value), F.col("_percent_base")))
+        .drop("_base", "_percent_base")
     )

@@ -40,7 +40,8 @@ class Tables:
 
 
 def cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("long")
+    """Whole cents of a two-decimal amount; ``rint`` stays in primitive doubles, ``round`` does not."""
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def day(column: str) -> Column:
@@ -59,8 +60,8 @@ def bars(t: Tables) -> DataFrame:
     The order of a day's sales is one exact number, not a struct, so that the aggregate keeps
     a fixed-width buffer: it hashes, combines before the shuffle, and never sorts the sales.
     """
-    digits = "decimal(20,0)"
-    order = (F.col("l_orderkey").cast(digits) * 1000 + F.col("l_linenumber")) * 10**12 + F.col("c").cast(digits)
+    line = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
+    order = line.cast("decimal(19,0)") * F.lit(10**12) + F.col("c").cast("decimal(12,0)")
     ticks = sales(t).select(
         "ticker",
         day("l_shipdate").alias("price_date"),
@@ -99,24 +100,25 @@ def prices_wide(t: Tables) -> DataFrame:
     return wide.withColumnsRenamed({"price_date": "Date", **names})
 
 
-def statement_wide(t: Tables, lines: dict[str, Column], quarterly: bool) -> DataFrame:
-    """One row per (brand, line), one column per report date; ``lines`` are conditions on sales."""
-    dates = QUARTER_DATES if quarterly else ANNUAL_DATES
-    unit = "quarter" if quarterly else "year"
-    period_end = F.date_sub(F.add_months(F.trunc("ship", unit), 3 if quarterly else 12), 1).cast("string")
-    totals = (
+def statement_totals(t: Tables, lines: dict[str, Column]) -> DataFrame:
+    """Cents per brand and quarter, one column per statement line; ``lines`` are conditions on sales."""
+    quarter_end = F.date_sub(F.add_months(F.trunc("ship", "quarter"), 3), 1)
+    return (
         sales(t)
         .select("ticker", day("l_shipdate").alias("ship"), cents("l_extendedprice").alias("c"),
                 "l_returnflag", "l_linestatus")
-        .groupBy("ticker", period_end.alias("report_date"))
+        .groupBy("ticker", quarter_end.alias("quarter_end"))
         .agg(*[F.sum(F.when(condition, F.col("c"))).alias(name) for name, condition in lines.items()])
     )
-    known = F.when(F.col("report_date").isin(dates), F.col("report_date")).otherwise(
-        F.raise_error(F.lit("unlisted report date")).cast("string")
-    )
+
+
+def statement_wide(quarters: DataFrame, lines: list[str], report_date: Column, dates: list[str]) -> DataFrame:
+    """One row per (brand, line), one column per report date."""
+    text = report_date.cast("string")
+    known = F.when(text.isin(dates), text).otherwise(F.raise_error(F.lit("unlisted report date")).cast("string"))
+    totals = quarters.groupBy("ticker", known.alias("report_date")).agg(*[F.sum(c).alias(c) for c in lines])
     return (
-        totals.withColumn("report_date", known)
-        .unpivot(["ticker", "report_date"], list(lines), "Description", "cell")
+        totals.unpivot(["ticker", "report_date"], lines, "Description", "cell")
         .groupBy(F.col("ticker").alias("Ticker"), "Description")
         .pivot("report_date", dates)
         .agg(F.first("cell"))
@@ -128,7 +130,12 @@ def statement_raw(t: Tables, kind: str) -> DataFrame:
         "income": {"Total Revenue": F.lit(True), "Net Income": F.col("l_returnflag") != "R"},
         "balance": {"Total Assets": F.lit(True), "Total Liabilities Net Minority Interest": F.col("l_linestatus") == "O"},
     }[kind]
-    return raw_statement(statement_wide(t, lines, False), statement_wide(t, lines, True), YMD)
+    # Years are summed from the quarters, so the sales are read and shuffled once for both.
+    quarters = statement_totals(t, lines)
+    year_end = F.make_date(F.year("quarter_end"), F.lit(12), F.lit(31))
+    annual = statement_wide(quarters, list(lines), year_end, ANNUAL_DATES)
+    quarterly = statement_wide(quarters, list(lines), F.col("quarter_end"), QUARTER_DATES)
+    return raw_statement(annual, quarterly, YMD)
 
 
 def income(t: Tables) -> DataFrame:

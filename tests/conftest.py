@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "catalog"))
-        .config("spark.checkpoint.dir", str(base / "checkpoints"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

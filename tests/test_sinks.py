@@ -93,17 +93,17 @@ def test_new_column(spark, path, rows):
     assert rows(read_table(spark, path), "k", "v", "extra") == [(1, 8, None), (2, 9, "x")]
 
 
-def staged_tables(spark):
-    """Folders of staged tables, in the shared folder the session names."""
-    root = spark.conf.get("spark.checkpoint.dir")
+def staged_tables(spark, path):
+    """Folders of staged tables, in the shared folder the session names if it does."""
+    root = settings.shared_dir(spark, f"{path}__staging")
     return {f"{root}/{d}" for d in os.listdir(root) if d.startswith("staged-")} if os.path.isdir(root) else set()
 
 
 def test_staged_rows_are_removed_once_published_and_kept_on_failure(spark, path, monkeypatch):
     sinks.upsert(frame(spark, (1, "a", 1)), path, ["k"], CHANGED, "p")
-    before = staged_tables(spark)
+    before = staged_tables(spark, path)
     sinks.upsert(frame(spark, (1, "a", 2)), path, ["k"], CHANGED, "p")
-    assert staged_tables(spark) == before
+    assert staged_tables(spark, path) == before
 
     def fail(*_):
         raise RuntimeError("driver lost")
@@ -111,7 +111,7 @@ def test_staged_rows_are_removed_once_published_and_kept_on_failure(spark, path,
     monkeypatch.setattr(sinks, "_publish", fail)
     with pytest.raises(RuntimeError):
         sinks.upsert(frame(spark, (1, "a", 3)), path, ["k"], CHANGED, "p")
-    [staged] = staged_tables(spark) - before
+    [staged] = staged_tables(spark, path) - before
     assert spark.read.parquet(staged).select("v").first().v == 3
     assert spark.read.parquet(path).select("v").first().v == 2
 
