@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +28,15 @@ def register_tables(spark: SparkSession, database: str, locations: Mapping[str,
             spark.catalog.recoverPartitions(f"{database}.{table}")
 
 
+def register_rate_views(spark: SparkSession, database: str, rate_types: Sequence[str]) -> None:
+    """One view per rate type, named after it, over the table of all rates."""
+    for rate_type in rate_types:
+        spark.sql(
+            f"CREATE OR REPLACE VIEW `{database}`.`{rate_type.lower()}` AS "
+            f"SELECT * FROM `{database}`.interest_rate WHERE rate_type = '{rate_type}'"
+        )
+
+
 def show_databases(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW DATABASES")
 

@@ -15,20 +15,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tallyline.operators import scd2
-from tallyline.operators.merge import ACTION, KEEP, delete_where, merge, merge_metrics
+from tallyline.operators.merge import ACTION, INSERT, UPDATE, delete_where, merge, merge_metrics
 from tallyline.operators.pairing import checked_source
 from tallyline.settings import shared_dir
-from tallyline.sources.tables import read_table, table_exists
+from tallyline.sources.tables import read_table
 
 # Past this many partition values a change is not narrowed to partitions: the whole table is
 # rewritten. It bounds what the driver holds, not what is written.
 MAX_LISTED_PARTITIONS = 10_000
 FROM = "_from_partition"
+WHOLE = "staged-whole-"
 
 
 @dataclass(frozen=True)
@@ -70,14 +72,16 @@ def upsert(
     with a changed row are written. ``schema`` is the table's, to save merging file footers.
     """
     spark = new.sparkSession
-    if not table_exists(spark, path):
-        return _create(checked_source(new, keys), path, partition)
     old = _open(spark, path, new, partition, schema)
+    if old is None:
+        return _create(checked_source(new, keys), path, partition)
     touched = _touched(old, new, keys, partition)
     target = _within(old, partition, touched)
     if partition:
         target = target.withColumn(FROM, F.col(partition))
-    return _commit(spark, merge(target, new, keys, update_when), old, path, partition)
+    merged = merge(target, new, keys, update_when)
+    with _Staged(spark, merged, path, whole=touched is None) as staged:
+        return _finish(staged, old, path, partition, whole=touched is None)
 
 
 def upsert_versions(
@@ -91,13 +95,14 @@ def upsert_versions(
 ) -> Commit:
     """Creates a versioned dimension from a snapshot, or applies the snapshot to it."""
     spark = snapshot.sparkSession
-    if not table_exists(spark, path):
-        return _create(scd2.first_version(checked_source(snapshot, keys)), path, partition)
     history = _open(spark, path, snapshot, partition, schema)
+    if history is None:
+        return _create(scd2.first_version(checked_source(snapshot, keys)), path, partition)
     touched = _touched(history.where(F.col(scd2.CURRENT)), snapshot, keys, partition)
     target = _within(history, partition, touched)
     versions = scd2.apply_snapshot(target, snapshot, keys, as_of, null_safe=null_safe)
-    return _commit(spark, versions, history, path, partition)
+    with _Staged(spark, versions, path, whole=touched is None) as staged:
+        return _finish(staged, history, path, partition, whole=touched is None)
 
 
 def delete(spark: SparkSession, path: str, condition: Column | str, partition: str | None = None) -> Commit:
@@ -109,11 +114,19 @@ def delete(spark: SparkSession, path: str, condition: Column | str, partition: s
     deleted = gone.count()
     if deleted:
         target = _within(old, partition, touched)
-        with _Staged(spark, delete_where(target, condition), path) as rest:
-            _publish(rest, old, path, partition, touched)
+        with _Staged(spark, delete_where(target, condition), path, whole=touched is None) as rest:
+            if touched is None:
+                write_table(rest, path, partition, "overwrite", partitionOverwriteMode="static")
+            else:
+                _publish(rest, old, path, partition, touched, _values(rest, [partition]))
     return Commit(path, deleted=deleted)
 
 
+def republish(spark: SparkSession, staged: str, path: str, partition: str | None = None) -> Commit:
+    """Publishes a staged table that an interrupted upsert left behind; safe to repeat."""
+    return _finish(spark.read.parquet(staged), read_table(spark, path), path, partition, whole=WHOLE in staged)
+
+
 def _create(rows: DataFrame, path: str, partition: str | None) -> Commit:
     written = Observation()
     write_table(rows.observe(written, F.count(F.lit(1)).alias("rows")), path, partition)
@@ -122,9 +135,12 @@ def _create(rows: DataFrame, path: str, partition: str | None) -> Commit:
 
 def _open(
     spark: SparkSession, path: str, like: DataFrame, partition: str | None, schema: StructType | None
-) -> DataFrame:
+) -> DataFrame | None:
     """The table, with its partition column in the type the source has and not a guessed one."""
-    found = schema or read_table(spark, path).schema
+    try:
+        found = read_table(spark, path, schema=schema).schema
+    except AnalysisException:  # no such path, or nothing written there yet
+        return None
     declared = {f.name: f.dataType for f in like.schema if f.name == partition}
     fields = [StructField(f.name, declared.get(f.name, f.dataType), f.nullable) for f in found]
     return read_table(spark, path, schema=StructType(fields))
@@ -158,9 +174,9 @@ def _within(df: DataFrame, partition: str | None, values: list | None) -> DataFr
 class _Staged:
     """Rows written to a folder of their own in shared storage, removed once published."""
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, table: str):
+    def __init__(self, spark: SparkSession, rows: DataFrame, table: str, whole: bool):
         root = shared_dir(spark, f"{table.rstrip('/')}__staging")
-        self.spark, self.rows, self.path = spark, rows, f"{root}/staged-{uuid.uuid4()}"
+        self.spark, self.rows, self.path = spark, rows, f"{root}/{WHOLE if whole else 'staged-'}{uuid.uuid4()}"
 
     def __enter__(self) -> DataFrame:
         self.rows.write.parquet(self.path)
@@ -172,25 +188,31 @@ class _Staged:
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _commit(spark: SparkSession, merged: DataFrame, old: DataFrame, path: str, partition: str | None) -> Commit:
-    with _Staged(spark, merged, path) as staged:
+def _finish(staged: DataFrame, old: DataFrame, path: str, partition: str | None, whole: bool) -> Commit:
+    """Publishes merged rows: all of them if they are the whole table, else the changed partitions."""
+    if whole:
         counts = merge_metrics(staged).first()
         if counts["inserted"] or counts["updated"]:
-            changed = None
-            if partition:
-                moved = [c for c in (partition, FROM) if c in staged.columns]
-                changed = _values(staged.where(F.col(ACTION) != KEEP), moved)
-            _publish(_within(staged, partition, changed).drop(ACTION, FROM), old, path, partition, changed)
-    return Commit(path, counts["inserted"], counts["updated"])
-
-
-def _publish(rows: DataFrame, old: DataFrame, path: str, partition: str | None, changed: list | None) -> None:
-    """Writes staged rows over the changed partitions, or over the whole table."""
-    if partition is None or changed is None:
-        write_table(rows, path, partition, "overwrite", partitionOverwriteMode="static")
-        return
-    left = _within(rows, partition, changed).select(partition).distinct().collect()
-    emptied = set(changed) - {r[partition] for r in left}
+            rows = staged.drop(ACTION, FROM)
+            write_table(rows, path, partition, "overwrite", partitionOverwriteMode="static")
+        return Commit(path, counts["inserted"], counts["updated"])
+    # Distinct partition values are bounded by those the change was narrowed to.
+    groups = staged.groupBy(partition).agg(
+        F.count_if(F.col(ACTION) == INSERT).alias("inserted"), F.count_if(F.col(ACTION) == UPDATE).alias("updated")
+    ).collect()
+    inserted, updated = sum(g["inserted"] for g in groups), sum(g["updated"] for g in groups)
+    if inserted or updated:
+        changed = {g[partition] for g in groups if g["inserted"] or g["updated"]}
+        if FROM in staged.columns and updated:
+            changed |= set(_values(staged.where(F.col(ACTION) == UPDATE), [FROM]))
+        rows = _within(staged, partition, list(changed)).drop(ACTION, FROM)
+        _publish(rows, old, path, partition, list(changed), [g[partition] for g in groups])
+    return Commit(path, inserted, updated)
+
+
+def _publish(rows: DataFrame, old: DataFrame, path: str, partition: str, changed: list, left: list) -> None:
+    """Writes staged rows over the changed partitions; ``left`` are those that still have rows."""
+    emptied = set(changed) - set(left)
     folders = _folders(_within(old, partition, list(emptied))) if emptied else []
     write_table(rows, path, partition, "overwrite", partitionOverwriteMode="dynamic")
     for folder in folders:  # a partition that lost its last row gets an empty file

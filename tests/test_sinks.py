@@ -114,6 +114,10 @@ def test_staged_rows_are_removed_once_published_and_kept_on_failure(spark, path,
     [staged] = staged_tables(spark, path) - before
     assert spark.read.parquet(staged).select("v").first().v == 3
     assert spark.read.parquet(path).select("v").first().v == 2
+    monkeypatch.undo()
+    for _ in range(2):
+        assert sinks.republish(spark, staged, path, "p").updated == 1
+        assert [r.v for r in spark.read.parquet(path).collect()] == [3]
 
 
 def test_stages_beside_the_table_when_the_session_names_no_folder(spark, path, monkeypatch):
@@ -133,6 +137,21 @@ def test_too_many_partitions_to_list(spark, path, rows, monkeypatch):
     assert rows(spark.read.parquet(path), "k", "p", "v") == [(1, "a", 8), (2, "b", 9), (3, "c", 3), (4, "d", 4)]
 
 
+def test_partitions_not_listed_by_the_change_survive(spark, path, rows, monkeypatch):
+    """Three partitions, two of them touched with the listing limit at two."""
+    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 2)
+    sinks.upsert(frame(spark, (1, "b", 8), (4, "a", 4), (5, "b", 5)), path, ["k"], CHANGED, "p")
+    assert rows(spark.read.parquet(path), "k", "p", "v") == [(1, "b", 8), (2, "b", 2), (3, "c", 3), (4, "a", 4), (5, "b", 5)]
+
+
+def test_delete_over_too_many_partitions(spark, path, rows, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
+    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
+    assert sinks.delete(spark, path, "v <= 2", "p").deleted == 2
+    assert rows(spark.read.parquet(path), "k", "p", "v") == [(3, "c", 3)]
+
+
 def test_one_partition_holding_a_third_of_the_rows(spark, path):
     old = spark.range(9000).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 20)).alias("p"), F.lit(1).alias("v"))
     sinks.upsert(old, path, ["k", "p"], CHANGED, "p")
@@ -174,6 +193,11 @@ def test_catalog(spark, path, rows):
         assert [r.tableName for r in catalog.show_tables(spark, "served").collect()] == ["things"]
         query = "SELECT k FROM served.things WHERE p = :partition"
         assert rows(spark.sql(query, args={"partition": "b"})) == [(2,)]
+        rates = spark.createDataFrame([("SELIC", 1.0), ("EFFR", 2.0)], "rate_type string, rate_value double")
+        sinks.write_table(rates, f"{path}_rates", "rate_type")
+        catalog.register_tables(spark, "served", {"interest_rate": f"{path}_rates"})
+        catalog.register_rate_views(spark, "served", ["SELIC", "EFFR"])
+        assert rows(spark.sql("SELECT rate_value FROM served.effr")) == [(2.0,)]
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE served CASCADE")
