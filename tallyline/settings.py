@@ -20,7 +20,6 @@ def broadcast_limit(spark: SparkSession) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if the optimizer's size estimate of ``df`` is under the broadcast threshold."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= broadcast_limit(df.sparkSession)
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -341,6 +341,7 @@ ORACLES: dict[str, str] = {
     ),
     "q_merge_null_safe": merged(" OR ".join(f"old.{c} IS DISTINCT FROM new.{c}" for c in ORDER_COLUMNS[1:])),
     "q_merge_shuffle": merged(PRICE_DIFFERS),
+    "q_merge_probe": merged(PRICE_DIFFERS),
     "q_merge_schema_evolution": with_(MERGE_OLD, MERGE_NEW, paired(PRICE_DIFFERS))
     + f"SELECT {', '.join(EVOLVED)}, a AS _action FROM paired",
     "q_merge_metrics": with_(MERGE_OLD, MERGE_NEW, paired(PRICE_DIFFERS))

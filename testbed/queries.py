@@ -183,6 +183,12 @@ def q_merge_shuffle(t: Tables) -> DataFrame:
     return merge(inputs.merge_old(t), inputs.merge_new(t), KEY, PRICE_DIFFERS, strategy="shuffle")
 
 
+@query
+def q_merge_probe(t: Tables) -> DataFrame:
+    """The plan for a source that is small beside the table: the table is not shuffled."""
+    return merge(inputs.merge_old(t), inputs.merge_new(t), KEY, PRICE_DIFFERS, strategy="probe")
+
+
 @query
 def q_merge_schema_evolution(t: Tables) -> DataFrame:
     """The source lacks the customer and brings the year."""

@@ -105,6 +105,17 @@ def test_strategies_agree_on_a_table_with_mostly_null_keys(spark):
     assert frames[0].where("k IS NULL").count() == 1000
 
 
+def test_a_small_source_leaves_the_table_unshuffled(spark, tmp_path):
+    spark.range(200_000).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "t"))
+    old = spark.read.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(5, 1), (999_999, 2)], "k long, v long").coalesce(1).write.parquet(str(tmp_path / "s"))
+    new = spark.read.parquet(str(tmp_path / "s"))
+    plan = merge(old, new, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "LeftOuter, BuildRight" in plan
+    plan = merge(old, old, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "FullOuter" in plan
+
+
 def test_unknown_strategy(old, new):
     with pytest.raises(ValueError):
         merge(old, new, ["k"], strategy="magic")
