@@ -11,7 +11,7 @@ HOLIDAYS = ["01-01", "05-01", "09-07", "10-12", "11-02", "11-15", "12-25"]
 
 def lenient_date(column: Column | str, pattern: str = "yyyy-MM-dd") -> Column:
     """Date parse that turns text it cannot read into null instead of failing the job."""
-    return F.try_to_timestamp(_col(column), F.lit(pattern)).cast("date")
+    return F.try_to_date(_col(column), pattern)
 
 
 def invalid_date(column: Column | str, pattern: str = "yyyy-MM-dd") -> Column:

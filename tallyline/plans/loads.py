@@ -83,7 +83,10 @@ class Warehouse:
 
 
 def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None) -> None:
-    """Daily prices: raw, quality gate, indicators, dividends, prices and months."""
+    """Daily prices: raw, quality gate, indicators, dividends, prices and months.
+
+    ``start_load`` widens the update window back to that day, to reload history.
+    """
     days = reprocess_days(w.as_of, start_load)
 
     def fresh(column: str) -> Column:
@@ -93,8 +96,8 @@ def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None)
         w.merge(rows, tier, table, keys, fresh(day), partition, reprocessed=start_load is not None)
 
     raw = landed.withColumn("ymd", F.lit(w.ymd))
-    require_quality(raw, schemas.PRICES_RAW)
     save(raw, RAW, "prices", ["Ticker", "Date"], "Date", "ymd")
+    require_quality(raw, schemas.PRICES_RAW)  # what fails stays in the raw tier, to be looked at
     named = rename_by_position(raw, schemas.PRICES_RAW, schemas.PRICES)
     # One frame feeds two tables: write the indicators once and read them back.
     save(daily_kpis(named), CLEANED, "prices", PRICE_KEYS, "price_date")

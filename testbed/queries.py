@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,10 +212,14 @@ def q_run_log_latest(t: Tables) -> DataFrame:
     return latest_log(inputs.run_log(t), ["run_id", "tier"], "logged_on", ["inserted"])
 
 
+def _moment(text: str) -> Column:
+    return F.lit(text).cast("timestamp_ntz")
+
+
 @query
 def q_scd2(t: Tables) -> DataFrame:
     return scd2.apply_snapshot(
-        inputs.profile_history(t), inputs.profile_snapshot(t), ["c_custkey"], datetime(2001, 12, 31)
+        inputs.profile_history(t), inputs.profile_snapshot(t), ["c_custkey"], _moment("2001-12-31")
     )
 
 
@@ -223,8 +227,8 @@ def q_scd2(t: Tables) -> DataFrame:
 def q_scd2_current(t: Tables) -> DataFrame:
     """The open versions after two runs of one snapshot: the second changes nothing."""
     snapshot, key = inputs.profile_snapshot(t), ["c_custkey"]
-    once = scd2.apply_snapshot(inputs.profile_history(t), snapshot, key, datetime(2001, 12, 30)).drop(ACTION)
-    twice = scd2.apply_snapshot(once, snapshot, key, datetime(2001, 12, 31))
+    once = scd2.apply_snapshot(inputs.profile_history(t), snapshot, key, _moment("2001-12-30")).drop(ACTION)
+    twice = scd2.apply_snapshot(once, snapshot, key, _moment("2001-12-31"))
     return twice.where(F.col("is_current")).select("c_custkey", "c_mktsegment", ACTION)
 
 

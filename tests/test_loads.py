@@ -44,11 +44,12 @@ def test_prices(spark, warehouse):
     assert (log.inserted, log.updated) == (2, 10)
 
 
-def test_bad_prices_are_refused_before_anything_is_written(spark, warehouse):
+def test_bad_prices_do_not_get_past_the_raw_tier(spark, warehouse):
     bad = prices(spark, 40).withColumn("Low", F.when(F.col("Date") < "2024-02-01", -1.0).otherwise(F.col("Low")))
     with pytest.raises(DataQualityError, match="has_negatives"):
         loads.load_prices(warehouse, bad)
-    assert not loads.table_exists(spark, warehouse.path("raw", "prices"))
+    assert loads.table_exists(spark, warehouse.path("raw", "prices"))
+    assert not loads.table_exists(spark, warehouse.path("cleaned", "prices"))
 
 
 def test_statements_tickers_and_reports(spark, warehouse, rows):

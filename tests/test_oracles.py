@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registered
+from testbed import inputs
 from compare import duck, plain, rows_as_frame
 
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
@@ -34,5 +35,33 @@ def test_same_result(spark, smallest, connection, name):
     assert plain(got).equals(plain(want))
 
 
+def test_every_kind_of_change_occurs(spark, smallest):
+    """The upsert and versioning inputs have unchanged, changed, new, missing, nulled and returning keys."""
+    t = inputs.Tables(spark, smallest)
+    old, new = inputs.merge_old(t).alias("o"), inputs.merge_new(t).alias("n")
+    both = old.join(new, "o_orderkey")
+    classes = {
+        "missing": old.join(new, "o_orderkey", "left_anti"),
+        "new": new.join(old, "o_orderkey", "left_anti"),
+        "changed": both.where("o.o_totalprice <> n.o_totalprice"),
+        "unchanged": both.where("o.o_totalprice = n.o_totalprice AND o.o_orderstatus = n.o_orderstatus"),
+        "value to null": both.where("o.o_orderpriority IS NOT NULL AND n.o_orderpriority IS NULL"),
+        "null to value": both.where("o.o_orderpriority IS NULL AND n.o_orderpriority IS NOT NULL"),
+    }
+    history, snapshot = inputs.profile_history(t), inputs.profile_snapshot(t)
+    current, closed = history.where("is_current").alias("h"), history.where("NOT is_current").alias("h")
+    met = current.join(snapshot.alias("s"), "c_custkey")
+    classes |= {
+        "absent customer": current.join(snapshot, "c_custkey", "left_anti"),
+        "new customer": snapshot.join(history, "c_custkey", "left_anti"),
+        "same customer": met.where("h.c_mktsegment = s.c_mktsegment"),
+        "changed customer": met.where("h.c_mktsegment <> s.c_mktsegment"),
+        "back to an earlier version": met.where("h.c_mktsegment <> s.c_mktsegment").select("c_custkey", "s.c_mktsegment")
+        .join(closed, ["c_custkey", "c_mktsegment"]),
+        "closed only, returns": closed.join(current, "c_custkey", "left_anti").join(snapshot, "c_custkey", "left_semi"),
+    }
+    assert [name for name, df in classes.items() if df.isEmpty()] == []
+
+
 def test_entry(spark, smallest):
     assert not registered.entry(spark).isEmpty()
