@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import packing, token_shards
+from tallyline.llm import packing, quality, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Domains whose pages are blocked where no rule decides. Fixed values.
+LISTED_DOMAINS = [
+    "adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.com",
+    "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org",
+]
+#: The rules (verdict, host, path). Fixed values.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
 @query
 def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
@@ -34,3 +48,66 @@ def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op8_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    domains = spark.createDataFrame([(d,) for d in LISTED_DOMAINS], "domain string")
+    return url_filter.judge(table(spark, folder, "pages"), URL_RULES, domains)
+
+
+ORACLES["op8_url_cascade"] = rf"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+    END AS rule FROM hosts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN {" OR ".join(f"host = '{d}' OR ends_with(host, '.{d}')" for d in LISTED_DOMAINS)} THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+@query
+def op10_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.ledger(table(spark, folder, "documents"))
+    judged = rows.withColumns({"base_failed": quality.fails(quality.BASE), "kept": ~quality.fails(quality.STRICT)})
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
+ORACLES["op10_quality_ledger"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM texts),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 4], ' ') AS window_words
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM parts)),
+found AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, window_words) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT r, count(DISTINCT i + o) AS n FROM (SELECT r, i, unnest(range(0, 5)) AS o FROM found) GROUP BY r),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM parts LEFT JOIN covered USING (r)),
+failed AS (
+  SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+    + 8 * (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 14 * n_words))::INT
+    + 16 * (2 * n_dup_lines > n_lines)::INT AS BIGINT) AS fail_bits FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
+  fail_bits = 0 AS kept, fail_bits
+FROM failed
+"""
