@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import packing, quality, token_shards, url_filter
+from tallyline.llm import decontamination, packing, quality, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,17 @@ def op2_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return token_shards.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = F.array_join(F.array_sort(F.transform("found.items", lambda i: i.cast("string"))), ",")
+    n_hit = decontamination.n_hit()
+    return found.select(
+        "doc_id", "found.n_words", n_hit.alias("n_hit"), F.size("found.items").cast("bigint").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.col("found.longest").alias("longest_match"),
+    )
+
+
 @query
 def op5_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
