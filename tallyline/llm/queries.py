@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontamination, packing, quality, token_shards, url_filter
+from tallyline.llm import decontamination, packing, quality, simhash, token_counts, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+SIMHASH_SHINGLE, SIMHASH_DISTANCE = 4, 4
 #: Domains whose pages are blocked where no rule decides. Fixed values.
 LISTED_DOMAINS = [
     "adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.com",
@@ -61,6 +62,18 @@ def op5_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@query
+def op6_count_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.token_counts(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return table(spark, folder, "documents").select("doc_id", counted.alias("c")).select("doc_id", "c.n_tokens", "c.score")
+
+
+@query
+def op7_popcount_grid(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), SIMHASH_SHINGLE, SIMHASH_DISTANCE)
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 @query
 def op8_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     domains = spark.createDataFrame([(d,) for d in LISTED_DOMAINS], "domain string")
