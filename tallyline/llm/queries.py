@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontamination, packing, quality, simhash, token_counts, token_shards, url_filter
+from tallyline.llm import decontamination, packing, quality, secret_scan, simhash, token_counts, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   fail_bits = 0 AS kept, fail_bits
 FROM failed
 """
+
+
+@query
+def op9_forest_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, trained_forest(docs))
+    return found.select("doc_id", F.explode("secrets").alias("s")).select("doc_id", "s.number", "s.start", "s.secret", "s.score")
+
+
+def trained_forest(docs: DataFrame) -> secret_scan.Forest:
+    """From the findings of these documents whose form settles their label."""
+    labelled = secret_scan.labelled_by_form(secret_scan.findings(docs))
+    return secret_scan.train(labelled, secret_scan.common_words(docs))
