@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontamination, packing, quality, secret_scan, simhash, token_counts, token_shards, url_filter
+from tallyline.llm import decontamination, languages, packing, quality, secret_scan, simhash, token_counts, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,19 @@ def trained_forest(docs: DataFrame) -> secret_scan.Forest:
     """From the findings of these documents whose form settles their label."""
     labelled = secret_scan.labelled_by_form(secret_scan.findings(docs))
     return secret_scan.train(labelled, secret_scan.common_words(docs))
+
+
+def held_out(key: str = "doc_id") -> Column:
+    """The third of the documents that no classifier learns from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
+
+
+def learned_languages(docs: DataFrame) -> languages.Model:
+    return languages.fit(docs.where(~held_out()).select("text", "lang"))
+
+
+@query
+def op3_family_svm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = languages.predicted(learned_languages(docs), spark, F.col("text"))
+    return docs.select("doc_id", held_out().alias("held_out"), found.alias("p")).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
