@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontamination, languages, packing, quality, secret_scan, simhash, token_counts, token_shards, url_filter
+from tallyline.llm import decontamination, languages, packing, quality, secret_scan, simhash, substring_dedup, token_counts, token_shards, url_filter
 from tallyline.llm.frames import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,9 @@ def op3_family_svm(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = languages.predicted(learned_languages(docs), spark, F.col("text"))
     return docs.select("doc_id", held_out().alias("held_out"), found.alias("p")).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
+@query
+def op1_fixed_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
