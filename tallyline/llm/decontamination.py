@@ -118,25 +118,22 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The documents with a struct column ``found``: n_words; hits, the stretches of words inside an occurrence of a window
+def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", block_words: int = BLOCK_WORDS, into: str = "found") -> DataFrame:
+    """The documents with a struct column ``into``: n_words; hits, the stretches of words inside an occurrence of a window
     of the benchmark; items, those with a window in the document; longest, the longest verbatim match in words.
 
     A window is ``window`` words of an item, or a shorter item as a whole. Null and empty texts have no words and no hits,
     items without words no windows; repeated documents or items count each; empty tables give no rows or no hits; null
-    item ids are passed over. All columns of the documents are kept: a column ``found`` among them is not allowed.
+    item ids are passed over. All columns of the documents are kept, but for one named as ``into``, which is replaced.
     """
-    if "found" in docs.columns:
-        raise ValueError("the documents have a column named found")
     spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item}`").cast("bigint").alias("item"), F.col("text").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     none = F.lit(None).cast(FOUND)
-    found = docs.withColumn("found", none)
-    sent = False
+    found, sent = docs.withColumn(into, none), False
     for block in _blocks(items, block_words):
-        found = found.withColumn("found", _pass(spark, block, window)(F.col(f"`{text}`"), F.col("found")))
+        found = found.withColumn(into, _pass(spark, block, window)(F.col(f"`{text}`"), F.col(into)))
         sent = True
-    return found if sent else found.withColumn("found", _pass(spark, [], window)(F.col(f"`{text}`"), F.col("found")))
+    return found if sent else found.withColumn(into, _pass(spark, [], window)(F.col(f"`{text}`"), F.col(into)))
 
 
 def _pass(spark, items: list[tuple[int, str]], window: int):
@@ -171,5 +168,5 @@ def n_hit(found: str = "found"):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents without a hit, with their own columns."""
-    return search(docs, benchmark, **settings).where(F.size("found.hits") == 0).drop("found")
+    """The documents without a hit, with their own columns (one named __found is not kept)."""
+    return search(docs, benchmark, into="__found", **settings).where(F.size("__found.hits") == 0).drop("__found")

@@ -149,11 +149,9 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str = "t
     """The documents with an array column of their findings: number, secret, score, start (in characters from 0), for the
     candidates whose score is above the threshold; and with what is needed to cut them out.
 
-    Null and empty texts have none; repeated rows are judged each; an empty table gives none. All columns are kept; one
-    named as ``into`` is not allowed.
+    Null and empty texts have none; repeated rows are judged each; an empty table gives none. All columns are kept, but
+    for one named as ``into``, which is replaced.
     """
-    if into in docs.columns:
-        raise ValueError(f"the documents have a column named {into}")
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found, gaps = candidates(whole)
     parts = docs.withColumn(into, F.struct(found.alias("found"), F.when(F.size(found) > 0, gaps).alias("gaps")))
@@ -179,7 +177,8 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str = "t
 
 
 def redacted(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str = "text") -> DataFrame:
-    """The documents with every secret replaced by a placeholder; texts without one stay as they are, null ones null."""
+    """The documents with every secret replaced by a placeholder; texts without one stay as they are, null ones null. A
+    column named __secrets is not kept."""
     into = "__secrets"
     found = scan(docs, forest, threshold, text, into)
     # from the last to the first, so that the places of those before hold

@@ -224,6 +224,9 @@ def representatives(docs: DataFrame, shingle: int, distance: int, text: str = "t
     stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
     stays = kept_table(stays, "stays")
     own = docs[f"`{key}`"]
-    once = docs.join(stays.where("n = 1").select(F.col("doc_id").alias("__id")), own.eqNullSafe(F.col("__id")), "left_semi")
-    repeated = docs.join(stays.where("n > 1").select(F.col("doc_id").alias("__id")), own.eqNullSafe(F.col("__id")), "left_semi")
-    return once.unionByName(repeated.dropDuplicates([key]))
+
+    def among(n: str) -> DataFrame:
+        ids = stays.where(n).select("doc_id")
+        return docs.join(ids, own.eqNullSafe(ids["doc_id"]), "left_semi")
+
+    return among("n = 1").unionByName(among("n > 1").dropDuplicates([key]))
