@@ -104,6 +104,8 @@ def _gaps(values: np.ndarray) -> np.ndarray:
 
 def _by_bucket(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """The buckets of sorted hashes: their first bits."""
+    if not len(hashes):
+        return
     buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     starts = np.flatnonzero(np.diff(buckets, prepend=-1))
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(hashes)], strict=True):

@@ -177,7 +177,9 @@ class _Reader(DataSourceReader):
         held = zip(listed, starts, strict=False)
         return [Shard(m["name"], s) for m, s in held if self.wanted is None or any(m["first"] <= w <= m["last"] for w in self.wanted)]
 
-    def read(self, partition: Shard) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Shard | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there is no shard to read
+            return
         files, folder = _filesystem(self.path)
         rows, held = [], 0
         with files.open_input_file(f"{folder}/{partition.name}") as file:
