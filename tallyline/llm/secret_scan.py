@@ -133,11 +133,12 @@ def train(labelled: DataFrame, dictionary: list[str], sample: int = SAMPLE, tree
     Findings without a label or candidate are passed over. With one label alone every tree votes for it; without any,
     the forest is empty and takes nothing for a secret.
     """
-    rows = labelled.where("is_secret IS NOT NULL AND candidate IS NOT NULL").select("candidate", "before", "after", F.col("is_secret").cast("double").alias("label")).distinct()
+    rows = labelled.where("is_secret IS NOT NULL AND candidate IS NOT NULL").select("candidate", "before", "after", F.col("is_secret").cast("double").alias("label"))
+    rows = kept_table(rows.distinct(), "labelled")
     order = F.xxhash64("candidate", "before", "after")
     picked = rows.where("label = 1").orderBy(order).limit(sample).union(rows.where("label = 0").orderBy(order).limit(sample))
     values = features(F.col("candidate"), F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), dictionary)
-    table = kept_table(picked.select("label", *[values[f].alias(f) for f in FEATURES]).coalesce(1), "labelled")
+    table = kept_table(picked.select("label", *[values[f].alias(f) for f in FEATURES]).coalesce(1), "sample")
     labels = [r["label"] for r in table.select("label").distinct().collect()]
     if len(labels) < 2:
         return Forest(tuple(Tree(vote=v) for v in labels), tuple(dictionary))
@@ -152,28 +153,30 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str = "t
     Null and empty texts have none; repeated rows are judged each; an empty table gives none. All columns are kept, but
     for one named as ``into``, which is replaced.
     """
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found, gaps = candidates(whole)
-    parts = docs.withColumn(into, F.struct(found.alias("found"), F.when(F.size(found) > 0, gaps).alias("gaps")))
+    # columns of their own, not fields of a struct: the optimizer would write out a field's expression at each use
+    found, gaps = f"{into}__found", f"{into}__gaps"
+    own, between = candidates(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    parts = docs.withColumn(found, own).withColumn(gaps, F.when(F.size(found) > 0, between))
 
     def measured(c: Column, i: Column) -> Column:
-        before = F.right(F.get(f"{into}.gaps", i), F.lit(BEFORE))
-        after = F.left(F.get(f"{into}.gaps", i + 1), F.lit(AFTER))
-        values = features(c, before, after, list(forest.dictionary))
-        return F.struct(i.alias("number"), c.alias("secret"), *[v.alias(name) for name, v in values.items()])
+        before, after = F.right(F.get(gaps, i), F.lit(BEFORE)), F.left(F.get(gaps, i + 1), F.lit(AFTER))
+        return F.struct(i.alias("number"), c.alias("secret"), before.alias("before"), after.alias("after"))
+
+    def valued(f: Column) -> Column:
+        values = features(f["secret"], f["before"], f["after"], list(forest.dictionary))
+        return F.struct(f["number"].alias("number"), f["secret"].alias("secret"), *[v.alias(name) for name, v in values.items()])
 
     def judged(f: Column) -> Column:
         return F.struct(f["number"].alias("number"), f["secret"].alias("secret"), forest.probability({name: f[name] for name in FEATURES}).alias("score"))
 
-    scored = F.filter(F.transform(F.transform(f"{into}.found", measured), judged), lambda f: f["score"] > threshold)
-    with_scores = parts.withColumn(into, F.struct(f"{into}.found", f"{into}.gaps", scored.alias("scored")))
+    scored = F.filter(F.transform(F.transform(F.transform(found, measured), valued), judged), lambda f: f["score"] > threshold)
 
     def placed(f: Column) -> Column:
-        before = F.array_join(F.slice(f"{into}.gaps", F.lit(1), f["number"] + 1), "")
-        earlier = F.array_join(F.slice(f"{into}.found", F.lit(1), f["number"]), "")
+        before = F.array_join(F.slice(gaps, F.lit(1), f["number"] + 1), "")
+        earlier = F.array_join(F.slice(found, F.lit(1), f["number"]), "")
         return F.struct(f["number"].alias("number"), f["secret"].alias("secret"), f["score"].alias("score"), (F.length(before) + F.length(earlier)).cast("bigint").alias("start"))
 
-    return with_scores.withColumn(into, F.transform(f"{into}.scored", placed))
+    return parts.withColumn(into, F.transform(scored, placed)).drop(found, gaps)
 
 
 def redacted(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str = "text") -> DataFrame:
