@@ -105,6 +105,13 @@ def daily_kpis(prices: DataFrame, s: Series = PRICES) -> DataFrame:
     return series.withColumns({c: F.round(c, 2) for c in rounded if c in prices.columns})
 
 
+def kpis_of_feed(series: DataFrame, fed: DataFrame, s: Series = PRICES) -> DataFrame:
+    """Indicators of the days in a feed (``fed``: ticker and day), computed over all that ``series`` has of the feed's tickers,
+    so that a short feed gets the values of a long one."""
+    tickers, days = fed.select(s.ticker).distinct(), fed.select(s.ticker, F.col(s.date).cast("date").alias(s.date)).distinct()
+    return daily_kpis(series.join(tickers, s.ticker, "left_semi"), s).join(days, [s.ticker, s.date], "left_semi")
+
+
 def dividends(prices: DataFrame) -> DataFrame:
     """Days on which a dividend was paid."""
     return prices.where(F.col("vl_dividends") > 0).select(
@@ -113,9 +120,12 @@ def dividends(prices: DataFrame) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str = "ticker", date: str = "price_date") -> DataFrame:
-    """The rows that carry their key's last date."""
-    newest = F.max(date).over(Window.partitionBy(key))
-    return df.withColumn("_newest", newest).where(F.col(date) == F.col("_newest")).drop("_newest")
+    """The rows that carry their key's last date. Last dates combine before the shuffle, one per key and task; joined back they
+    are small enough to broadcast unless there are very many keys, so the stored rows stay where they are."""
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(date).alias("_newest"))
+    own = [F.col(f"_rows.`{c}`") for c in df.columns]
+    met = F.col(f"_rows.`{key}`").eqNullSafe(F.col("_key")) & (F.col(f"_rows.`{date}`") == F.col("_newest"))
+    return df.alias("_rows").join(newest, met).select(*own)
 
 
 def _with_change(prices: DataFrame, period: str, base: Column, percent_base: Column, s: Series) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.predicates import keys_equal
 from tallyline.operators.pairing import checked_source, matched, only_new, pair_rows
 
-ACTION = "_action"
+ACTION, FROM = "_action", "_from"
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
 
 
@@ -18,7 +19,7 @@ def merge(
     new: DataFrame,
     keys: Sequence[str],
     update_when: Column | str | None = None,
-    strategy: str = "auto",
+    strategy: str = "shuffle",
 ) -> DataFrame:
     """The table after the upsert, with an ``_action`` column (keep, update or insert).
 
@@ -28,6 +29,33 @@ def merge(
     source has are added, null on rows not taken from it; columns only the table has keep
     their values, null on inserted rows.
     """
+    return merge_checked(old, checked_source(new, keys), keys, update_when, strategy)
+
+
+def changes(old: DataFrame, new: DataFrame, keys: Sequence[str], update_when: Column | str | None, partition: str | None) -> DataFrame:
+    """The source rows that an upsert takes: their ``_action``, and in ``_from`` the partition of the row they replace.
+
+    Of the table only keys, partition and what the condition reads are scanned. A small source is broadcast to it; source
+    rows without a match are found against the keys that matched, which are no more than the source has.
+    """
+    condition = F.lit(True) if update_when is None else update_when
+    condition = F.expr(condition) if isinstance(condition, str) else condition
+    origin = F.col(f"old.`{partition}`") if partition else F.lit(None).cast("string")
+    hits = old.alias("old").join(new.alias("new"), keys_equal(keys), "inner").select(
+        *[F.col(f"new.`{k}`").alias(k) for k in keys], F.coalesce(condition, F.lit(False)).alias("_taken"), origin.alias(FROM)
+    )
+    met = new.join(hits, list(keys), "left").where("_taken IS NULL OR _taken")
+    return met.select(*[F.col(f"`{c}`") for c in new.columns], F.when(F.col("_taken"), UPDATE).otherwise(INSERT).alias(ACTION), FROM)
+
+
+def merge_checked(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    update_when: Column | str | None = None,
+    strategy: str = "shuffle",
+) -> DataFrame:
+    """``merge`` for a source whose keys are known to be sound."""
     condition = F.lit(True) if update_when is None else update_when
     condition = F.expr(condition) if isinstance(condition, str) else condition
     action = F.when(only_new(), INSERT).when(matched() & F.coalesce(condition, F.lit(False)), UPDATE).otherwise(KEEP)
@@ -45,7 +73,7 @@ def merge(
     def table_row(pairs: DataFrame) -> DataFrame:
         return pairs.withColumn(ACTION, action).select(*[value(c).alias(c) for c in names], ACTION)
 
-    return pair_rows(old, checked_source(new, keys), keys, table_row, strategy)
+    return pair_rows(old, new, keys, table_row, strategy)
 
 
 def merge_metrics(merged: DataFrame) -> DataFrame:

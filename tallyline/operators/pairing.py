@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.predicates import keys_equal
-from tallyline.settings import broadcast_limit, estimated_bytes
 
-PROBE_RATIO = 10
+STRATEGIES = ("shuffle", "probe")
 
 
 def matched() -> Column:
@@ -45,7 +44,7 @@ def pair_rows(
     new: DataFrame,
     keys: Sequence[str],
     select: Callable[[DataFrame], DataFrame],
-    strategy: str = "auto",
+    strategy: str = "shuffle",
 ) -> DataFrame:
     """``select`` of every row of both sides, matched on ``keys``.
 
@@ -58,22 +57,15 @@ def pair_rows(
     * ``probe``: the table is joined to the source from the left and so stays where it is
       when Spark can broadcast the source; source rows without a match are found against
       the keys that did match.
-    * ``auto``: ``probe`` if the source is estimated under Spark's broadcast threshold and the
-      table at ten times the source or more; with less to save, one join is cheaper.
+
+    ``shuffle`` is the default; ``probe`` is for a source that is small beside the table.
     """
-    if strategy not in ("auto", "shuffle", "probe"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        strategy = "probe" if _worth_probing(old, new) else "shuffle"
     pairs = (_probe if strategy == "probe" else _shuffle)(old, new, list(keys))
     return reduce(DataFrame.unionByName, [select(p) for p in pairs])
 
 
-def _worth_probing(old: DataFrame, new: DataFrame) -> bool:
-    source = estimated_bytes(new)
-    return source <= broadcast_limit(new.sparkSession) and estimated_bytes(old) >= PROBE_RATIO * source
-
-
 def _shuffle(old: DataFrame, new: DataFrame, keys: list[str]) -> list[DataFrame]:
     on = keys_equal(keys)
     return [

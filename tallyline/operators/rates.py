@@ -29,6 +29,29 @@ def clean_rates(
     )
 
 
+def rejected_rates(
+    raw: DataFrame, rate_type: str, date: str, value: str, pattern: str = "yyyy-MM-dd", keep: tuple[str, ...] = ("ymd",)
+) -> DataFrame:
+    """The rates that ``clean_rates`` can't read, as they came, with the reason; ``usable_rates`` are the others.
+
+    A payload that could not be parsed arrives as a row without a date and a value, and is among them.
+    """
+    texts = [F.col(c).cast("string") for c in (rate_type, date, value)]
+    reason = (
+        F.when(texts[1].isNull() & texts[2].isNull(), "payload")
+        .when(texts[0].isNull(), "type")
+        .when(lenient_date(date, pattern).isNull(), "date")
+        .when(lenient_double(value).isNull(), "value")
+    )
+    named = [t.alias(n) for t, n in zip(texts, ("rate_type", "rate_date", "rate_value"), strict=True)]
+    return raw.select(*named, *[c for c in keep if c in raw.columns], reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def usable_rates(rates: DataFrame) -> DataFrame:
+    """Cleaned rates with a type, a date and a value."""
+    return rates.dropna("any", subset=["rate_type", "rate_date", "rate_value"])
+
+
 def month_rates(rates: DataFrame, sequence: str | None = None) -> DataFrame:
     """The last rate of each month, dated the first of that month.
 

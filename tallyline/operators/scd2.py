@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,20 +28,26 @@ def apply_snapshot(
     as_of,
     *,
     null_safe: bool = False,
-    strategy: str = "auto",
+    strategy: str = "shuffle",
+    checked: bool = False,
 ) -> DataFrame:
     """The history after a snapshot.
 
     A current row whose business columns differ from the snapshot is closed, one day before
     ``as_of``, and followed by an open version. A key without a current row gets one. A key
-    missing from the snapshot stays open. Only current rows are compared: closed ones are
+    missing from the snapshot stays open. A column that only the snapshot has is added, null
+    on earlier versions; one that it lacks keeps its value, null on new versions. Only current rows are compared: closed ones are
     passed on without a shuffle, so a key with a very long history costs nothing here.
-    ``_action`` tells kept rows from closed ("update") and opened ("insert") ones.
+    ``checked`` says that the snapshot's keys are known to be sound. ``_action`` tells kept rows from closed ("update") and opened ("insert") ones.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     types = {f.name: f.dataType for f in history.schema}
     business = [c for c in history.columns if c not in (END, CURRENT)]
-    changed = matched() & differs(business, exclude=keys, null_safe=null_safe)
+    added = [c for c in snapshot.columns if c not in types]
+    types |= {c: snapshot.schema[c].dataType for c in added}
+    arrived = [c for c in business if c in snapshot.columns]
+    # what a column held before it came to the table is unknown: its first values are a change
+    changed = matched() & (differs(arrived, exclude=keys, null_safe=null_safe) | reduce(operator.or_, [F.col(f"new.`{c}`").isNotNull() for c in added], F.lit(False)))
     closing = (as_of - F.expr("INTERVAL 1 DAY")).cast(types[END])
     actions = (
         F.when(changed, F.array(F.lit(UPDATE), F.lit(INSERT)))
@@ -47,11 +55,15 @@ def apply_snapshot(
         .otherwise(F.array(F.lit(KEEP)))
     )
 
+    def side(name: str, column: str) -> Column:
+        has = column in (arrived + added if name == "new" else business)
+        return F.col(f"{name}.`{column}`") if has else F.lit(None).cast(types[column])
+
     def versions(pairs: DataFrame) -> DataFrame:
         action = F.col(ACTION)
         values = [
-            F.when(action == INSERT, F.col(f"new.`{c}`").cast(types[c])).otherwise(F.col(f"old.`{c}`")).alias(c)
-            for c in business
+            F.when(action == INSERT, side("new", c).cast(types[c])).otherwise(side("old", c)).alias(c)
+            for c in [*business, *added]
         ]
         end = F.when(action == UPDATE, closing).when(action == KEEP, F.col(f"old.`{END}`")).alias(END)
         return pairs.withColumn(ACTION, F.explode(actions)).select(
@@ -59,6 +71,8 @@ def apply_snapshot(
         )
 
     current, past = history.where(F.col(CURRENT)), history.where(~F.coalesce(F.col(CURRENT), F.lit(False)))
-    source = checked_source(snapshot.select(*business), keys)
+    source = snapshot.select(*arrived, *added)
+    source = source if checked else checked_source(source, keys)
     compared = pair_rows(current, source, keys, versions, strategy)
-    return past.select(*business, END, CURRENT, F.lit(KEEP).alias(ACTION)).unionByName(compared)
+    earlier = [F.lit(None).cast(types[c]).alias(c) for c in added]
+    return past.select(*business, *earlier, END, CURRENT, F.lit(KEEP).alias(ACTION)).unionByName(compared)

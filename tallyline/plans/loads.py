@@ -1,13 +1,15 @@
 """Whole loads: landed rows into the raw, cleaned and serving tables.
 
 Each tier is written, read back, and only then used for the next, so a load has no long
-lineage: a lost executor costs one tier's tasks. Every step appends a row to the run log.
+lineage: a lost executor costs one tier's tasks. A load logs its start, every table it
+changes, and how it ended.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 
@@ -16,27 +18,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyline.functions.predicates import differs, recent, reprocess_days
-from tallyline.operators.audit import log_row
+from tallyline.operators.audit import DONE, FAILED, STARTED, log_row
 from tallyline.operators.calendar import calendar_from
-from tallyline.operators.kpis import daily_kpis, dividends
+from tallyline.operators.kpis import daily_kpis, dividends, kpis_of_feed
 from tallyline.operators.quality import require_quality
-from tallyline.operators.rates import clean_rates, month_rates
-from tallyline.operators.reshape import rename_by_position
+from tallyline.operators.rates import clean_rates, month_rates, rejected_rates, usable_rates
+from tallyline.operators.reshape import rename_by_position, unpivot_prices
 from tallyline.operators.summary import month_kpis, month_summary
 from tallyline.plans import schemas
-from tallyline.plans.statements import as_events, clean_statement
-from tallyline.sinks.tables import Commit, upsert, upsert_versions, write_table
-from tallyline.sources.tables import LOAD_START, high_water_mark, read_table, since, table_exists, table_path
+from tallyline.plans.statements import as_events, clean_statement, raw_statement
+from tallyline.sinks.tables import Commit, open_table, selective, upsert, upsert_versions, write_table
+from tallyline.sources import landed as files
+from tallyline.sources.tables import LOAD_START, empty_table, high_water_mark, or_latest_partition, read_table, since, table_path
 
-RAW, CLEANED, SERVING = "raw", "cleaned", "serving"
+RAW, CLEANED, SERVING, AUDIT = "raw", "cleaned", "serving", "audit"
 
-# Match keys of the tables.
+# Match keys and partition columns of the tables.
 PRICE_KEYS = ["ticker", "price_date"]
 DIVIDEND_KEYS = ["ticker", "ex_date"]
 MONTH_KEYS = ["ticker", "dt_year", "dt_month"]
 STATEMENT_KEYS = ["Ticker", "Description", "Date", "Period"]
 RATE_KEYS = ["rate_type", "rate_date"]
 TICKER_KEYS = ["ticker_type", "ticker"]
+PARTITIONS = {
+    "prices": "ticker", "prices_month": "ticker", "dividends": "ticker", "financial_event": "ticker", "interest_rate": "rate_type",
+    "tickers": "ticker_type", "profile": "ticker_type", "calendar": "dt_year", "income": "ticker", "balance": "ticker",
+}
+CLEANED_PARTITIONS = PARTITIONS | {"income": "income_period", "balance": "balance_period"}
 
 
 @dataclass
@@ -55,8 +63,31 @@ class Warehouse:
     def path(self, tier: str, table: str) -> str:
         return table_path(self.root, tier, table)
 
+    def find(self, tier: str, table: str) -> DataFrame | None:
+        """The table, or None if it is not there yet. Declared tables are read without looking at the files' footers."""
+        declared = self.declared().get((tier, table))
+        partition = "ymd" if tier == RAW else (CLEANED_PARTITIONS if tier == CLEANED else PARTITIONS).get(table, "rate_type")
+        return open_table(self.spark, self.path(tier, table), None if tier == AUDIT else partition, declared, declared)
+
     def read(self, tier: str, table: str, condition: Column | str | None = None) -> DataFrame:
-        return read_table(self.spark, self.path(tier, table), condition)
+        found = self.find(tier, table)
+        if found is None:
+            found = read_table(self.spark, self.path(tier, table))  # says what is missing
+        return found if condition is None else found.where(condition)
+
+    def declared(self) -> dict[tuple[str, str], StructType]:
+        """Schemas of the price tables, the ones with many partitions: what their own operators give."""
+        if not hasattr(self, "_declared"):
+            raw = empty_table(self.spark, schemas.PRICES_RAW)
+            prices = daily_kpis(rename_by_position(raw, schemas.PRICES_RAW, schemas.PRICES))
+            self._declared = {
+                (RAW, "prices"): schemas.PRICES_RAW,
+                (CLEANED, "prices"): prices.schema,
+                (SERVING, "prices"): _served(prices).schema,
+                (SERVING, "dividends"): dividends(prices).schema,
+                (SERVING, "prices_month"): month_kpis(month_summary(_served(prices))).schema,
+            }
+        return self._declared
 
     def merge(
         self,
@@ -70,73 +101,111 @@ class Warehouse:
     ) -> Commit:
         """Upserts into a table and logs what it did."""
         started = _now()
-        commit = upsert(rows, self.path(tier, table), keys, update_when, partition)
-        self.log(tier, table, started, commit, reprocessed)
+        commit = upsert(rows, self.path(tier, table), keys, update_when, partition, self.declared().get((tier, table)))
+        self.log(tier, table, started, commit=commit, reprocessed=reprocessed)
         return commit
 
-    def log(self, tier: str, table: str, started: datetime, commit: Commit, reprocessed: bool = False) -> None:
-        row = log_row(
-            self.spark, self.run_id, tier, table, started, _now(),
-            location=commit.path, metrics=commit.metrics, reprocessed=reprocessed,
-        )
-        write_table(row, self.path("audit", "run_log"))
+    def log(self, tier: str, table: str, started: datetime, *, commit: Commit | None = None, **columns) -> None:
+        if commit is not None:
+            columns |= {"location": commit.path, "metrics": commit.metrics, "source_rows": commit.source}
+        write_table(log_row(self.spark, self.run_id, tier, table, started, _now(), **columns), self.path(AUDIT, "run_log"))
+
+    @contextmanager
+    def run(self, table: str, landed: DataFrame, source: tuple[str | None, str | None, str | None] = (None, None, None)) -> Iterator[None]:
+        """Logs that a load has started, and how it ended; a failure goes on."""
+        started = _now()
+        self.log("load", table, started, status=STARTED, source=source)
+        try:
+            yield
+        except Exception as failure:
+            self.log("load", table, started, status=FAILED, source=source, message=f"{type(failure).__name__}: {failure}"[:500])
+            raise
+        self.log("load", table, started, status=DONE, source=source, source_rows=landed.count())
+
+
+Source = tuple[str | None, str | None, str | None]
+UNNAMED: Source = (None, None, None)
 
 
-def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None) -> None:
+def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None, source: Source = UNNAMED) -> None:
     """Daily prices: raw, quality gate, indicators, dividends, prices and months.
 
-    ``start_load`` widens the update window back to that day, to reload history.
+    Indicators are computed over all that is stored of the feed's tickers, so a feed of one
+    day gets those of a feed that goes back to the first. ``start_load`` widens the update
+    window back to that day, to reload history.
     """
-    days = reprocess_days(w.as_of, start_load)
+    with w.run("prices", landed, source):
+        _load_prices(w, landed, start_load)
 
-    def fresh(column: str) -> Column:
-        return recent(column, w.as_of, days)
+
+def _load_prices(w: Warehouse, landed: DataFrame, start_load: date | None) -> None:
+    days = reprocess_days(w.as_of, start_load)
 
     def save(rows: DataFrame, tier: str, table: str, keys: list[str], day: str, partition: str = "ticker") -> None:
-        w.merge(rows, tier, table, keys, fresh(day), partition, reprocessed=start_load is not None)
+        w.merge(rows, tier, table, keys, recent(day, w.as_of, days), partition, reprocessed=start_load is not None)
 
     raw = landed.withColumn("ymd", F.lit(w.ymd))
     save(raw, RAW, "prices", ["Ticker", "Date"], "Date", "ymd")
     require_quality(raw, schemas.PRICES_RAW)  # what fails stays in the raw tier, to be looked at
-    named = rename_by_position(raw, schemas.PRICES_RAW, schemas.PRICES)
-    # One frame feeds two tables: write the indicators once and read them back.
-    save(daily_kpis(named), CLEANED, "prices", PRICE_KEYS, "price_date")
-    prices = w.read(CLEANED, "prices")
+    fed = raw.select(F.col("Ticker").alias("ticker"), F.col("Date").cast("date").alias("price_date")).distinct()
+    tickers = selective(fed.select("ticker").distinct(), "ticker")
+    # The raw tier has the exact prices; of its rows those count that are in the feed or have passed the gate before.
+    passed, stored = fed, w.find(CLEANED, "prices")
+    if stored is not None:
+        passed = fed.union(stored.join(tickers, "ticker", "left_semi").select(*PRICE_KEYS)).distinct()
+    history = rename_by_position(w.read(RAW, "prices"), schemas.PRICES_RAW, schemas.PRICES)
+    series = history.withColumn("price_date", F.col("price_date").cast("date")).join(passed, PRICE_KEYS, "left_semi")
+    save(kpis_of_feed(series.select(*schemas.PRICES.fieldNames()), fed), CLEANED, "prices", PRICE_KEYS, "price_date")
+    # One frame feeds two tables: the indicators are written once and read back, the feed's days of the feed's tickers.
+    prices = w.read(CLEANED, "prices").join(tickers, "ticker", "left_semi").join(fed, PRICE_KEYS, "left_semi")
     save(dividends(prices), SERVING, "dividends", DIVIDEND_KEYS, "ex_date")
-    save(prices.drop("vl_dividends", "vl_splits", "vl_capital_gains"), SERVING, "prices", PRICE_KEYS, "price_date")
-    months = month_kpis(month_summary(w.read(SERVING, "prices")))
-    save(months, SERVING, "prices_month", MONTH_KEYS, "price_date")
+    save(_served(prices), SERVING, "prices", PRICE_KEYS, "price_date")
+    served = w.read(SERVING, "prices").join(tickers, "ticker", "left_semi")
+    months = fed.select("ticker", F.year("price_date").alias("dt_year"), F.month("price_date").alias("dt_month")).distinct()
+    save(month_kpis(month_summary(served)).join(months, MONTH_KEYS, "left_semi"), SERVING, "prices_month", MONTH_KEYS, "price_date")
+
 
+def _served(prices: DataFrame) -> DataFrame:
+    return prices.drop("vl_dividends", "vl_splits", "vl_capital_gains")
 
-def load_statement(w: Warehouse, landed: DataFrame, kind: str) -> None:
-    """An income or balance statement, and its rows in the table of financial events."""
+
+def load_statement(w: Warehouse, landed: DataFrame, kind: str, source: Source = UNNAMED) -> None:
+    """An income or balance statement, and its rows in the table of financial events.
+
+    A cell that is not a number is a row without a value: it is kept in the raw tier and goes
+    no further, as values are declared not null.
+    """
     schema = {"income": schemas.INCOME, "balance": schemas.BALANCE}[kind]
-    w.merge(landed, RAW, kind, STATEMENT_KEYS, differs(["Value"]), "ymd")
-    cleaned = clean_statement(landed, schema)
-    keys = ["ticker", f"{kind}_description", f"{kind}_report_date", f"{kind}_period"]
-    changed = differs([f"{kind}_value"])
-    w.merge(cleaned, CLEANED, kind, keys, changed, f"{kind}_period")
-    w.merge(cleaned, SERVING, kind, keys, changed, "ticker")
-    event_keys = ["ticker", "event_description", "event_report_date", "event_period", "event_type"]
-    events = as_events(cleaned, schema, kind.upper())
-    w.merge(events, SERVING, "financial_event", event_keys, differs(["event_value"]), "ticker")
+    with w.run(kind, landed, source):
+        w.merge(landed, RAW, kind, STATEMENT_KEYS, differs(["Value"]), "ymd")
+        cleaned = clean_statement(landed.where("Value IS NOT NULL"), schema)
+        keys = ["ticker", f"{kind}_description", f"{kind}_report_date", f"{kind}_period"]
+        changed = differs([f"{kind}_value"])
+        w.merge(cleaned, CLEANED, kind, keys, changed, f"{kind}_period")
+        w.merge(cleaned, SERVING, kind, keys, changed, "ticker")
+        event_keys = ["ticker", "event_description", "event_report_date", "event_period", "event_type"]
+        events = as_events(cleaned, schema, kind.upper())
+        w.merge(events, SERVING, "financial_event", event_keys, differs(["event_value"]), "ticker")
 
 
 def load_rates(
-    w: Warehouse, landed: DataFrame, raw_schema: StructType, pattern: str, table: str, monthly: bool = False
+    w: Warehouse, landed: DataFrame, raw_schema: StructType, pattern: str, table: str, monthly: bool = False, source: Source = UNNAMED
 ) -> None:
-    """Interest rates from the day last loaded on; ``monthly`` keeps the last rate of each month."""
+    """Interest rates from the day last loaded on, or from the first day of all loads; ``monthly`` keeps the last rate of each
+    month. What can't be read goes to a table of rejects beside the raw one, the day's rejects anew on every run."""
     kind, day, value, _ = raw_schema.fieldNames()
-    rates = clean_rates(landed, kind, day, value, pattern)
-    serving = w.path(SERVING, "interest_rate")
-    if table_exists(w.spark, serving):
-        loaded = read_table(w.spark, serving, F.col("rate_type") == table.upper())
+    with w.run(table, landed, source):
+        rejects = rejected_rates(landed, kind, day, value, pattern)
+        write_table(rejects, w.path(RAW, f"{table}_rejects"), "ymd", "overwrite", partitionOverwriteMode="dynamic")
+        rates = usable_rates(clean_rates(landed, kind, day, value, pattern))
+        stored = w.find(SERVING, "interest_rate")
+        loaded = rates.where(F.lit(False)) if stored is None else stored.where(F.col("rate_type") == table.upper())
         rates = since(rates, "rate_date", high_water_mark(loaded, "rate_date", LOAD_START))
-    w.merge(landed, RAW, table, [kind, day], differs([value]), "ymd")
-    if monthly:
-        rates = month_rates(rates).withColumn("ymd", F.lit(w.ymd))
-    for tier, name in ((CLEANED, table), (SERVING, "interest_rate")):
-        w.merge(rates, tier, name, RATE_KEYS, differs(["rate_value"]), "rate_type")
+        w.merge(landed.dropna("any", subset=[kind, day]), RAW, table, [kind, day], differs([value]), "ymd")
+        if monthly:
+            rates = month_rates(rates).withColumn("ymd", F.lit(w.ymd))
+        for tier, name in ((CLEANED, table), (SERVING, "interest_rate")):
+            w.merge(rates, tier, name, RATE_KEYS, differs(["rate_value"]), "rate_type")
 
 
 def load_tickers(w: Warehouse, landed: DataFrame) -> None:
@@ -149,17 +218,25 @@ def load_tickers(w: Warehouse, landed: DataFrame) -> None:
         w.merge(named, tier, "tickers", TICKER_KEYS, changed, "ticker_type")
 
 
-def load_profiles(w: Warehouse, landed: DataFrame, key: str = "id_profile") -> None:
-    """Company profiles, versioned in the serving tier."""
-    raw = landed.select(*schemas.PROFILE_RAW.fieldNames())
-    w.merge(raw, RAW, "profile", ["uuid"], differs(raw.columns, exclude=["uuid"]), "ymd")
-    named = rename_by_position(raw, schemas.PROFILE_RAW, schemas.PROFILE)
-    w.merge(named, CLEANED, "profile", [key], differs(named.columns, exclude=[key]), "ticker_type")
-    started = _now()
-    as_of = datetime.combine(w.as_of, datetime.min.time())
-    # The load day is not an attribute of the company: a new day alone makes no new version.
-    commit = upsert_versions(named.drop("ymd"), w.path(SERVING, "profile"), [key], as_of, "ticker_type")
-    w.log(SERVING, "profile", started, commit)
+def load_profiles(w: Warehouse, landed: DataFrame, source: Source = UNNAMED) -> None:
+    """Company profiles, versioned in the serving tier. They are matched by ``uuid`` if the feed has one, else by ticker. A
+    feed without rows falls back to the newest day that the raw tier holds."""
+    names = [c for c in schemas.PROFILE_RAW.fieldNames() if c != "uuid" or "uuid" in landed.columns]
+    key = "uuid" if "uuid" in landed.columns else "ticker"
+    raw_schema = StructType([f for f in schemas.PROFILE_RAW if f.name in names])
+    target = StructType([schemas.PROFILE.fields[schemas.PROFILE_RAW.fieldNames().index(n)] for n in names])
+    with w.run("profile", landed, source):
+        raw = landed.select(*names)
+        w.merge(raw, RAW, "profile", [key], differs(names, exclude=[key]), "ymd")
+        raw = or_latest_partition(raw, w.read(RAW, "profile").select(*names))
+        named = rename_by_position(raw, raw_schema, target)
+        own = "id_profile" if key == "uuid" else key
+        w.merge(named, CLEANED, "profile", [own], differs(named.columns, exclude=[own]), "ticker_type")
+        started = _now()
+        as_of = datetime.combine(w.as_of, datetime.min.time())
+        # The load day is not an attribute of the company: a new day alone makes no new version.
+        commit = upsert_versions(named.drop("ymd"), w.path(SERVING, "profile"), [own], as_of, "ticker_type")
+        w.log(SERVING, "profile", started, commit=commit)
 
 
 def load_calendar(w: Warehouse) -> None:
@@ -168,5 +245,48 @@ def load_calendar(w: Warehouse) -> None:
     w.merge(days, SERVING, "calendar", ["dt_date"], recent("dt_date", w.as_of), "dt_year")
 
 
+# From landed files --------------------------------------------------------------------------
+
+# Fields of the price feed and the raw columns they become.
+PRICE_FIELDS = {
+    "Open": "Open", "High": "High", "Low": "Low", "Close": "Close", "Adj Close": "AdjClose", "Volume": "Volume",
+    "Dividends": "Dividends", "Stock Splits": "StockSplits", "Capital Gains": "CapitalGains",
+}
+
+
+def load_price_files(w: Warehouse, path: str, tickers: Sequence[str], start_load: date | None = None) -> None:
+    """Wide price files (CSV with a header, ``ticker__field`` columns) to all price tables."""
+    wide = w.spark.read.option("header", True).csv(path)
+    fields = {f: out for f, out in PRICE_FIELDS.items() if any(f"{t}__{f}" in wide.columns for t in tickers)}
+    long = unpivot_prices(wide, tickers, fields)
+    names = [f.name for f in schemas.PRICES_RAW if f.name != "ymd"]
+    types = {f.name: f.dataType for f in schemas.PRICES_RAW}
+    rows = long.select(*[(F.col(n) if n in long.columns else F.lit(None).cast(types[n])).alias(n) for n in names])
+    load_prices(w, rows, start_load, ("csv", path, "prices"))
+
+
+def load_statement_files(w: Warehouse, annual: str, quarterly: str, kind: str) -> None:
+    """Wide annual and quarterly statement files (CSV with a header, one column per report date) to all statement tables."""
+    wide = [w.spark.read.option("header", True).csv(path) for path in (annual, quarterly)]
+    load_statement(w, raw_statement(*wide, w.ymd), kind, ("csv", f"{annual}, {quarterly}", kind))
+
+
+def load_rate_files(w: Warehouse, path: str, table: str, feed: str, monthly: bool = False) -> None:
+    """JSON or XML rate files to the rate tables; ``feed`` is json or xml."""
+    if feed == "json":
+        load_rates(w, files.json_rates(w.spark, path, table.upper(), w.ymd), schemas.JSON_RATES_RAW, "dd/MM/yyyy", table, monthly, (feed, path, table))
+    else:
+        load_rates(w, files.xml_rates(w.spark, path, table.upper(), w.ymd), schemas.XML_RATES_RAW, "yyyy-MM-dd", table, monthly, (feed, path, table))
+
+
+def load_profile_files(w: Warehouse, path: str) -> None:
+    """JSON company records, with or without a uuid, to the profile tables."""
+    record = StructType([f for f in schemas.PROFILE_RAW if f.name != "ymd"])
+    rows = w.spark.read.schema(record).json(path)
+    if rows.where("uuid IS NOT NULL").isEmpty():
+        rows = rows.drop("uuid")
+    load_profiles(w, files.flatten_profiles(rows, w.ymd), ("json", path, "profile"))
+
+
 def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)

@@ -1,10 +1,12 @@
-"""Writing Parquet tables: first write, upsert, versioned upsert.
-
-Plain Parquet has no row-level update, so a change rewrites the partitions it touches. The
-new content is staged first, as a table of its own in shared storage, and then published
-over those partitions. Until publishing starts the table is untouched; publishing reads
-only the staged rows, so it survives lost executors and can be repeated from the staged
-table if the driver is lost. Writers of one table must run one after another.
+"""Writing Parquet tables: first write, upsert, versioned upsert, delete.
+
+Plain Parquet has no row-level update, so a change rewrites the partitions with a changed row,
+and no others. A sink first stages the source, then the rows that it takes, then the new
+content of the changed partitions, each as a table in shared storage, and publishes the last
+by one dynamic overwrite. Which partitions change is a frame too: it is joined, never listed
+on the driver. Staged tables are removed once a write has succeeded; until it publishes, the
+table is untouched, and a write that failed can simply be run again. Writers of one table must
+run one after another.
 """
 
 from __future__ import annotations
@@ -16,46 +18,45 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tallyline.operators import scd2
-from tallyline.operators.merge import ACTION, INSERT, UPDATE, delete_where, merge, merge_metrics
+from tallyline.operators.merge import ACTION, FROM, INSERT, UPDATE, changes, delete_where, merge_checked
 from tallyline.operators.pairing import checked_source
+from tallyline.operators.scd2 import CURRENT, END
 from tallyline.settings import shared_dir
 from tallyline.sources.tables import read_table
 
-# Past this many partition values a change is not narrowed to partitions: the whole table is
-# rewritten. It bounds what the driver holds, not what is written.
-MAX_LISTED_PARTITIONS = 10_000
-FROM = "_from_partition"
-WHOLE = "staged-whole-"
+TEXT = StringType()
 
 
 @dataclass(frozen=True)
 class Commit:
-    """What a write did: where, and how many rows of each kind."""
+    """What a write did: where, and how many rows of each kind; and how many the source had."""
 
     path: str
     inserted: int = 0
     updated: int = 0
     deleted: int = 0
+    source: int = 0
 
     @property
     def metrics(self) -> dict[str, int]:
         return {"inserted": self.inserted, "updated": self.updated, "deleted": self.deleted}
 
 
-def write_table(df: DataFrame, path: str, partition: str | None = None, mode: str = "append", **options) -> None:
+def write_table(df: DataFrame, path: str, partition: str | Sequence[str] | None = None, mode: str = "append", **options) -> None:
     """Appends (or overwrites), one directory per partition value.
 
     The rebalance hint gathers each value's rows, so that a value does not leave a small file
     per task, and lets adaptive execution split a value that holds much of the table.
     """
-    rows = df.hint("rebalance", partition) if partition else df
+    columns = [partition] if isinstance(partition, str) else list(partition or [])
+    rows = df.hint("rebalance", *columns) if columns else df
     writer = rows.write.mode(mode).options(**options)
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    (writer.partitionBy(*columns) if columns else writer).parquet(path)
 
 
 def upsert(
@@ -68,20 +69,24 @@ def upsert(
 ) -> Commit:
     """Creates the table from ``new``, or merges ``new`` into it.
 
-    Only partitions that can hold a matched or inserted row are read in full, and only those
-    with a changed row are written. ``schema`` is the table's, to save merging file footers.
+    ``schema`` is the table's, with all of its columns: it saves merging file footers. Without
+    one a partition column has the source's type; partition text is never taken for a number.
     """
-    spark = new.sparkSession
-    old = _open(spark, path, new, partition, schema)
-    if old is None:
-        return _create(checked_source(new, keys), path, partition)
-    touched = _touched(old, new, keys, partition)
-    target = _within(old, partition, touched)
-    if partition:
-        target = target.withColumn(FROM, F.col(partition))
-    merged = merge(target, new, keys, update_when)
-    with _Staged(spark, merged, path, whole=touched is None) as staged:
-        return _finish(staged, old, path, partition, whole=touched is None)
+    with _Stage(new.sparkSession, path) as stage:
+        source = stage.checked(new, keys)
+        arrived = source.count()
+        old = open_table(new.sparkSession, path, partition, schema, new.schema)
+        if old is None:
+            write_table(source, path, partition)
+            return Commit(path, inserted=arrived, source=arrived)
+        taken = stage.keep(changes(old, source, keys, update_when, partition))
+        inserted, updated = _counts(taken)
+        if inserted or updated:
+            rows = taken.drop(ACTION, FROM)
+            changed = _changed(taken, partition)
+            merged = merge_checked(_within(old, partition, changed), rows, keys).drop(ACTION)
+            _publish(stage, merged, old, path, partition, changed, moved=updated > 0)
+        return Commit(path, inserted, updated, source=arrived)
 
 
 def upsert_versions(
@@ -93,132 +98,163 @@ def upsert_versions(
     null_safe: bool = False,
     schema: StructType | None = None,
 ) -> Commit:
-    """Creates a versioned dimension from a snapshot, or applies the snapshot to it."""
-    spark = snapshot.sparkSession
-    history = _open(spark, path, snapshot, partition, schema)
-    if history is None:
-        return _create(scd2.first_version(checked_source(snapshot, keys)), path, partition)
-    touched = _touched(history.where(F.col(scd2.CURRENT)), snapshot, keys, partition)
-    target = _within(history, partition, touched)
-    versions = scd2.apply_snapshot(target, snapshot, keys, as_of, null_safe=null_safe)
-    with _Staged(spark, versions, path, whole=touched is None) as staged:
-        return _finish(staged, history, path, partition, whole=touched is None)
-
-
-def delete(spark: SparkSession, path: str, condition: Column | str, partition: str | None = None) -> Commit:
+    """Creates a versioned dimension from a snapshot, or applies the snapshot to it.
+
+    The table is partitioned by whether a row is current, then by ``partition``. Closed rows
+    are appended and never written again; of the current ones the changed partitions are. The
+    append comes first and leaves out rows that are there already, so a run that was cut short
+    between the two can be repeated.
+    """
+    spark, layout = snapshot.sparkSession, [CURRENT] + ([partition] if partition else [])
+    with _Stage(spark, path) as stage:
+        source = stage.checked(snapshot, keys)
+        arrived = source.count()
+        history = open_table(spark, path, partition, schema, scd2.first_version(snapshot).schema)
+        if history is None:
+            write_table(scd2.first_version(source), path, layout)
+            return Commit(path, inserted=arrived, source=arrived)
+        current = history.where(F.col(CURRENT))
+        versions = stage.keep(scd2.apply_snapshot(current, source, keys, as_of, null_safe=null_safe, checked=True))
+        inserted, updated = _counts(versions)
+        if inserted or updated:
+            closed = versions.where(F.col(ACTION) == UPDATE).drop(ACTION)
+            past = history.where(~F.col(CURRENT)).select(*keys, END)
+            write_table(closed.join(past, [*keys, END], "left_anti").select(*closed.columns), path, layout)
+            changed = _changed(versions.where(F.col(ACTION) != "keep").withColumn(FROM, F.lit(None)), partition)
+            open_rows = versions.where(F.col(CURRENT)).drop(ACTION)
+            if partition and updated:  # a key may have moved to another partition
+                before = current.select(partition).distinct()
+                emptied = stage.keep(before.join(open_rows, _same(before, open_rows, partition), "left_anti"))
+            write_table(_within(open_rows, partition, changed), path, layout, "overwrite", partitionOverwriteMode="dynamic")
+            if partition and updated:
+                _empty(read_table(spark, path, CURRENT, schema=history.schema), layout, emptied)
+        return Commit(path, inserted, updated, source=arrived)
+
+
+def delete(
+    spark: SparkSession, path: str, condition: Column | str, partition: str | None = None, schema: StructType | None = None
+) -> Commit:
     """Deletes the rows that meet a condition, rewriting the partitions they are in."""
     condition = F.expr(condition) if isinstance(condition, str) else condition
-    old = read_table(spark, path)
-    gone = old.where(condition)
-    touched = _values(gone, [partition]) if partition else None
-    deleted = gone.count()
-    if deleted:
-        target = _within(old, partition, touched)
-        with _Staged(spark, delete_where(target, condition), path, whole=touched is None) as rest:
-            if touched is None:
-                write_table(rest, path, partition, "overwrite", partitionOverwriteMode="static")
-            else:
-                _publish(rest, old, path, partition, touched, _values(rest, [partition]))
-    return Commit(path, deleted=deleted)
+    with _Stage(spark, path) as stage:
+        old = open_table(spark, path, partition, schema)
+        if old is None:
+            return Commit(path)
+        gone = old.where(condition)
+        deleted = gone.count()
+        if deleted:
+            changed = stage.keep(gone.select(partition).distinct()) if partition else None
+            _publish(stage, delete_where(_within(old, partition, changed), condition), old, path, partition, changed, moved=True)
+        return Commit(path, deleted=deleted)
+
+
+def open_table(
+    spark: SparkSession, path: str, partition: str | None = None, schema: StructType | None = None, like: StructType | None = None
+) -> DataFrame | None:
+    """The table, or None if nothing is there.
 
+    Without a declared schema the columns come from the files' footers, and a partition column
+    takes the type it has in ``like``, else text: as a guess, ``000660`` would be a number.
+    """
+    try:
+        if schema is None:
+            found = read_table(spark, path).schema
+            types = {f.name: f.dataType for f in like or []}
+            types |= {partition: types.get(partition, TEXT), CURRENT: BooleanType()}
+            schema = StructType([StructField(f.name, types[f.name] if f.name in (partition, CURRENT) else f.dataType, f.nullable) for f in found])
+        elif like is not None:  # a column that is new to the table
+            schema = StructType(schema.fields + [f for f in like if f.name not in schema.fieldNames()])
+        return read_table(spark, path, schema=schema)
+    except AnalysisException:  # no such path, or nothing written there yet
+        return None
 
-def republish(spark: SparkSession, staged: str, path: str, partition: str | None = None) -> Commit:
-    """Publishes a staged table that an interrupted upsert left behind; safe to repeat."""
-    return _finish(spark.read.parquet(staged), read_table(spark, path), path, partition, whole=WHOLE in staged)
 
+class _Stage:
+    """A folder of staged tables in shared storage, removed once the write has succeeded."""
 
-def _create(rows: DataFrame, path: str, partition: str | None) -> Commit:
-    written = Observation()
-    write_table(rows.observe(written, F.count(F.lit(1)).alias("rows")), path, partition)
-    return Commit(path, inserted=written.get["rows"])
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark = spark
+        self.path = f"{shared_dir(spark, f'{table.rstrip('/')}__staging')}/staged-{uuid.uuid4().hex}"
+        self.tables = 0
 
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """The rows as a table that is written once and read from then on."""
+        self.tables += 1
+        path = f"{self.path}/{self.tables}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
-def _open(
-    spark: SparkSession, path: str, like: DataFrame, partition: str | None, schema: StructType | None
-) -> DataFrame | None:
-    """The table, with its partition column in the type the source has and not a guessed one."""
-    try:
-        found = read_table(spark, path, schema=schema).schema
-    except AnalysisException:  # no such path, or nothing written there yet
-        return None
-    declared = {f.name: f.dataType for f in like.schema if f.name == partition}
-    fields = [StructField(f.name, declared.get(f.name, f.dataType), f.nullable) for f in found]
-    return read_table(spark, path, schema=StructType(fields))
+    def checked(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The source, computed once; reading it fails on a null key or a repeated one."""
+        return checked_source(self.keep(rows), keys)
 
+    def __enter__(self) -> _Stage:
+        return self
 
-def _touched(old: DataFrame, new: DataFrame, keys: Sequence[str], partition: str | None) -> list | None:
-    """Values of the partitions that can hold a matched or inserted row; None for all of them."""
-    if partition is None:
-        return None
-    arriving = new.select(partition)
-    if partition not in keys:
-        matched = old.join(new.select(*keys), list(keys), "left_semi").select(partition)
-        arriving = arriving.union(matched)
-    return _values(arriving, [partition])
+    def __exit__(self, failure, *_) -> None:
+        if failure is None:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _values(df: DataFrame, columns: Sequence[str]) -> list | None:
-    """Distinct values over some columns, or None when there are too many to list."""
-    one = df.select(F.explode(F.array_distinct(F.array(*columns))).alias("value")).distinct()
-    rows = one.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    return [r["value"] for r in rows] if len(rows) <= MAX_LISTED_PARTITIONS else None
+def _counts(rows: DataFrame) -> tuple[int, int]:
+    found = {r[ACTION]: r["n"] for r in rows.groupBy(ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return found.get(INSERT, 0), found.get(UPDATE, 0)
 
 
-def _within(df: DataFrame, partition: str | None, values: list | None) -> DataFrame:
-    if partition is None or values is None:
-        return df
-    listed = F.col(partition).isin([v for v in values if v is not None])
-    return df.where(listed | F.col(partition).isNull() if None in values else listed)
+def _changed(taken: DataFrame, partition: str | None) -> DataFrame | None:
+    """The partitions that get or lose a row, as a frame; None for a table without partitions."""
+    if partition is None:
+        return None
+    kind = taken.schema[partition].dataType
+    gets = taken.select(partition)
+    loses = taken.where(F.col(ACTION) == UPDATE).select(F.col(FROM).cast(kind).alias(partition))
+    return gets.union(loses).distinct()
 
 
-class _Staged:
-    """Rows written to a folder of their own in shared storage, removed once published."""
+def _same(a: DataFrame, b: DataFrame, column: str) -> Column:
+    return a[column].eqNullSafe(b[column])
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, table: str, whole: bool):
-        root = shared_dir(spark, f"{table.rstrip('/')}__staging")
-        self.spark, self.rows, self.path = spark, rows, f"{root}/{WHOLE if whole else 'staged-'}{uuid.uuid4()}"
 
-    def __enter__(self) -> DataFrame:
-        self.rows.write.parquet(self.path)
-        return self.spark.read.schema(self.rows.schema).parquet(self.path)
+def selective(values: DataFrame, column: str) -> DataFrame:
+    """The same rows, under a comparison that all of them meet: Spark prunes partitions at run time only by a side that has
+    one."""
+    return values.where(F.coalesce(F.col(column).cast("string"), F.lit("")) >= "")
 
-    def __exit__(self, failure, *_) -> None:
-        if failure is None:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+def _within(df: DataFrame, partition: str | None, changed: DataFrame | None) -> DataFrame:
+    """Rows in the changed partitions. Of a table, Spark prunes the others at run time where the values can be broadcast; that
+    takes a plain equality, so the null partition goes a way of its own."""
+    if changed is None:
+        return df
+    values = selective(changed.select(F.col(partition).alias("_changed")), "_changed")
+    among_nulls = changed.agg(F.coalesce(F.bool_or(F.col(partition).isNull()), F.lit(False))).scalar()
+    return df.join(values, df[partition] == values["_changed"], "left_semi").union(df.where(F.col(partition).isNull() & among_nulls))
 
 
-def _finish(staged: DataFrame, old: DataFrame, path: str, partition: str | None, whole: bool) -> Commit:
-    """Publishes merged rows: all of them if they are the whole table, else the changed partitions."""
-    if whole:
-        counts = merge_metrics(staged).first()
-        if counts["inserted"] or counts["updated"]:
-            rows = staged.drop(ACTION, FROM)
-            write_table(rows, path, partition, "overwrite", partitionOverwriteMode="static")
-        return Commit(path, counts["inserted"], counts["updated"])
-    # Distinct partition values are bounded by those the change was narrowed to.
-    groups = staged.groupBy(partition).agg(
-        F.count_if(F.col(ACTION) == INSERT).alias("inserted"), F.count_if(F.col(ACTION) == UPDATE).alias("updated")
-    ).collect()
-    inserted, updated = sum(g["inserted"] for g in groups), sum(g["updated"] for g in groups)
-    if inserted or updated:
-        changed = {g[partition] for g in groups if g["inserted"] or g["updated"]}
-        if FROM in staged.columns and updated:
-            changed |= set(_values(staged.where(F.col(ACTION) == UPDATE), [FROM]))
-        rows = _within(staged, partition, list(changed)).drop(ACTION, FROM)
-        _publish(rows, old, path, partition, list(changed), [g[partition] for g in groups])
-    return Commit(path, inserted, updated)
-
-
-def _publish(rows: DataFrame, old: DataFrame, path: str, partition: str, changed: list, left: list) -> None:
-    """Writes staged rows over the changed partitions; ``left`` are those that still have rows."""
-    emptied = set(changed) - set(left)
-    folders = _folders(_within(old, partition, list(emptied))) if emptied else []
-    write_table(rows, path, partition, "overwrite", partitionOverwriteMode="dynamic")
-    for folder in folders:  # a partition that lost its last row gets an empty file
-        rows.drop(partition).limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
-
-
-def _folders(df: DataFrame) -> list[str]:
-    files = df.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
-    return [re.sub(r"^file:///", "/", unquote(r["folder"])) for r in files.collect()]
+def _publish(
+    stage: _Stage, rows: DataFrame, old: DataFrame, path: str, partition: str | None, changed: DataFrame | None, moved: bool
+) -> None:
+    """Stages the new content of the changed partitions and writes it over them."""
+    staged = stage.keep(rows)
+    if partition is None:
+        write_table(staged, path, None, "overwrite", partitionOverwriteMode="static")
+        return
+    left = staged.select(partition).distinct()
+    emptied = changed.join(left, _same(changed, left, partition), "left_anti") if moved else None
+    write_table(staged, path, partition, "overwrite", partitionOverwriteMode="dynamic")
+    if emptied is not None:
+        _empty(read_table(old.sparkSession, path, schema=old.schema), [partition], emptied)
+
+
+def _empty(table: DataFrame, layout: list[str], emptied: DataFrame) -> None:
+    """A dynamic overwrite leaves alone a partition that lost its last row: it gets an empty file instead."""
+    if emptied.isEmpty():
+        return
+    partition = layout[-1]
+    files = _within(table.select(partition, F.col("_metadata.file_path").alias("_file")), partition, emptied)
+    folders = files.select(F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        folder = re.sub(r"^file:///", "/", unquote(row["folder"]))
+        none = StructType([f for f in table.schema if f.name not in layout])
+        table.sparkSession.createDataFrame([], none).coalesce(1).write.mode("overwrite").parquet(folder)

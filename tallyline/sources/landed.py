@@ -12,15 +12,22 @@ XML_RATE_TAG = "rate"
 JSON_RATE_SCHEMA = "data string, valor string"
 
 
-def json_rates(spark: SparkSession, path: str, rate_type: str, ymd: str) -> DataFrame:
-    """Landed JSON rate lists to (tipo, data, valor, ymd), all text."""
-    rows = spark.read.schema(JSON_RATE_SCHEMA).option("multiLine", True).json(path)
+def json_rates(spark: SparkSession, path: str, rate_type: str, ymd: str, lines: bool = False) -> DataFrame:
+    """Landed JSON rate lists to (tipo, data, valor, ymd), all text.
+
+    A list may span lines, so one task reads a whole file; with ``lines`` every line is a rate of its own and large files
+    are split. What can't be parsed is a row without date and value.
+    """
+    rows = spark.read.schema(JSON_RATE_SCHEMA).option("multiLine", not lines).json(path)
     return _json_rate_columns(rows, F.lit(rate_type), ymd)
 
 
 def json_rates_in(df: DataFrame, payload: str, rate_type: Column, ymd: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The same from a text column that holds one JSON list of rates per row."""
-    rate = F.explode(F.from_json(payload, f"array<struct<{_struct_ddl(JSON_RATE_SCHEMA)}>>")).alias("_rate")
+    """The same from a text column that holds one JSON list of rates per row. A list that can't be parsed is a row without
+    date and value; an empty list is none."""
+    kind = f"array<struct<{_struct_ddl(JSON_RATE_SCHEMA)}>>"
+    unread = F.array(F.lit(None).cast(kind.removeprefix("array<")[:-1]))
+    rate = F.explode(F.coalesce(F.from_json(payload, kind), unread)).alias("_rate")
     rows = df.select(*keep, rate_type.alias("_type"), rate).select(*keep, "_type", "_rate.*")
     return _json_rate_columns(rows, F.col("_type"), ymd, keep)
 

@@ -11,10 +11,8 @@ from pyspark.sql.types import StructType
 
 from tallyline.functions.dates import as_date
 
-# The first day loaded when a table is still empty, and the row limit of a
-# search that names neither a filter nor a limit.
+# Fixed value: the first day loaded when a table is still empty.
 LOAD_START = date(2013, 1, 1)
-DEFAULT_FIND_LIMIT = 1000
 
 
 def table_path(root: str, tier: str, table: str, folder: str | None = None) -> str:
@@ -51,12 +49,12 @@ def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
 
 
 def find(df: DataFrame, condition: Column | str | None = None, limit: int = 0, order: list[str] | None = None) -> DataFrame:
-    """Rows that meet a condition, at most ``limit`` of them in ``order``.
+    """Rows that meet a condition, in ``order``: all of them, or the first ``limit`` if that is above zero.
 
-    Zero means no limit, or 1000 rows when there is no condition either.
+    A limit needs an order, as without one it would be chance which rows it leaves out.
     """
-    if condition is None and not limit:
-        limit = DEFAULT_FIND_LIMIT
+    if limit and not order:
+        raise ValueError("a limit needs an order")
     rows = df if condition is None else df.where(condition)
     if order:
         rows = rows.orderBy(*order)
@@ -69,7 +67,7 @@ def or_latest_partition(rows: DataFrame, earlier: DataFrame, partition: str = "y
     Both tests are scalar subqueries of the plan, so nothing runs until the result is used,
     and the newest partition is the only one of the earlier table that passes.
     """
-    none_new = rows.agg(F.count(F.lit(1)) == 0).scalar()
+    none_new = rows.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
     newest = earlier.agg(F.max(partition)).scalar()
     return rows.unionByName(
         earlier.where((F.col(partition) == newest) & none_new).select(*rows.columns)

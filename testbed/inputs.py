@@ -151,23 +151,29 @@ def rate_type() -> Column:
     return F.when(high, "SELIC").otherwise("EFFR")
 
 
-def json_rates(t: Tables) -> DataFrame:
-    """Orders as rate documents in JSON, read back."""
+def broken() -> Column:
+    """Orders whose rate payload arrives cut off."""
+    return F.col("o_orderkey") % 10 == 3
+
+
+def json_rates(t: Tables, with_broken: bool = False) -> DataFrame:
+    """Orders as rate documents in JSON, read back; every tenth payload cut off if asked for."""
     record = F.struct(
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"), (cents("o_totalprice")).cast("string").alias("valor")
     )
-    orders = t.orders.select("*", F.to_json(F.array(record)).alias("payload"))
+    whole = F.to_json(F.array(record))
+    orders = t.orders.select("*", F.when(broken(), F.substring(whole, 1, 9)).otherwise(whole).alias("payload") if with_broken else whole.alias("payload"))
     return json_rates_in(orders, "payload", rate_type(), YMD, keep=("o_orderkey",))
 
 
-def xml_rates(t: Tables) -> DataFrame:
-    """Orders as rate elements in XML, read back."""
+def xml_rates(t: Tables, with_broken: bool = False) -> DataFrame:
+    """Orders as rate elements in XML, read back; every tenth payload cut off if asked for."""
     element = F.format_string(
         "<rate><effectiveDate>%s</effectiveDate><percentRate>%s</percentRate></rate>",
         F.date_format("o_orderdate", "yyyy-MM-dd"),
         cents("o_totalprice").cast("string"),
     )
-    orders = t.orders.select("*", element.alias("payload"))
+    orders = t.orders.select("*", F.when(broken(), F.substring(element, 1, 20)).otherwise(element).alias("payload") if with_broken else element.alias("payload"))
     return xml_rates_in(orders, "payload", rate_type(), YMD, keep=("o_orderkey",))
 
 
@@ -196,19 +202,15 @@ def portfolios(t: Tables) -> DataFrame:
 
 
 def ticker_documents(t: Tables) -> DataFrame:
-    """Parts as ticker documents: the first part of each (type, brand), none for small sizes."""
-    first = F.min_by("p_name", "p_partkey")
-    grouped = t.part.groupBy("p_type", "p_brand").agg(
-        F.min("p_partkey").alias("_id"), first.alias("Name"), F.min_by("p_size", "p_partkey").alias("size")
-    )
-    return grouped.select(
-        F.col("_id").cast("string").alias("_id"),
+    """Parts as ticker documents, one each; those of small parts have no ticker."""
+    return t.part.select(
+        F.col("p_partkey").cast("string").alias("_id"),
         F.col("p_type").alias("Type"),
-        F.when(F.col("size") > 5, F.col("p_brand")).alias("Ticker"),
-        "Name",
+        F.when(F.col("p_size") > 5, F.col("p_brand")).alias("Ticker"),
+        F.col("p_name").alias("Name"),
         F.lit("NYSE").alias("Exchange"),
         F.col("p_type").alias("Category_Name"),
-        F.when(F.col("size") > 20, "US").alias("Country"),
+        F.when(F.col("p_size") > 20, "US").alias("Country"),
     )
 
 

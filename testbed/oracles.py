@@ -238,6 +238,18 @@ result AS (
      OR c_custkey NOT IN (SELECT c_custkey FROM history WHERE is_current))"""
 
 
+WIDER_HISTORY = (
+    HISTORY.replace("c_mktsegment FROM customers WHERE c_acctbal >= 0", "c_mktsegment, CASE WHEN c_nationkey % 3 = 0 THEN 'gold' END AS c_tier FROM customers WHERE c_acctbal >= 0")
+    .replace("OR h.c_mktsegment <> s.c_mktsegment", "OR h.c_mktsegment <> s.c_mktsegment OR s.c_tier IS NOT NULL")
+    .replace("SELECT h.* EXCLUDE (end_dt, is_current),", "SELECT h.* EXCLUDE (end_dt, is_current), CAST(NULL AS VARCHAR) AS c_tier,")
+)
+
+
+def whole(value: str) -> str:
+    """Null where the payload arrives cut off."""
+    return f"CASE WHEN o_orderkey % 10 = 3 THEN NULL ELSE {value} END"
+
+
 def counts(table: str, conditions: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, count(*) FILTER (WHERE {c}) AS bad_rows FROM {table}" for name, c in conditions.items()
@@ -288,17 +300,50 @@ def latest(columns: list[str]) -> str:
     return with_(SALES, BARS, KPIS, CALENDAR, LATEST) + f"SELECT {', '.join(columns)} FROM latest"
 
 
+ONE = " WHERE ticker = 'Brand#11'"
+
+
+def price_report(since: str, period: str) -> str:
+    return (
+        with_(SALES, BARS, KPIS, CALENDAR, statement("income"))
+        + f"""SELECT DISTINCT prc.*, i.income_value FROM (
+           SELECT ticker, CAST(dt_year AS VARCHAR) || '-' || dt_month AS year_month,
+                  first_value(vl_open) OVER all_days AS vl_open, last_value(vl_close) OVER all_days AS vl_close,
+                  last_value(vl_moving_avg_200_days) OVER all_days AS vl_moving_avg_200_days
+           FROM kpis JOIN calendar ON dt_date = price_date
+           WHERE price_date >= {since}
+           WINDOW all_days AS (PARTITION BY ticker, dt_year, dt_month ORDER BY price_date
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) prc
+         LEFT JOIN income i ON prc.year_month = strftime(i.income_report_date, '%Y-%m') AND prc.ticker = i.ticker
+              AND i.income_description = 'Net Income' AND i.income_period = '{period}'"""
+    )
+
+
+DIVIDENDS = (
+    with_(SALES, BARS)
+    + f"""SELECT ticker, dt_year, {rnd('paid', 4)} AS vl_dividends, {rnd('prev', 4)} AS vl_dividend_prev,
+          {rnd(f'(paid - {rnd("prev", 4)}) / NULLIF({rnd("prev", 4)}, 0) * 100', 2)} AS vl_dividend_growth
+          FROM (SELECT *, lag(paid) OVER (PARTITION BY ticker ORDER BY dt_year) AS prev
+                FROM (SELECT ticker, CAST(year(price_date) AS INTEGER) AS dt_year, sum(vl_dividends) AS paid FROM bars
+                      WHERE vl_dividends > 0 AND price_date >= DATE '1998-01-01' GROUP BY 1, 2))"""
+)
+
+INCOME_LINES = "income", {"Net_Income": "Net Income", "Total_Revenue": "Total Revenue"}, "Profit_Margin"
+BALANCE_LINES = (
+    "balance",
+    {"Total_Liabilities": "Total Liabilities Net Minority Interest", "Total_Assets": "Total Assets"},
+    "Debt_to_Assets",
+)
+
 ORDER_DAY = "CAST(o_orderdate AS DATE)"
 TEXT_ATTRIBUTES = [
     "dt_month", "dt_day", "dt_day_of_week", "dt_day_of_week_short", "dt_week_of_year", "dt_quarter_long",
     "dt_semester_desc", "dt_full_date", "dt_is_weekend", "dt_is_hollyday",
 ]
 TICKER_DOCUMENTS = """docs AS (
-  SELECT CAST(min(p_partkey) AS VARCHAR) AS _id, p_type AS "Type",
-         CASE WHEN arg_min(p_size, p_partkey) > 5 THEN p_brand END AS "Ticker",
-         arg_min(p_name, p_partkey) AS "Name", 'NYSE' AS "Exchange", p_type AS "Category_Name",
-         CASE WHEN arg_min(p_size, p_partkey) > 20 THEN 'US' END AS "Country"
-  FROM part GROUP BY p_type, p_brand)"""
+  SELECT CAST(p_partkey AS VARCHAR) AS _id, p_type AS "Type", CASE WHEN p_size > 5 THEN p_brand END AS "Ticker", p_name AS "Name",
+         'NYSE' AS "Exchange", p_type AS "Category_Name", CASE WHEN p_size > 20 THEN 'US' END AS "Country"
+  FROM part)"""
 PROFILES = (
     f"SELECT DISTINCT c_custkey AS ticker, c_name AS \"longName\", c_mktsegment AS sector, {YMD} AS ymd FROM customer"
 )
@@ -314,10 +359,10 @@ ORACLES: dict[str, str] = {
     + """SELECT strftime(price_date, '%Y-%m-%d') AS "Date", ticker AS "Ticker", vl_open AS "Open", vl_high AS "High",
          vl_low AS "Low", vl_close AS "Close", vl_volume AS "Volume", vl_dividends AS "Dividends" FROM bars""",
     "q_unpivot_statement": with_(SALES, statement("income")) + "SELECT * FROM income_raw",
-    "q_json_rates": f"""SELECT {RATE_TYPE} AS tipo, strftime(o_orderdate, '%d/%m/%Y') AS data,
-        CAST({cents('o_totalprice')} AS VARCHAR) AS valor, {YMD} AS ymd, o_orderkey FROM orders""",
-    "q_xml_rates": f"""SELECT {RATE_TYPE} AS "typeRate", strftime(o_orderdate, '%Y-%m-%d') AS "effectiveDate",
-        CAST({cents('o_totalprice')} AS VARCHAR) AS "percentRate", {YMD} AS ymd, o_orderkey FROM orders""",
+    "q_json_rates": f"""SELECT {RATE_TYPE} AS tipo, {whole("strftime(o_orderdate, '%d/%m/%Y')")} AS data,
+        {whole(f"CAST({cents('o_totalprice')} AS VARCHAR)")} AS valor, {YMD} AS ymd, o_orderkey FROM orders""",
+    "q_xml_rates": f"""SELECT {RATE_TYPE} AS "typeRate", {whole("strftime(o_orderdate, '%Y-%m-%d')")} AS "effectiveDate",
+        {whole(f"CAST({cents('o_totalprice')} AS VARCHAR)")} AS "percentRate", {YMD} AS ymd, o_orderkey FROM orders""",
     "q_profile_flatten": PROFILES,
     "q_distinct_profile": PROFILES,
     "q_fallback_partition": """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS ymd FROM orders
@@ -332,7 +377,7 @@ ORACLES: dict[str, str] = {
     "q_high_water_mark": with_(RATES)
     + """SELECT * FROM rates WHERE rate_date >=
          (SELECT max(rate_date) FROM rates WHERE rate_type = 'SELIC' AND rate_date < DATE '2001-01-01')""",
-    "q_high_water_mark_empty": "SELECT DATE '1995-01-01' AS high_water_mark",
+    "q_high_water_mark_empty": with_(RATES) + "SELECT * FROM rates WHERE rate_date >= DATE '1999-01-01'",
     "q_merge_upsert": merged("true"),
     "q_merge_on_change": merged(PRICE_DIFFERS),
     "q_merge_recent_window": merged(f"old.o_orderdate >= {AS_OF} - 500"),
@@ -354,12 +399,18 @@ ORACLES: dict[str, str] = {
                      {cents('value')} AS c FROM events) GROUP BY run_id, tier""",
     "q_scd2": with_(HISTORY) + "SELECT * FROM result",
     "q_scd2_current": with_(HISTORY) + "SELECT c_custkey, c_mktsegment, 'keep' AS _action FROM result WHERE is_current",
+    "q_scd2_schema_evolution": with_(WIDER_HISTORY) + "SELECT * FROM result",
     "q_rename_schema": """SELECT l_orderkey AS "order", l_partkey AS part, l_suppkey AS supplier, l_linenumber AS line,
         l_quantity AS quantity, l_extendedprice AS price, l_discount AS "off", l_tax AS tax FROM lineitem""",
     "q_rates_silver": f"""SELECT {RATE_TYPE} AS rate_type,
         CASE WHEN c % 10 = 7 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS rate_date,
         CASE WHEN c % 10 = 3 THEN NULL ELSE CAST(c AS DOUBLE) END AS rate_value, o_orderkey
         FROM (SELECT *, {cents('o_totalprice')} AS c FROM orders)""",
+    "q_rates_rejects": f"""SELECT * FROM (
+        SELECT {RATE_TYPE} AS rate_type, {whole("CASE WHEN c % 10 = 7 THEN '31/02/1999' ELSE strftime(o_orderdate, '%d/%m/%Y') END")} AS rate_date,
+               {whole("CASE WHEN c % 10 = 3 THEN 'n/d' ELSE CAST(c AS VARCHAR) END")} AS rate_value, o_orderkey,
+               CASE WHEN o_orderkey % 10 = 3 THEN 'payload' WHEN c % 10 = 7 THEN 'date' WHEN c % 10 = 3 THEN 'value' END AS reason
+        FROM (SELECT *, {cents('o_totalprice')} AS c FROM orders)) WHERE reason IS NOT NULL""",
     "q_try_numeric": """SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS value
         FROM part""",
     "q_string_date_fns": f"""SELECT o_orderkey, {listed({n: attributes(ORDER_DAY)[n] for n in TEXT_ATTRIBUTES})},
@@ -378,6 +429,7 @@ ORACLES: dict[str, str] = {
     "q_change_month": on_bars(CHANGE_MONTH),
     "q_moving_avg": on_bars(AVERAGES),
     "q_price_kpis": with_(SALES, BARS, KPIS) + "SELECT * FROM kpis",
+    "q_kpis_incremental": with_(SALES, BARS, KPIS) + "SELECT * FROM kpis",
     "q_month_summary": with_(SALES, BARS, KPIS, MONTHS) + "SELECT * FROM month_rows",
     "q_month_kpis": with_(SALES, BARS, KPIS, MONTHS, MONTH_BASES)
     + f"""SELECT * EXCLUDE (mean, deviation),
@@ -414,31 +466,16 @@ ORACLES: dict[str, str] = {
         stats AS (SELECT avg(cents) AS mean, stddev_samp(cents) AS deviation FROM priced)
         SELECT o_orderkey, cents, round((cents - mean) / deviation, 4) AS z_score FROM priced, stats
         WHERE round((cents - mean) / deviation, 4) > 1.7""",
-    "q_dash_price": with_(SALES, BARS, KPIS, CALENDAR, statement("income"))
-    + """SELECT DISTINCT prc.*, i.income_value FROM (
-           SELECT ticker, CAST(dt_year AS VARCHAR) || '-' || dt_month AS year_month,
-                  first_value(vl_open) OVER all_days AS vl_open, last_value(vl_close) OVER all_days AS vl_close,
-                  last_value(vl_moving_avg_200_days) OVER all_days AS vl_moving_avg_200_days
-           FROM kpis JOIN calendar ON dt_date = price_date
-           WHERE price_date >= DATE '1999-12-31'
-           WINDOW all_days AS (PARTITION BY ticker, dt_year, dt_month ORDER BY price_date
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) prc
-         LEFT JOIN income i ON prc.year_month = strftime(i.income_report_date, '%Y-%m') AND prc.ticker = i.ticker
-              AND i.income_description = 'Net Income' AND i.income_period = 'Quarter'""",
-    "q_dash_dividend": with_(SALES, BARS)
-    + f"""SELECT ticker, dt_year, {rnd('paid', 4)} AS vl_dividends, {rnd('prev', 4)} AS vl_dividend_prev,
-          {rnd(f'(paid - {rnd("prev", 4)}) / NULLIF({rnd("prev", 4)}, 0) * 100', 2)} AS vl_dividend_growth
-          FROM (SELECT *, lag(paid) OVER (PARTITION BY ticker ORDER BY dt_year) AS prev
-                FROM (SELECT ticker, CAST(year(price_date) AS INTEGER) AS dt_year, sum(vl_dividends) AS paid FROM bars
-                      WHERE vl_dividends > 0 AND price_date >= DATE '1998-01-01' GROUP BY 1, 2))""",
-    "q_dash_income": statement_report(
-        "income", {"Net_Income": "Net Income", "Total_Revenue": "Total Revenue"}, "Profit_Margin"
-    ),
-    "q_dash_balance": statement_report(
-        "balance",
-        {"Total_Liabilities": "Total Liabilities Net Minority Interest", "Total_Assets": "Total Assets"},
-        "Debt_to_Assets",
-    ),
+    "q_dash_price": price_report("DATE '1999-12-31'", "Quarter"),
+    "q_dash_price_one": f"SELECT * FROM ({price_report("DATE '1991-12-31'", 'Annual')}){ONE}",
+    "q_dash_price_ten_years": price_report("DATE '1991-12-31'", "Quarter"),
+    "q_dash_dividend": DIVIDENDS,
+    "q_dash_dividend_one": DIVIDENDS + ONE,
+    "q_dash_income": statement_report(*INCOME_LINES),
+    "q_dash_income_one": statement_report(*INCOME_LINES) + ONE + " AND income_period = 'Annual'",
+    "q_dash_balance": statement_report(*BALANCE_LINES),
+    "q_dash_balance_one": statement_report(*BALANCE_LINES) + ONE + " AND balance_period = 'Quarter'",
+    "q_dash_latest_one": latest(LATEST_COLUMNS) + ONE,
     "q_dash_latest": latest(LATEST_COLUMNS),
     "q_latest_day": latest(["ticker", "dt_full_date", "perc_change_day"]),
     "q_latest_month": latest(["ticker", "dt_month_full", "perc_change_month"]),

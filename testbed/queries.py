@@ -63,12 +63,12 @@ def q_unpivot_statement(t: Tables) -> DataFrame:
 
 @query
 def q_json_rates(t: Tables) -> DataFrame:
-    return inputs.json_rates(t)
+    return inputs.json_rates(t, with_broken=True)
 
 
 @query
 def q_xml_rates(t: Tables) -> DataFrame:
-    return inputs.xml_rates(t)
+    return inputs.xml_rates(t, with_broken=True)
 
 
 @query
@@ -135,8 +135,10 @@ def q_high_water_mark(t: Tables) -> DataFrame:
 
 @query
 def q_high_water_mark_empty(t: Tables) -> DataFrame:
-    loaded = inputs.rates(t).where(F.col("rate_type") == "NONE")
-    return tables.high_water_mark(loaded, "rate_date", date(1995, 1, 1))
+    """Nothing of the feed's kind is loaded: it is read from the default day on."""
+    feed = inputs.rates(t)
+    loaded = feed.where(F.col("rate_type") == "NONE")
+    return tables.since(feed, "rate_date", tables.high_water_mark(loaded, "rate_date", date(1999, 1, 1)))
 
 
 # --- upserts -------------------------------------------------------------------------------
@@ -232,6 +234,14 @@ def q_scd2_current(t: Tables) -> DataFrame:
     return twice.where(F.col("is_current")).select("c_custkey", "c_mktsegment", ACTION)
 
 
+@query
+def q_scd2_schema_evolution(t: Tables) -> DataFrame:
+    """A snapshot with a column that the history lacks."""
+    tier = F.when(F.col("c_nationkey") % 3 == 0, "gold").alias("c_tier")
+    snapshot = inputs.profile_snapshot(t).select("*", tier)
+    return scd2.apply_snapshot(inputs.profile_history(t), snapshot, ["c_custkey"], _moment("2001-12-31"))
+
+
 # --- projections, dates and text -----------------------------------------------------------
 
 
@@ -246,13 +256,22 @@ def q_rename_schema(t: Tables) -> DataFrame:
 @query
 def q_rates_silver(t: Tables) -> DataFrame:
     """Rate text with bad dates and bad numbers among it."""
-    dirty = inputs.json_rates(t).select(
+    return rates.clean_rates(_dirty(inputs.json_rates(t)), "tipo", "data", "valor", "dd/MM/yyyy", keep=("o_orderkey",))
+
+
+def _dirty(landed_rates: DataFrame) -> DataFrame:
+    return landed_rates.select(
         "tipo",
         F.when(F.col("valor").endswith("7"), F.lit("31/02/1999")).otherwise(F.col("data")).alias("data"),
         F.when(F.col("valor").endswith("3"), F.lit("n/d")).otherwise(F.col("valor")).alias("valor"),
         "o_orderkey",
     )
-    return rates.clean_rates(dirty, "tipo", "data", "valor", "dd/MM/yyyy", keep=("o_orderkey",))
+
+
+@query
+def q_rates_rejects(t: Tables) -> DataFrame:
+    """What of the same text, and of payloads that are cut off, can't be read, and why."""
+    return rates.rejected_rates(_dirty(inputs.json_rates(t, with_broken=True)), "tipo", "data", "valor", "dd/MM/yyyy", keep=("o_orderkey",))
 
 
 @query
@@ -343,6 +362,14 @@ def q_price_kpis(t: Tables) -> DataFrame:
     return kpis.daily_kpis(inputs.bars(t))
 
 
+@query
+def q_kpis_incremental(t: Tables) -> DataFrame:
+    """The bars in two loads: what is stored, and a feed that brings the later days alone."""
+    bars, later = inputs.bars(t), F.col("price_date") >= "2000-01-01"
+    feed = bars.where(later)
+    return kpis.daily_kpis(bars.where(~later)).unionByName(kpis.kpis_of_feed(bars, feed.select("ticker", "price_date")))
+
+
 def _months(t: Tables) -> DataFrame:
     return summary.month_summary(kpis.with_moving_averages(kpis.checked_series(inputs.bars(t))))
 
@@ -482,6 +509,42 @@ def q_dash_rates(t: Tables) -> DataFrame:
     return reports.rates_report(monthly, inputs.calendar(t), REPORT_START)
 
 
+# The same for one ticker and one period, as a dashboard asks for them.
+ONE = "Brand#11"
+
+
+@query
+def q_dash_price_one(t: Tables) -> DataFrame:
+    prices = kpis.with_moving_averages(kpis.checked_series(inputs.bars(t)))
+    return reports.price_report(prices, inputs.calendar(t), inputs.income(t), AS_OF, "Annual", ticker=ONE)
+
+
+@query
+def q_dash_price_ten_years(t: Tables) -> DataFrame:
+    prices = kpis.with_moving_averages(kpis.checked_series(inputs.bars(t)))
+    return reports.price_report(prices, inputs.calendar(t), inputs.income(t), AS_OF, "Quarterly")
+
+
+@query
+def q_dash_dividend_one(t: Tables) -> DataFrame:
+    return reports.dividend_report(kpis.dividends(inputs.bars(t)), REPORT_START, ticker=ONE)
+
+
+@query
+def q_dash_income_one(t: Tables) -> DataFrame:
+    return reports.income_report(inputs.income(t), inputs.calendar(t), "Annual", ONE)
+
+
+@query
+def q_dash_balance_one(t: Tables) -> DataFrame:
+    return reports.balance_report(inputs.balance(t), inputs.calendar(t), "Quarterly", ONE)
+
+
+@query
+def q_dash_latest_one(t: Tables) -> DataFrame:
+    return reports.latest_report(kpis.daily_kpis(inputs.bars(t)), inputs.calendar(t), ONE)
+
+
 @query
 def q_call_totals(t: Tables) -> DataFrame:
     """Customers whose calls add up to 3,500,000.00 or more."""

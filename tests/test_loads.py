@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.operators.quality import DataQualityError
 from tallyline.plans import loads, reports, schemas
 from tallyline.plans.loads import Warehouse
+from tallyline.sinks.tables import selective
 
 DAY_ONE, DAY_TWO = date(2024, 3, 5), date(2024, 3, 6)
 
@@ -44,12 +45,46 @@ def test_prices(spark, warehouse):
     assert (log.inserted, log.updated) == (2, 10)
 
 
+def test_a_day_at_a_time_equals_all_at_once(spark, tmp_path, rows):
+    """Twenty days and then one, or all twenty-one: the same tables, indicators and all."""
+    data = prices(spark, 40).withColumn("Close", F.col("Close") + F.lit(0.00371))
+    late = F.col("Date") == "2024-03-05"
+    parts, whole = Warehouse(spark, str(tmp_path / "parts"), DAY_ONE), Warehouse(spark, str(tmp_path / "whole"), DAY_ONE)
+    loads.load_prices(parts, data.where(~late))
+    loads.load_prices(parts, data.where(late))
+    loads.load_prices(whole, data)
+    for tier, table in (("cleaned", "prices"), ("serving", "prices"), ("serving", "prices_month"), ("serving", "dividends")):
+        assert rows(parts.read(tier, table)) == rows(whole.read(tier, table))
+
+
+def test_tickers_of_digits_stay_text(spark, tmp_path, rows):
+    w = Warehouse(spark, str(tmp_path / "w"), DAY_ONE)
+    coded = prices(spark, 30).withColumn("Ticker", F.when(F.col("Ticker") == "A", "005930").otherwise("1E5")).withColumn("Dividends", F.lit(0.0))
+    loads.load_prices(w, coded)  # a first load without a dividend
+    loads.load_prices(w, coded.withColumn("Close", F.col("Close") + 1))
+    assert rows(w.read("serving", "prices").select("ticker").distinct()) == [("005930",), ("1E5",)]
+    assert rows(w.read("serving", "prices_month").select("ticker").distinct()) == [("005930",), ("1E5",)]
+    assert w.read("serving", "dividends").count() == 0
+
+
+def test_read_backs_are_pruned_to_the_tickers_of_the_feed(spark, warehouse):
+    loads.load_prices(warehouse, prices(spark, 40))
+    feed = f"{warehouse.root}/feed"
+    prices(spark, 40).where("Ticker = 'A'").select(F.col("Ticker").alias("ticker")).write.parquet(feed)
+    fed = selective(spark.read.parquet(feed).distinct(), "ticker")
+    plan = warehouse.read("cleaned", "prices").join(fed, "ticker", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_bad_prices_do_not_get_past_the_raw_tier(spark, warehouse):
     bad = prices(spark, 40).withColumn("Low", F.when(F.col("Date") < "2024-02-01", -1.0).otherwise(F.col("Low")))
     with pytest.raises(DataQualityError, match="has_negatives"):
         loads.load_prices(warehouse, bad)
-    assert loads.table_exists(spark, warehouse.path("raw", "prices"))
-    assert not loads.table_exists(spark, warehouse.path("cleaned", "prices"))
+    assert warehouse.find("raw", "prices") is not None
+    assert warehouse.find("cleaned", "prices") is None
+    log = warehouse.read("audit", "run_log").where("tier = 'load'")
+    ends = {r.status: r.message for r in log.collect()}
+    assert set(ends) == {"started", "failed"} and "has_negatives" in ends["failed"]
 
 
 def test_statements_tickers_and_reports(spark, warehouse, rows):
@@ -101,3 +136,58 @@ def test_tickers_and_profiles(spark, warehouse, rows):
     assert rows(warehouse.read("serving", "profile"), "city", "is_current") == [("3", False), ("Porto", True)]
 
 
+
+
+def test_rates_that_cannot_be_read_are_kept_as_rejects(spark, tmp_path, rows):
+    """The same on a first run and on a later one; and one lower bound for all, whatever is stored."""
+    feed = spark.createDataFrame(
+        [("EFFR", "2001-05-05", "1.0", "20240305"), ("EFFR", "2013-01-01", "1.1", "20240305"), ("EFFR", "x", "1.2", "20240305"),
+         ("EFFR", "2013-01-03", "n/d", "20240305"), ("EFFR", None, None, "20240305")],
+        schemas.StructType([schemas.StructField(f.name, f.dataType) for f in schemas.XML_RATES_RAW]),
+    )
+    w = Warehouse(spark, str(tmp_path / "w"), DAY_ONE)
+    other = feed.withColumn("typeRate", F.lit("SELIC"))
+    for _ in range(2):
+        loads.load_rates(w, feed, schemas.XML_RATES_RAW, "yyyy-MM-dd", "effr")
+        assert rows(w.read("raw", "effr_rejects"), "reason") == [("date",), ("payload",), ("value",)]
+    loads.load_rates(w, other, schemas.XML_RATES_RAW, "yyyy-MM-dd", "selic")
+    assert rows(w.read("serving", "interest_rate"), "rate_type", "rate_date") == [("EFFR", date(2013, 1, 1)), ("SELIC", date(2013, 1, 1))]
+
+
+def test_profiles_without_a_uuid_and_the_fallback(spark, warehouse, rows):
+    fields = [f for f in schemas.PROFILE_RAW if f.name != "uuid"]
+    values = {f.name: "t" if f.dataType.simpleString() == "string" else 1 if "int" in f.dataType.simpleString() else 1.0 for f in fields}
+    profile = spark.createDataFrame([tuple(values.values())], schemas.StructType(fields))
+    loads.load_profiles(warehouse, profile)
+    loads.load_profiles(warehouse, profile.withColumn("city", F.lit("Porto")))
+    loads.load_profiles(warehouse, profile.where("false"))
+    assert rows(warehouse.read("serving", "profile"), "city", "is_current") == [("Porto", True), ("t", False)]
+
+
+def test_from_landed_files_to_reports(spark, tmp_path, rows):
+    w, files = Warehouse(spark, str(tmp_path / "w"), DAY_ONE), tmp_path / "landed"
+    files.mkdir()
+    days = [DAY_ONE - timedelta(days=i) for i in range(30)]
+    names = [f"{t}__{f}" for t in ("A", "007") for f in ("Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends", "Stock Splits")]
+    lines = [",".join(["Date", *names])] + [",".join([str(d), *[str(10.0 + i)] * len(names)]) for i, d in enumerate(days)]
+    (files / "prices.csv").write_text("\n".join(lines))
+    loads.load_price_files(w, str(files / "prices.csv"), ["A", "007"])
+    for period in ("annual", "quarterly"):
+        (files / f"{period}.csv").write_text("Ticker,Description,2024-02-29\nA,Net Income,5\nA,Total Revenue,50\nA,Other,none\n")
+    loads.load_statement_files(w, str(files / "annual.csv"), str(files / "quarterly.csv"), "income")
+    (files / "selic.json").write_text('[{"data": "05/03/2024", "valor": "10.5"}, {"data": "06/03/2024", "valor": "x"}]')
+    loads.load_rate_files(w, str(files / "selic.json"), "selic", "json")
+    (files / "effr.xml").write_text("<r><rate><effectiveDate>2024-03-05</effectiveDate><percentRate>5.3</percentRate></rate></r>")
+    loads.load_rate_files(w, str(files / "effr.xml"), "effr", "xml")
+    loads.load_calendar(w)
+    calendar = w.read("serving", "calendar")
+    latest = reports.latest_report(w.read("serving", "prices"), calendar)
+    assert rows(latest, "ticker", "vl_close") == [("007", 10.0), ("A", 10.0)]
+    income = reports.income_report(w.read("serving", "income"), calendar, "Annual", "A")
+    assert [r.Profit_Margin for r in income.collect()] == [10.0]
+    assert rows(w.read("serving", "interest_rate"), "rate_type", "rate_value") == [("EFFR", 5.3), ("SELIC", 10.5)]
+    assert rows(w.read("raw", "selic_rejects"), "rate_value", "reason") == [("x", "value")]
+    log = w.read("audit", "run_log").where("tier = 'load' AND status = 'done'")
+    assert rows(log, "table_name", "source_type", "total_records_source") == [
+        ("effr", "xml", 1), ("income", "csv", 6), ("prices", "csv", 60), ("selic", "json", 2),
+    ]

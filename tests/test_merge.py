@@ -110,7 +110,7 @@ def test_a_small_source_leaves_the_table_unshuffled(spark, tmp_path):
     old = spark.read.parquet(str(tmp_path / "t"))
     spark.createDataFrame([(5, 1), (999_999, 2)], "k long, v long").coalesce(1).write.parquet(str(tmp_path / "s"))
     new = spark.read.parquet(str(tmp_path / "s"))
-    plan = merge(old, new, ["k"])._jdf.queryExecution().executedPlan().toString()
+    plan = merge(old, new, ["k"], strategy="probe")._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "LeftOuter, BuildRight" in plan
     plan = merge(old, old, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "FullOuter" in plan

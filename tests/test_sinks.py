@@ -99,57 +99,78 @@ def staged_tables(spark, path):
     return {f"{root}/{d}" for d in os.listdir(root) if d.startswith("staged-")} if os.path.isdir(root) else set()
 
 
-def test_staged_rows_are_removed_once_published_and_kept_on_failure(spark, path, monkeypatch):
+def test_staged_rows_are_removed_once_published_and_a_failed_write_can_be_repeated(spark, path, monkeypatch):
     sinks.upsert(frame(spark, (1, "a", 1)), path, ["k"], CHANGED, "p")
     before = staged_tables(spark, path)
     sinks.upsert(frame(spark, (1, "a", 2)), path, ["k"], CHANGED, "p")
     assert staged_tables(spark, path) == before
 
-    def fail(*_):
+    def fail(*_, **__):
         raise RuntimeError("driver lost")
 
     monkeypatch.setattr(sinks, "_publish", fail)
     with pytest.raises(RuntimeError):
         sinks.upsert(frame(spark, (1, "a", 3)), path, ["k"], CHANGED, "p")
-    [staged] = staged_tables(spark, path) - before
-    assert spark.read.parquet(staged).select("v").first().v == 3
+    assert len(staged_tables(spark, path) - before) == 1
     assert spark.read.parquet(path).select("v").first().v == 2
     monkeypatch.undo()
-    for _ in range(2):
-        assert sinks.republish(spark, staged, path, "p").updated == 1
-        assert [r.v for r in spark.read.parquet(path).collect()] == [3]
+    assert sinks.upsert(frame(spark, (1, "a", 3)), path, ["k"], CHANGED, "p").updated == 1
+    assert [r.v for r in spark.read.parquet(path).collect()] == [3]
 
 
 def test_stages_beside_the_table_when_the_session_names_no_folder(spark, path, monkeypatch):
     monkeypatch.setattr(settings, "CHECKPOINT_DIR", "spark.checkpoint.dir.unset")
-    seen = []
-    publish = sinks._publish
-    monkeypatch.setattr(sinks, "_publish", lambda rows, *a: (seen.append(rows.inputFiles()[0]), publish(rows, *a)))
+    staged = kept_by_stage(monkeypatch)
     sinks.upsert(frame(spark, (1, "a", 1)), path, ["k"], CHANGED, "p")
-    sinks.upsert(frame(spark, (1, "a", 2)), path, ["k"], CHANGED, "p")
-    assert f"{path}__staging/staged-" in seen[0]
+    assert f"{path}__staging/staged-" in staged[0].inputFiles()[0]
 
 
-def test_too_many_partitions_to_list(spark, path, rows, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
-    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
-    sinks.upsert(frame(spark, (1, "a", 8), (2, "b", 9), (4, "d", 4)), path, ["k"], CHANGED, "p")
-    assert rows(spark.read.parquet(path), "k", "p", "v") == [(1, "a", 8), (2, "b", 9), (3, "c", 3), (4, "d", 4)]
+def kept_by_stage(monkeypatch):
+    """What is staged from now on, before it is removed."""
+    staged, keep = [], sinks._Stage.keep
+    monkeypatch.setattr(sinks._Stage, "keep", lambda self, rows: staged.append(keep(self, rows)) or staged[-1])
+    monkeypatch.setattr(sinks._Stage, "__exit__", lambda *_: None)
+    return staged
 
 
-def test_partitions_not_listed_by_the_change_survive(spark, path, rows, monkeypatch):
-    """Three partitions, two of them touched with the listing limit at two."""
-    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
-    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 2)
-    sinks.upsert(frame(spark, (1, "b", 8), (4, "a", 4), (5, "b", 5)), path, ["k"], CHANGED, "p")
-    assert rows(spark.read.parquet(path), "k", "p", "v") == [(1, "b", 8), (2, "b", 2), (3, "c", 3), (4, "a", 4), (5, "b", 5)]
+def test_one_changed_row_stages_its_partition_alone(spark, path, monkeypatch):
+    old = spark.range(10_000).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("p"), F.col("id") % 50).alias("p"), F.lit(1).alias("v"))
+    sinks.upsert(old, path, ["k", "p"], CHANGED, "p")
+    staged = kept_by_stage(monkeypatch)
+    daily = old.withColumn("v", F.when(F.col("k") == 7, 2).otherwise(F.col("v")))
+    commit = sinks.upsert(daily, path, ["k", "p"], CHANGED, "p")
+    assert (commit.updated, commit.inserted, commit.source) == (1, 0, 10_000)
+    assert [t.count() for t in staged] == [10_000, 1, 200]  # the source, what it changes, the changed partition
 
 
-def test_delete_over_too_many_partitions(spark, path, rows, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
-    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
-    assert sinks.delete(spark, path, "v <= 2", "p").deleted == 2
-    assert rows(spark.read.parquet(path), "k", "p", "v") == [(3, "c", 3)]
+@pytest.mark.parametrize("n", [400])
+def test_many_partitions(spark, path, n):
+    """Far more partitions than a driver would like to list: all of them change, then one row leaves each."""
+    old = spark.range(2 * n).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("p"), F.col("id") % n).alias("p"), F.lit(1).alias("v"))
+    sinks.upsert(old, path, ["k"], CHANGED, "p")
+    assert sinks.upsert(old.withColumn("v", F.lit(2)), path, ["k"], CHANGED, "p").updated == 2 * n
+    assert sinks.delete(spark, path, f"k < {n}", "p").deleted == n
+    assert spark.read.parquet(path).agg(F.count("*"), F.min("v"), F.min("k")).first()[:] == (n, 2, n)
+
+
+CODES = ["005930", "000660", "1E5", "0x1F", "2024-01-01"]
+
+
+def test_partition_text_is_never_a_number(spark, path, rows):
+    sinks.upsert(frame(spark, *[(i, c, i) for i, c in enumerate(CODES)]), path, ["k"], CHANGED, "p")
+    sinks.upsert(frame(spark, (0, CODES[0], 9), (9, CODES[1], 9)), path, ["k"], CHANGED, "p")
+    assert sinks.delete(spark, path, "p = '000660' AND k = 1", "p").deleted == 1
+    assert sinks.delete(spark, path, "k = 2", "p").deleted == 1
+    want = [(0, "005930", 9), (3, "0x1F", 3), (4, "2024-01-01", 4), (9, "000660", 9)]
+    assert rows(spark.read.schema(SCHEMA).parquet(path), "k", "p", "v") == want
+    assert {d for d in os.listdir(path) if d.startswith("p=")} == {f"p={c}" for c in CODES}
+
+
+def test_first_write_of_nothing(spark, path, rows):
+    assert sinks.upsert(frame(spark).where("v > 0"), path, ["k"], CHANGED, "p").metrics == {"inserted": 0, "updated": 0, "deleted": 0}
+    assert sinks.upsert(frame(spark, (1, "a", 1)), path, ["k"], CHANGED, "p").inserted == 1
+    assert rows(spark.read.parquet(path), "k", "p", "v") == [(1, "a", 1)]
+    assert sinks.delete(spark, f"{path}_none", "true", "p").deleted == 0
 
 
 def test_one_partition_holding_a_third_of_the_rows(spark, path):
@@ -175,12 +196,25 @@ def test_versions(spark, path, rows):
     second = frame(spark, (1, "c", 5), (2, "b", 2), (3, "c", 3))
     commit = sinks.upsert_versions(second, path, ["k"], datetime(2024, 2, 1), "p")
     assert (commit.inserted, commit.updated) == (2, 1)
-    got = rows(read_table(spark, path), "k", "p", "v", END, CURRENT)
+    got = rows(sinks.open_table(spark, path, "p"), "k", "p", "v", END, CURRENT)
     assert got == [
         (1, "a", 1, datetime(2024, 1, 31), False), (1, "c", 5, None, True), (2, "b", 2, None, True), (3, "c", 3, None, True),
     ]
     assert sinks.upsert_versions(second, path, ["k"], datetime(2024, 3, 1), "p").metrics["inserted"] == 0
-    assert rows(read_table(spark, path), "k", "p", "v", END, CURRENT) == got
+    assert rows(sinks.open_table(spark, path, "p"), "k", "p", "v", END, CURRENT) == got
+
+
+def test_closed_versions_are_not_written_again(spark, path, rows):
+    sinks.upsert_versions(frame(spark, (1, "a", 1), (2, "a", 2), (3, "b", 3)), path, ["k"], datetime(2024, 1, 1), "p")
+    sinks.upsert_versions(frame(spark, (1, "a", 5)), path, ["k"], datetime(2024, 2, 1), "p")
+    closed = set(os.listdir(f"{path}/is_current=false/p=a"))
+    other = set(os.listdir(f"{path}/is_current=true/p=b"))
+    wider = frame(spark, (2, "b", 9), (3, "b", 3)).withColumn("extra", F.when(F.col("k") == 2, "x"))
+    assert sinks.upsert_versions(wider, path, ["k"], datetime(2024, 3, 1), "p").metrics == {"inserted": 1, "updated": 1, "deleted": 0}
+    assert closed < set(os.listdir(f"{path}/is_current=false/p=a"))
+    assert other != set(os.listdir(f"{path}/is_current=true/p=b"))
+    got = rows(sinks.open_table(spark, path, "p"), "k", "p", "v", "extra", CURRENT)
+    assert got == [(1, "a", 1, None, False), (1, "a", 5, None, True), (2, "a", 2, None, False), (2, "b", 9, "x", True), (3, "b", 3, None, True)]
 
 
 def test_catalog(spark, path, rows):

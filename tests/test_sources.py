@@ -36,7 +36,9 @@ def test_exists_and_empty(spark, tmp_path):
 
 def test_find(spark, rows):
     df = spark.range(3000).withColumn("v", -F.col("id"))
-    assert tables.find(df).count() == tables.DEFAULT_FIND_LIMIT
+    assert tables.find(df).count() == 3000
+    with pytest.raises(ValueError, match="order"):
+        tables.find(df, limit=5)
     assert tables.find(df, "id < 2500").count() == 2500
     assert rows(tables.find(df, "id < 10", limit=2, order=["v"]), "id") == [(8,), (9,)]
     assert tables.find(df, limit=1, order=["id"]).first().id == 0
