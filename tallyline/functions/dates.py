@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values: (month, day) pairs the calendar marks as holidays.
+# The days (MM-dd) that the calendar marks as holidays, and below the names of its columns.
 HOLIDAYS = ["01-01", "05-01", "09-07", "10-12", "11-02", "11-15", "12-25"]
 
 

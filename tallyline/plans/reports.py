@@ -13,7 +13,7 @@ from tallyline.functions.dates import as_date, year_month
 from tallyline.operators.calendar import join_calendar
 from tallyline.operators.kpis import latest_rows
 
-# Statement lines and periods as the feeds name them, and report defaults.
+# Statement lines and periods as the feeds name them, report defaults, and below the names of the reports' columns.
 NET_INCOME, REVENUE = "Net Income", "Total Revenue"
 ASSETS, LIABILITIES = "Total Assets", "Total Liabilities Net Minority Interest"
 PERIODS = {"Annual": "Annual", "Quarterly": "Quarter"}

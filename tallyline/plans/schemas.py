@@ -24,7 +24,7 @@ TYPES = {
 
 
 def declare(text: str) -> StructType:
-    """``"name type!, name type"`` to a schema."""
+    """``"name type!, name type"`` to a schema. (Spark's own parser of such text needs a session, which imports have not.)"""
     fields = []
     for part in text.split(","):
         name, kind = part.split()

@@ -232,6 +232,15 @@ def test_catalog(spark, path, rows):
         catalog.register_tables(spark, "served", {"interest_rate": f"{path}_rates"})
         catalog.register_rate_views(spark, "served", ["SELIC", "EFFR"])
         assert rows(spark.sql("SELECT rate_value FROM served.effr")) == [(2.0,)]
+        root = f"{path}_root/it's"
+        sinks.write_table(frame(spark, (1, "000660", 1)).withColumnRenamed("p", "ticker"), f"{root}/serving/prices", "ticker")
+        years = spark.createDataFrame([("x", 2024)], "dt_date string, dt_year int")
+        sinks.write_table(years, f"{root}/serving/calendar", "dt_year")
+        sinks.upsert_versions(frame(spark, (1, "7", 1)).withColumnRenamed("p", "ticker_type"), f"{root}/serving/profile", ["k"], datetime(2024, 1, 1), "ticker_type")
+        catalog.register_serving(spark, "served", root)
+        assert rows(spark.table("served.prices"), "k", "ticker") == [(1, "000660")]
+        assert rows(spark.table("served.calendar"), "dt_year") == [(2024,)]
+        assert rows(spark.table("served.profile"), "ticker_type", CURRENT) == [("7", True)]
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE served CASCADE")
