@@ -393,6 +393,9 @@ ORACLES: dict[str, str] = {
     + """SELECT count(*) FILTER (WHERE a = 'insert') AS inserted, count(*) FILTER (WHERE a = 'update') AS updated,
          count(*) FILTER (WHERE a = 'keep') AS kept, CAST(0 AS BIGINT) AS deleted FROM paired""",
     "q_delete_where": with_(MERGE_OLD) + "SELECT * FROM old WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
+    "q_sink_upsert": f"SELECT * EXCLUDE (_action) FROM ({merged(PRICE_DIFFERS)})",
+    "q_sink_delete": with_(MERGE_OLD) + "SELECT * FROM old WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
+    "q_sink_versions": with_(HISTORY) + "SELECT * EXCLUDE (_action) FROM result WHERE is_current OR _action = 'update'",
     "q_run_log_latest": f"""SELECT run_id, tier, last(event_id ORDER BY d, event_id) AS inserted, max(d) AS logged_on,
         last(c ORDER BY d, event_id) AS updated
         FROM (SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS tier, event_id, CAST(ts AS DATE) AS d,

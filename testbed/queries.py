@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from tallyline.operators.reshape import rename_by_position, unpivot_prices
 from tallyline.plans import reports, schemas
 from tallyline.plans.schemas import declare
 from tallyline.plans.statements import as_events
+from tallyline.settings import shared_dir
+from tallyline.sinks import tables as sinks
 from tallyline.sources import landed, tables
 from testbed import inputs
 from testbed.inputs import AS_OF, YMD, Tables
@@ -209,6 +212,40 @@ def q_delete_where(t: Tables) -> DataFrame:
     return delete_where(inputs.merge_old(t), F.col("o_orderpriority") == "5-LOW")
 
 
+# --- sinks: written, changed and read back ---------------------------------------------------
+
+
+def _new_table(t: Tables, name: str) -> str:
+    return f"{shared_dir(t.spark, 'file:/tmp/checkpoints')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def q_sink_upsert(t: Tables) -> DataFrame:
+    """Partitioned by a column that has nulls and that updates change."""
+    path, partition = _new_table(t, "upsert"), "o_orderpriority"
+    sinks.upsert(inputs.merge_old(t), path, KEY, partition=partition)
+    sinks.upsert(inputs.merge_new(t), path, KEY, PRICE_DIFFERS, partition)
+    return sinks.open_table(t.spark, path, partition)
+
+
+@query
+def q_sink_delete(t: Tables) -> DataFrame:
+    path, partition = _new_table(t, "delete"), "o_orderstatus"
+    sinks.upsert(inputs.merge_old(t), path, KEY, partition=partition)
+    sinks.delete(t.spark, path, "o_orderpriority = '5-LOW'", partition)
+    return sinks.open_table(t.spark, path, partition)
+
+
+@query
+def q_sink_versions(t: Tables) -> DataFrame:
+    """The current customers, then a snapshot, partitioned by a column that versions change."""
+    path, partition, key = _new_table(t, "versions"), "c_mktsegment", ["c_custkey"]
+    first = inputs.profile_history(t).where("is_current").drop("end_dt", "is_current")
+    sinks.upsert_versions(first, path, key, datetime(2001, 1, 1), partition)
+    sinks.upsert_versions(inputs.profile_snapshot(t), path, key, datetime(2001, 12, 31), partition)
+    return sinks.open_table(t.spark, path, partition).withColumn("end_dt", F.col("end_dt").cast("timestamp_ntz"))
+
+
 @query
 def q_run_log_latest(t: Tables) -> DataFrame:
     return latest_log(inputs.run_log(t), ["run_id", "tier"], "logged_on", ["inserted"])
