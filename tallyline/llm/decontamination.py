@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import narrow, slices
+from tallyline.llm.frames import slices
 
 WINDOW = 10
 #: Words of the benchmark that are sent to the tasks at a time; about 30 bytes each.
