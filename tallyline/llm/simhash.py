@@ -87,19 +87,19 @@ def links(prints: DataFrame, distance: int, cell_rows: int = CELL_ROWS) -> DataF
 
     compare = _comparison(distance, cell_rows)
     n = shuffle_partitions(prints.sparkSession)
-    dealt = prints.select("fp").mapInArrow(into_cells, "cell bigint, fp bigint").withColumn("pair", F.lit(0))
+    dealt = prints.select("fp").mapInArrow(into_cells, "cell bigint, fp bigint")
     rows = dealt.repartition(n, "cell").sortWithinPartitions("cell")
     found = kept_table(rows.mapInArrow(compare, "a bigint, b bigint, rows bigint"), "links")
     large = found.where("rows > 0").select(F.col("a").alias("cell"), F.ceil(2 * F.col("rows") / cell_rows).cast("int").alias("blocks"))
     out = found.where("rows = 0").select("a", "b")
     if large.isEmpty():
         return out
-    spread = dealt.drop("pair").join(large, "cell").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
+    spread = dealt.join(large, "cell").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = spread.select("cell", "fp", "own", other.alias("other"), "blocks")
     # a number for the unordered pair of blocks
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    pairs = pairs.select(F.xxhash64("cell", low, high).alias("cell"), "fp", F.lit(0).alias("pair"))
+    pairs = pairs.select(F.xxhash64("cell", low, high).alias("cell"), "fp")
     again = pairs.repartition(n, "cell").sortWithinPartitions("cell")
     more = again.mapInArrow(_comparison(distance, 1 << 62), "a bigint, b bigint, rows bigint")
     return out.union(kept_table(more.where("rows = 0").select("a", "b"), "links"))
@@ -226,7 +226,8 @@ def representatives(docs: DataFrame, shingle: int, distance: int, text: str = "t
     own = docs[f"`{key}`"]
 
     def among(n: str) -> DataFrame:
-        ids = stays.where(n).select("doc_id")
+        # the ids grow with the documents, so they are never broadcast: texts are shuffled once at every size
+        ids = stays.where(n).select("doc_id").hint("merge")
         return docs.join(ids, own.eqNullSafe(ids["doc_id"]), "left_semi")
 
     return among("n = 1").unionByName(among("n > 1").dropDuplicates([key]))
