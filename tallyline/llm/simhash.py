@@ -205,29 +205,40 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, text: str = "t
     there is no other; repeated rows are rows of one class; an empty table gives none; other columns are not carried.
     """
     prints = kept_table(narrow(docs, doc_id=key, text=text).select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "prints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes, distance))
-    joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    members = kept_table(joined, "members")
+    members = _members(prints, distance)
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     named = members.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _members(prints: DataFrame, distance: int) -> DataFrame:
+    """Each distinct fingerprint with the least doc_id that has it and its component's root, the least fingerprint of it."""
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(classes, distance))
+    joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return kept_table(joined, "members")
+
+
 def hex_digits(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def representatives(docs: DataFrame, shingle: int, distance: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents with the smallest doc_id of each component, one row each, with their own columns."""
-    found = near_duplicates(docs, shingle, distance, text, key)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    stays = kept_table(stays, "stays")
-    own = docs[f"`{key}`"]
+    """One document of each component, with its own columns: the one with the smallest doc_id. Documents are told apart by
+    doc_id and fingerprint, so ids that are null or used again neither join components nor keep further rows of one. A
+    column named __fp is not kept."""
+    # written once: the fingerprints are not made again where the texts are picked
+    printed = kept_table(docs.withColumn("__fp", fingerprints(docs[f"`{text}`"], shingle)), "printed")
+    prints = printed.select(F.col(f"`{key}`").alias("doc_id"), F.col("__fp").alias("fp"))
+    first = F.min(F.struct(F.col("least").isNull().alias("lost"), "least", "fp")).alias("first")
+    chosen = _members(prints, distance).groupBy("root").agg(first).select(F.col("first.least").alias("least"), F.col("first.fp").alias("own"))
+    same = (F.col("fp") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("least"))
+    stays = kept_table(prints.join(chosen, same).groupBy("least", "own").agg(F.count("*").alias("n")), "stays")
 
     def among(n: str) -> DataFrame:
         # the ids grow with the documents, so they are never broadcast: texts are shuffled once at every size
-        ids = stays.where(n).select("doc_id").hint("merge")
-        return docs.join(ids, own.eqNullSafe(ids["doc_id"]), "left_semi")
+        ids = stays.where(n).hint("merge")
+        return printed.join(ids, (printed["__fp"] == ids["own"]) & printed[f"`{key}`"].eqNullSafe(ids["least"]), "left_semi")
 
-    return among("n = 1").unionByName(among("n > 1").dropDuplicates([key]))
+    # one fingerprint is chosen of each component, so rows that share it are rows of one component
+    return among("n = 1").unionByName(among("n > 1").dropDuplicates(["__fp"])).drop("__fp")

@@ -100,6 +100,17 @@ def test_near_duplicates(spark):
     assert [(r["doc_id"], r["text"]) for r in lost] == [(None, "no key")]
 
 
+def test_representatives_are_rows_not_ids(spark):
+    text = lambda t: " ".join(f"{t}{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, text("c")), (7, text("d")), (7, text("e")), (7, text("f")), (3, text("f"))]
+    got = simhash.representatives(frame(spark, rows), 4, 4).collect()
+    want = [(None, text("a")), (None, text("b")), (None, text("c")), (7, text("d")), (7, text("e")), (3, text("f"))]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+    # an id's row stays with its own component, though the id is the least of another
+    one = [(1, text("g")), (0, text("h")), (1, text("h"))]
+    assert sorted(r["text"][0] for r in simhash.representatives(frame(spark, one), 4, 4).collect()) == ["g", "h"]
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000), (500, 501), (501, 500)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
