@@ -2,32 +2,41 @@
 
 Each slice of documents is a shard. Its words are numbered by the benchmark's own vocabulary; a word that no benchmark
 item has ends a stretch, and a stretch shorter than the shortest window can't hold one. The suffixes that are left are
-sorted (a suffix array), and every suffix of the benchmark is looked up by binary search: the suffixes beside its place
-share its longest verbatim match, those that share a whole window are its occurrences.
+sorted by their first window (a suffix array of places), and every distinct window of the benchmark is looked up by binary
+search: the suffixes that start with it are its occurrences. Matches are followed beyond the window on the numbers
+themselves, so an item or a document costs bytes in proportion to its words, however long it is.
 
 The documents stay where they are read: nothing is shuffled, and no document, source or passage can be hot. Only the
-benchmark is sent to the tasks, in blocks of at most ``BLOCK_WORDS`` words; each block is one more pass over rows that
-carry what was found before.
+benchmark is sent to the tasks, in blocks of at most ``BLOCK_WORDS`` words that Spark writes to the shared folder; each
+block is one more pass over rows that carry what was found before. A longer item is a block of its own: cut, it would lose
+the length of matches that run over the cut.
 """
 
 from __future__ import annotations
 
-import uuid
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import slices
+from tallyline.llm.frames import scratch_path, slices
+from tallyline.llm.token_shards import _filesystem
 
 WINDOW = 10
-#: Words of the benchmark that are sent to the tasks at a time; about 30 bytes each.
+#: Words of the benchmark that are sent to the tasks at a time; about 50 bytes each, and those of the vocabulary.
 BLOCK_WORDS = 1_000_000
 #: A-Z lower-cased; every other ASCII sign but letters and digits separates words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Ends an item; no word has this number, nor zero.
+END = 0xFFFFFFFF
+#: Windows of the benchmark that are looked up at a time, and numbers compared at a time.
+CHUNK = 1 << 18
 _PREPARED: dict[str, "Block"] = {}
 FOUND = "struct<n_words:bigint,hits:array<struct<start:int,stop:int>>,items:array<bigint>,longest:int>"
 
@@ -37,61 +46,131 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Block:
-    """Some benchmark items: their vocabulary, and their suffixes that are at least a window long as word numbers."""
+    """Some benchmark items: their vocabulary, their words as numbers in one line, and the places of their windows, sorted."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
-        self.window, self.vocabulary, self.suffixes, self.shortest, self.depth = window, {}, [], window, 0
-        seen: dict[bytes, list[int]] = {}
+    def __init__(self, items: Iterable[tuple[int, str]], window: int):
+        self.window, self.vocabulary, self.ids, self.shortest = window, {}, [], window
+        lines, starts, at = [np.array([END], np.uint32)], {}, 1
         for item, text in items:
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
+            found = words(text)
+            if not found:
+                continue
+            numbers = np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found), np.uint32, len(found))
             size = min(window, len(numbers))
-            key = np.array(numbers, ">u4").tobytes()
-            for start in range(len(numbers) - size + 1 if numbers else 0):
-                seen.setdefault((size, key[4 * start :]), []).append(item)
-            self.depth = max(self.depth, 4 * len(numbers))
-            self.shortest = min(self.shortest, size or window)
-        self.suffixes = [(size, key, sorted(set(found))) for (size, key), found in sorted(seen.items())]
+            starts.setdefault(size, []).append((at, at + len(numbers) - size + 1, len(self.ids)))
+            self.ids.append(item)
+            self.shortest = min(self.shortest, size)
+            lines += [numbers, np.array([END], np.uint32)]
+            at += len(numbers) + 1
+        self.line = np.concatenate(lines)
+        self.windows = [_Windows(self.line, size, spans) for size, spans in sorted(starts.items())]
 
     def search(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set[int], int]]:
         """Of each text its number of words, the stretches hit, the items with windows in it, and its longest match."""
-        known, shortest = self.vocabulary, self.shortest
+        known, shortest, width = self.vocabulary, self.shortest, self.window
         numbers = [np.fromiter((known.get(w, 0) for w in words(t)), np.uint32) for t in texts]
         out = [(len(n), [], set(), 0) for n in numbers]
-        everything = np.concatenate([np.append(n, 0) for n in numbers]).astype(np.uint32)
+        everything = np.concatenate([np.append(n, 0) for n in numbers] + [np.zeros(width, np.uint32)]).astype(np.uint32)
         ends = np.cumsum([len(n) + 1 for n in numbers])
         breaks = np.flatnonzero(everything == 0)
-        ahead = breaks[np.searchsorted(breaks, np.arange(len(everything)))] - np.arange(len(everything))
+        ahead = breaks[np.searchsorted(breaks, np.arange(ends[-1]))] - np.arange(ends[-1])
         places = np.flatnonzero(ahead >= shortest)
-        if not len(places):
+        if not len(places) or not self.windows:
             return out
-        shard = everything.astype(">u4").tobytes()
-        depth = self.depth
-        # the suffix array of the shard: a suffix runs to its stretch's end, or as far as the longest item goes
-        order = sorted((shard[4 * p : min(4 * (p + a), 4 * p + depth)], p) for p, a in zip(places.tolist(), ahead[places].tolist(), strict=True))
-        keys = [k for k, _ in order]
-        for size, suffix, items in self.suffixes:
-            head = suffix[: 4 * size]
-            low = bisect_left(keys, head)
-            if low == len(keys) or not keys[low].startswith(head):
-                continue
-            at = bisect_right(keys, suffix, low)
-            longest = max(_shared(suffix, keys[i]) for i in (at - 1, at) if low <= i < len(keys))
-            for i in range(low, bisect_left(keys, head + b"\xff" * 4, low)):
-                place = order[i][1]
-                doc = int(np.searchsorted(ends, place, "right"))
-                start = place - (int(ends[doc - 1]) if doc else 0)
-                n, hits, found, most = out[doc]
-                hits.append((start, start + size))
-                found.update(items)
-                out[doc] = n, hits, found, max(most, min(longest, _shared(suffix, keys[i])))
-        return [(n, _merged(hits), found, most) for n, hits, found, most in out]
-
-
-def _shared(a: bytes, b: bytes) -> int:
-    """How many words two suffixes share at their starts."""
-    n = min(len(a), len(b)) // 4
-    differs = np.flatnonzero(np.frombuffer(a, ">u4", n) != np.frombuffer(b, ">u4", n))
-    return int(differs[0]) if len(differs) else n
+        # the suffix array of the shard: places sorted by their first window
+        keys = _keys(everything, places, width, width)
+        order = np.argsort(keys)
+        keys, places = keys[order], places[order]
+        covered, longest, of_doc = np.zeros(len(everything) + 1, np.int64), {}, {}
+        for windows in self.windows:
+            at, number = windows.occurrences(self.line, keys, places, width)
+            np.add.at(covered, at, 1)
+            np.add.at(covered, at + windows.size, -1)
+            docs = np.searchsorted(ends, at, "right")
+            for doc, n in np.unique(np.stack([docs, number], 1), axis=0).tolist():
+                of_doc.setdefault(doc, set()).update(self.ids[i] for i in windows.items(n))
+            before = np.where(at > 0, everything[at - 1], 0)
+            # a match that can be longer to the left is no longest one
+            first = (windows.left_low[number] != before) | (windows.left_high[number] != before)
+            for place, n, doc, left in zip(at[first].tolist(), number[first].tolist(), docs[first].tolist(), before[first].tolist(), strict=True):
+                if ahead[place] > longest.get(doc, 0):
+                    starts = windows.places[windows.bounds[n] : windows.bounds[n + 1]]
+                    starts = starts[self.line[starts - 1] != left]
+                    longest[doc] = max(longest.get(doc, 0), self._shared(starts, everything[place : place + ahead[place]], windows.size))
+        inside = np.diff(np.concatenate([[0], (np.cumsum(covered) > 0).astype(np.int8)]))
+        hits: dict[int, list[tuple[int, int]]] = {}
+        for start, stop in zip(np.flatnonzero(inside == 1).tolist(), np.flatnonzero(inside == -1).tolist(), strict=True):
+            doc = int(np.searchsorted(ends, start, "right"))
+            begin = int(ends[doc - 1]) if doc else 0
+            hits.setdefault(doc, []).append((start - begin, stop - begin))
+        for doc, found in hits.items():
+            out[doc] = out[doc][0], found, of_doc[doc], longest[doc]
+        return out
+
+    def _shared(self, starts: np.ndarray, stretch: np.ndarray, size: int) -> int:
+        """How many words at most the stretch shares with what starts at one of the places; ``size`` are known to be shared."""
+        step = 16
+        while size < len(stretch):
+            n, going = min(step, len(stretch) - size), []
+            best = 0
+            for part in np.array_split(starts, len(starts) * n // CHUNK + 1):
+                at = np.minimum(part[:, None] + np.arange(size, size + n), len(self.line) - 1)
+                differs = self.line[at] != stretch[size : size + n]
+                whole = ~differs.any(axis=1)
+                going.append(part[whole])
+                if len(part):
+                    best = max(best, int(np.where(whole, n, differs.argmax(axis=1)).max()))
+            starts, size, step = np.concatenate(going), size + best, min(2 * step, CHUNK)
+            if not len(starts):
+                return size
+        return size
+
+
+class _Windows:
+    """The places of all windows of one size, sorted; where each distinct one begins among them; what stands before them."""
+
+    def __init__(self, line: np.ndarray, size: int, spans: list[tuple[int, int, int]]):
+        self.size = size
+        places = np.concatenate([np.arange(a, b, dtype=np.int64) for a, b, _ in spans])
+        owners = np.repeat(np.array([i for _, _, i in spans], np.int64), [b - a for a, b, _ in spans])
+        order = np.lexsort([line[places + k] for k in reversed(range(size))])
+        self.places, self.owners = places[order], owners[order]
+        new = np.zeros(len(places), bool)
+        new[0] = True
+        for k in range(size):
+            column = line[self.places + k]
+            new[1:] |= column[1:] != column[:-1]
+        starts = np.flatnonzero(new)
+        self.bounds = np.append(starts, len(places))
+        before = line[self.places - 1]
+        self.left_low, self.left_high = np.minimum.reduceat(before, starts), np.maximum.reduceat(before, starts)
+
+    def items(self, number: int) -> list[int]:
+        owners = self.owners[self.bounds[number] : self.bounds[number + 1]]
+        return owners.tolist() if len(owners) == 1 else np.unique(owners).tolist()
+
+    def occurrences(self, line: np.ndarray, keys: np.ndarray, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the shard where a window occurs, and the window's number."""
+        at, number = [np.array([], np.int64)], [np.array([], np.int64)]
+        for start in range(0, len(self.bounds) - 1, CHUNK):
+            first = self.places[self.bounds[start : min(start + CHUNK, len(self.bounds) - 1)]]
+            low = np.searchsorted(keys, _keys(line, first, self.size, width))
+            high = np.searchsorted(keys, _keys(line, first, self.size, width, END), "right")
+            counts = high - low
+            hit = np.flatnonzero(counts)
+            counts = counts[hit]
+            within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            at.append(places[np.repeat(low[hit], counts) + within])
+            number.append(np.repeat(hit + start, counts))
+        return np.concatenate(at), np.concatenate(number)
+
+
+def _keys(line: np.ndarray, places: np.ndarray, size: int, width: int, rest: int = 0) -> np.ndarray:
+    """``size`` numbers from each place on, then ``rest`` up to ``width``, as byte strings that sort as the numbers do."""
+    out = np.full((len(places), width), rest, ">u4")
+    for k in range(size):
+        out[:, k] = line[places + k]
+    return out.view(f"S{4 * width}")[:, 0]
 
 
 def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -104,18 +183,40 @@ def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
-    """The items, read partition by partition, in blocks of few words."""
-    held, size = [], 0
-    for row in benchmark.toLocalIterator():
-        n = len(row["text"]) // 2 + 1
-        if held and size + n > most:
-            yield held
-            held, size = [], 0
-        held.append((row["item"], row["text"]))
-        size += n
-    if held:
-        yield held
+def _blocks(benchmark: DataFrame, most: int) -> list[str]:
+    """Folders in the shared folder with the items in blocks of few words. The driver sees their numbers alone."""
+    spark, size = benchmark.sparkSession, F.floor(F.length("text") / 2) + 1
+    total = benchmark.agg(F.sum(size).alias("n")).first()["n"]
+    if total is None:
+        return []
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 32, 0
+        for batch in slices(batches, 1):
+            numbers = []
+            for text in batch.column(1):
+                n = len(text.as_py()) // 2 + 1
+                if held and held + n > most:
+                    block, held = block + 1, 0
+                held += n
+                numbers.append(block)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["block", "item", "text"])
+
+    path = scratch_path(spark, "benchmark")
+    dealt = benchmark.repartition(math.ceil(total / most)).mapInArrow(number, "block bigint, item bigint, text string")
+    dealt.write.partitionBy("block").parquet(path)
+    written = spark.read.schema("item bigint, text string, block bigint").parquet(path)
+    return [f"{path}/block={r['block']}" for r in written.select("block").distinct().orderBy("block").collect()]
+
+
+def _items(path: str) -> Iterator[tuple[int, str]]:
+    files, folder = _filesystem(path)
+    for file in files.get_file_info(pa.fs.FileSelector(folder)):
+        if file.path.endswith(".parquet"):
+            with files.open_input_file(file.path) as stream:
+                for batch in pa.parquet.ParquetFile(stream).iter_batches(64, columns=["item", "text"]):
+                    for item, text in zip(*batch.columns, strict=True):
+                        yield item.as_py(), text.as_py()
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item: str = "item_id", block_words: int = BLOCK_WORDS, into: str = "found") -> DataFrame:
@@ -126,23 +227,20 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
     items without words no windows; repeated documents or items count each; empty tables give no rows or no hits; null
     item ids are passed over. All columns of the documents are kept, but for one named as ``into``, which is replaced.
     """
-    spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item}`").cast("bigint").alias("item"), F.col("text").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    none = F.lit(None).cast(FOUND)
-    found, sent = docs.withColumn(into, none), False
-    for block in _blocks(items, block_words):
-        found = found.withColumn(into, _pass(spark, block, window)(F.col(f"`{text}`"), F.col(into)))
-        sent = True
-    return found if sent else found.withColumn(into, _pass(spark, [], window)(F.col(f"`{text}`"), F.col(into)))
+    found = docs.withColumn(into, F.lit(None).cast(FOUND))
+    for path in _blocks(items, block_words) or [None]:
+        found = found.withColumn(into, _pass(path, window)(F.col(f"`{text}`"), F.col(into)))
+    return found
 
 
-def _pass(spark, items: list[tuple[int, str]], window: int):
-    block, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+def _pass(path: str | None, window: int):
+    name = f"{path} {window}"
 
     def look(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         if name not in _PREPARED:  # a worker prepares a block once for all its tasks
             _PREPARED.clear()
-            _PREPARED[name] = Block(block.value, window)
+            _PREPARED[name] = Block(_items(path) if path else [], window)
         for texts, before in batches:
             rows = pa.RecordBatch.from_arrays([texts, before], ["text", "found"])
             parts = []

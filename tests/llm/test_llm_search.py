@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -57,6 +58,35 @@ def test_longest_match_and_removal(spark):
     assert [r["doc_id"] for r in decontamination.decontaminated(docs, tests).collect()] == [2]
 
 
+def test_longest_match_against_brute_force():
+    dice = random.Random(8)
+    some = lambda n: [dice.choice("abc") for _ in range(n)]
+    tests = [some(dice.randrange(1, 60)) for _ in range(30)] + [["a"] * 50]
+    docs = [some(dice.randrange(0, 90)) for _ in range(30)] + [["a"] * 120, ["x", *tests[3], "x", *tests[4]]]
+    for window in (3, 6):
+        got = decontamination.Block([(i, " ".join(t)) for i, t in enumerate(tests)], window).search([" ".join(d) for d in docs])
+        for doc, (_, _, _, longest) in zip(docs, got, strict=True):
+            shared = [n for t in tests for n in range(min(window, len(t)), len(t) + 1) for k in range(len(t) - n + 1) if "".join(t[k : k + n]) in "".join(doc)]
+            assert longest == max(shared, default=0)
+
+
+def test_long_items_cost_bytes_in_proportion():
+    text = " ".join(f"w{i % 5000}" for i in range(8000))
+    tracemalloc.start()
+    got = decontamination.Block([(1, text)], 10).search(["so " + text, text[:600]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(hits, longest) for _, hits, _, longest in got][0] == ([(1, 8001)], 8000) and got[1][2] == {1}
+    assert peak < 10_000_000
+
+
+def test_the_benchmark_does_not_pass_the_driver(spark, monkeypatch):
+    tests = items(spark, [(i, f"only {i} some words of item", "e") for i in range(40)])
+    monkeypatch.setattr(type(tests), "toLocalIterator", lambda *a, **b: pytest.fail("read by the driver"))
+    found = decontamination.search(frame(spark, [(1, "so only 7 some words of item")]), tests, window=5, block_words=60)
+    assert [(r["found"]["items"], r["found"]["longest"]) for r in found.collect()] == [([7], 6)]
+
+
 def test_empty_tables_have_no_hits(spark):
     none = items(spark, [])
     assert [r["found"]["hits"] for r in decontamination.search(frame(spark, [(1, "a b")]), none).collect()] == [[]]
