@@ -1,6 +1,7 @@
 """Secret scans with a random forest against false positives, in DataFrame functions alone.
 
-Candidates are long runs of the signs that keys are written in. Each gets features of its length, its character
+Candidates are long runs of the signs that keys are written in, and, whatever their signs, values of six or more that are
+assigned to a secret's name and passwords in a URL. Each gets features of its length, its character
 transitions, how much of it dictionary words cover, whether it is part of a path, and the words beside it. A random
 forest, trained on labelled findings, votes. The trained trees become one column expression, so a document's candidates
 are judged in the row that holds them: no join, no shuffle, nothing that a hot source could skew.
@@ -18,8 +19,23 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.frames import kept_table, narrow
 
-#: A candidate: sixteen signs or more that keys are made of.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
+#: Words beside secrets. Fixed values.
+NAMES = "token|secret|password|passwd|pwd|api_?key|apikey|access_?key|key|auth|bearer|credential"
+#: What stands between a name and its value, up to an opening quote.
+ASSIGNED = rf"(?i:{NAMES})[\"'`]?[ \t]{{0,2}}(?:=>|:=|[=:])[ \t]{{0,2}}"
+#: Candidates. A quoted value that is assigned to a name goes up to its closing quote, any other up to white space, without
+#: the punctuation that ends it; then passwords in a URL; then sixteen signs or more that keys are made of. The short
+#: looks behind at first spare most places the long ones.
+CANDIDATE = "|".join([
+    r"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{0,2}[\"'`]?)(?:" + "|".join([
+        *[rf"(?<={ASSIGNED}{q})[^{q}\r\n]{{6,256}}(?={q})" for q in ("\"", "'", "`")],
+        rf"(?<={ASSIGNED}[\"'`]?)[^\s\"'`<>]{{5,}}[^\s\"'`<>.,;:)\]}}]",
+    ]) + ")",
+    r"(?<=:)(?<=://[^\s/?#@:]{0,64}:)[^\s/]+(?=@)",
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+",
+])
+#: The end of what stands before a password in a URL; the user's name may be cut.
+URL_BEFORE = r"(?:^|//)[^\s/?#@:]*:$"
 #: Signs of text kept from before and after a candidate.
 BEFORE, AFTER = 32, 8
 #: Labelled findings that the forest is trained on at most: those with the least hashes, of either label.
@@ -27,11 +43,10 @@ SAMPLE = 10_000
 TREES, DEPTH, SEED = 20, 6, 7
 DICTIONARY_WORDS = 200
 PLACEHOLDER = "<secret>"
-#: Words beside secrets. Fixed values.
-NAMES = "token|secret|password|passwd|pwd|api_?key|apikey|access_?key|key|auth|bearer|credential"
 FEATURES = [
     "length", "digits", "capitals", "class_changes", "digit_letter_changes", "vowel_changes", "distinct_signs", "hex_only", "dictionary",
     "path", "assigned", "quoted", "named", "number_only",
+    "signs", "in_url",
 ]
 
 
@@ -62,6 +77,8 @@ def features(found: Column, before: Column, after: Column, dictionary: list[str]
         "quoted": flag(before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]")),
         "named": flag(before.rlike(rf"(?i)(?:{NAMES})\W{{0,4}}$")),
         "number_only": flag(found.rlike("^[0-9+-]+$")),
+        "signs": share(r"[^A-Za-z0-9\s]"),
+        "in_url": flag(before.rlike(URL_BEFORE) & after.startswith("@")),
     }
 
 
@@ -193,9 +210,12 @@ def redacted(docs: DataFrame, forest: Forest, threshold: float = 0.5, text: str
 
 
 def labelled_by_form(found: DataFrame) -> DataFrame:
-    """Findings with a label where their form alone settles it: keys of a known vendor's form and values that are assigned to
-    a secret's name are secrets; numbers, runs of letters alone and parts of paths are not. The others have none."""
+    """Findings with a label where their form alone settles it: keys of a known vendor's form, passwords in a URL and values
+    with a digit or a sign within that are assigned to a secret's name are secrets; numbers, runs of letters alone and parts
+    of paths are not. The others have none."""
     vendor = F.col("candidate").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$")
-    assigned = F.col("before").rlike(rf"(?i)(?:{NAMES})\s?[=:]\s?[\"']?$") & F.col("candidate").rlike("[0-9]")
+    named = F.col("before").rlike(ASSIGNED + "[\"'`]?$")
+    assigned = named & F.col("candidate").rlike(r"[0-9]|[!#$%&*+=?@^~|\\]") & ~F.col("candidate").rlike(r"\s|^[A-Za-z]+[!?]+$")
+    in_url = F.col("before").rlike(URL_BEFORE) & F.col("after").startswith("@")
     plain = F.col("candidate").rlike("^(?:[0-9+-]+|[A-Za-z_-]+)$") | F.col("candidate").contains("/")
-    return found.withColumn("is_secret", F.when(vendor | assigned, True).when(plain, False))
+    return found.withColumn("is_secret", F.when(vendor | assigned | in_url, True).when(plain, False))

@@ -107,6 +107,24 @@ def test_forest_finds_secrets(spark):
         assert all(r["text"][s["start"] :].startswith(s["secret"]) for s in r["secrets"])
 
 
+def test_short_secrets_and_those_with_signs(spark):
+    dice = random.Random(9)
+    part = lambda n: "".join(dice.choice("abcdefghjkmnpqrtuvwxyz23456789!#$%") for _ in range(n)) + "7!x"
+    forms = ['set password = "{}" here', "with pwd: {} and", "api_key={}, then", "go to https://me:{}@host.example/x now", "'passwd': '{}'"]
+    secrets = {d: part(5 + d % 6) for d in range(120)}
+    words = ["the", "tion", "mentality", "ingenious", "yesterday", "because"]
+    rows = [(d, forms[d % 5].format(s)) for d, s in secrets.items()]
+    rows += [(200 + d, f"the key: {dice.choice(words[2:])} is {dice.choice(words)} see /usr/lib/{words[2]}/{words[3]} or http://host:8080/path") for d in range(120)]
+    docs = frame(spark, rows)
+    labelled = secret_scan.labelled_by_form(secret_scan.findings(docs.where("doc_id % 3 > 0")))
+    forest = secret_scan.train(labelled, secret_scan.common_words(docs))
+    scanned = secret_scan.scan(docs, forest)
+    got = [(r["doc_id"], s["secret"], r["text"][s["start"] :].startswith(s["secret"])) for r in scanned.collect() for s in r["secrets"]]
+    assert sorted(got) == sorted((d, s, True) for d, s in secrets.items())
+    cut = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs, forest).collect()}
+    assert [cut[d] for d in range(5)] == [f.format(secret_scan.PLACEHOLDER) for f in forms]
+
+
 def test_forest_votes_as_the_model_does(spark):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
