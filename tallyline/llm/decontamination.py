@@ -265,6 +265,8 @@ def n_hit(found: str = "found"):
     return F.aggregate(f"{found}.hits", F.lit(0).cast("bigint"), lambda a, h: a + (h["stop"] - h["start"]))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents without a hit, with their own columns (one named __found is not kept)."""
-    return search(docs, benchmark, into="__found", **settings).where(F.size("__found.hits") == 0).drop("__found")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, item: str = "item_id", **settings) -> DataFrame:
+    """The documents without a hit, with their own columns (one named __found is not kept). Items with a null id count like
+    any other, as no id is given out."""
+    named = benchmark.withColumn(item, F.coalesce(F.col(f"`{item}`").cast("bigint"), F.lit(0).cast("bigint")))
+    return search(docs, named, item=item, into="__found", **settings).where(F.size("__found.hits") == 0).drop("__found")

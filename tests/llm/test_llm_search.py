@@ -87,6 +87,12 @@ def test_the_benchmark_does_not_pass_the_driver(spark, monkeypatch):
     assert [(r["found"]["items"], r["found"]["longest"]) for r in found.collect()] == [([7], 6)]
 
 
+def test_items_without_an_id_remove_documents(spark):
+    docs = frame(spark, [(1, "so these are the words of it"), (2, "clean words")])
+    left = decontamination.decontaminated(docs, items(spark, [(None, "these are the words", "e")]), window=4)
+    assert [r["doc_id"] for r in left.collect()] == [2]
+
+
 def test_empty_tables_have_no_hits(spark):
     none = items(spark, [])
     assert [r["found"]["hits"] for r in decontamination.search(frame(spark, [(1, "a b")]), none).collect()] == [[]]
