@@ -1,0 +1,162 @@
+from __future__ import annotations
+
+import random
+import re
+from hashlib import sha256
+from zlib import crc32
+
+from tallyline.llm import conversation_repair as repair
+
+SOLID = re.compile(r"[^\x20\x09-\x0D]")
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, conv string, digest string, copies string, place string, fault string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, *["x"] * 5) for r in rows], SCHEMA)
+
+
+def faults(rows):
+    seen, found = set(), []
+    for _, role, text in rows:
+        solid = SOLID.findall(text)
+        found.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return found
+
+
+def cheapest(letters, found):
+    """(cost, audit) by dynamic programming from the start over (state, path), at most two insertions before a row."""
+    step = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    fill = [2, 2, 3, 2]
+    best = {0: (0, "")}
+
+    def with_insertions(now):
+        for _ in range(2):
+            for q, (c, a) in list(now.items()):
+                way = (c + 3, a + "I")
+                now[fill[q]] = min(now.get(fill[q], way), way)
+        return now
+
+    # before each row paths are told apart by what they end in: insertions are taken as part of the row's edit
+    for letter, fault in zip(letters, found, strict=True):
+        after = {}
+        for q0, (c0, a0) in best.items():
+            for k in range(3):
+                q = q0
+                for _ in range(k):
+                    q = fill[q]
+                c, a, extra = c0 + 3 * k, a0 + "I" * k, 3 if fault == "truncated" else 0
+                ways = [(q, c + 4, a + "D")]
+                if fault in ("", "truncated"):
+                    ways += [(step[q][letter], c + extra, a + "K")] if letter in step[q] else []
+                    ways.append((fill[q], c + extra + 3, a + "R"))
+                for to, cost, audit in ways:
+                    after[to] = min(after.get(to, (cost, audit)), (cost, audit))
+        best = after
+    best = with_insertions(best)
+    return min(best[q] for q in (0, 3) if q in best)
+
+
+def apply(rows, audit):
+    fill, step = [2, 2, 3, 2], [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    state, at, out = 0, 0, []
+    for edit in audit:
+        name = "user" if fill[state] == 2 else "assistant"
+        if edit == "I":
+            out.append((name, ""))
+            state = fill[state]
+            continue
+        _, role, text = rows[at]
+        at += 1
+        if edit == "K":
+            out.append((role, text))
+            state = step[state][role[0]]
+        elif edit == "R":
+            out.append((name, text))
+            state = fill[state]
+    assert at == len(rows) and state in (0, 3)
+    return out
+
+
+def plain(rows):
+    """By conversation: counts, cost, audit, repaired turns."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = [(t, " " if role is None else role, " " if text is None else text) for c, t, role, text in rows if c == conv]
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], sha256(r[2].encode()).digest()))
+        found, letters = faults(own), [r[1][:1] or "-" for r in own]
+        turns = {t for t, _, _ in own if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(letters, letters[1:], strict=False))
+        cost, audit = cheapest(letters, found)
+        out[conv] = (gaps, *[found.count(f) for f in ("blank", "duplicate", "truncated")], illegal, cost, audit, apply(own, audit))
+    return out
+
+
+def check(spark, rows, partitions=8):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        judged = repair.messages(frame(spark, rows))
+        found = repair.repairs(judged)
+        turns = {}
+        for r in repair.repaired(judged, found).orderBy("conv", "place").collect():
+            turns.setdefault(r["conv"], []).append((r["role"], r["text"]))
+        got = {r["conv"]: (*r[1:], turns.get(r["conv"], [])) for r in found.collect()}
+        hashes = {r["conv"]: r["sha256"] for r in repair.line_digests(repair.repaired(judged, found)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert got == plain(rows)
+    assert hashes == {c: sha256("\n".join(f"{r}:{t}" for r, t in p[-1]).encode()).hexdigest() for c, p in plain(rows).items() if p[-1]}
+
+
+ROLES = ["user", "assistant", "system", "tool", "usual", None, "", " "]
+TEXTS = ["One.", "Two!", "three", "four? ", "", " \n", None, "five. ", "six.\x0b\n", "é!", "user:\nnested."]
+
+
+def test_random_conversations(spark):
+    dice = random.Random(1)
+    rows = []
+    for conv in range(150):
+        for turn in range(dice.randrange(1, 9)):
+            role = ["user", "assistant"][turn % 2] if dice.random() < 0.6 else dice.choice(ROLES)
+            text = f"{conv} {turn} says." if dice.random() < 0.6 else dice.choice(TEXTS)
+            rows += [(conv, dice.choice([turn, turn + 3, None]) if dice.random() < 0.2 else turn, role, text)] * (2 if dice.random() < 0.1 else 1)
+    rows += [(None, 1, "user", "Hi."), (None, None, "assistant", "Early."), (1000, None, None, None), (1001, 5, "user", "w " * 300_000)]
+    check(spark, rows)
+    check(spark, rows[:40], partitions=40)
+
+
+def test_one_conversation_over_many_tasks(spark):
+    dice = random.Random(2)
+    rows = [(7, t // 2 if t < 40 else t, dice.choice(ROLES[:4]) if dice.random() < 0.25 else ["user", "assistant"][t % 2], dice.choice(TEXTS) if dice.random() < 0.3 else f"t{t}.") for t in range(700)]
+    rows += [(c, t, ["user", "assistant"][t % 2], f"{c} {t}") for c in (6, 8, 9) for t in range(3)]
+    check(spark, rows)
+    check(spark, rows, partitions=40)
+    check(spark, rows, partitions=1)
+
+
+def test_one_message_repeated(spark):
+    check(spark, [(1, None, "user", "Same.")] * 300 + [(1, t, "user", "Same.") for t in range(200)] + [(2, 0, "", ""), (2, 0, "", "")] * 40)
+
+
+def test_no_rows(spark):
+    judged = repair.messages(frame(spark, []))
+    found = repair.repairs(judged)
+    assert found.collect() == [] and repair.repaired(judged, found).collect() == []
+
+
+def test_turns_at_the_ends_of_the_range(spark):
+    judged = repair.messages(frame(spark, [(1, -(2**63), "user", "A."), (1, 2**63 - 1, "assistant", "B.")]))
+    assert [(r["gaps"], r["audit"]) for r in repair.repairs(judged).collect()] == [(None, "KK")]
+
+
+def test_damage(spark):
+    rows = [(c, t, "assistant", f"a. b{t}?") for c in range(40) for t in range(5)] + [(None, None, None, None), (3, None, "user", None)]
+    got = sorted(((r["conv_id"], r["turn"], r["role"], r["text"]) for r in repair.damaged(frame(spark, rows)).collect()), key=str)
+    want = []
+    for c, t, role, text in rows:
+        what = crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if what == 1 else re.sub("[.!?]", "", text) if what == 2 else text
+        want += [(c, t, "user" if what == 4 else role, text)] * (0 if what == 0 else 2 if what == 3 else 1)
+    assert got == sorted(want, key=str)
