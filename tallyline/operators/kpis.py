@@ -112,6 +112,20 @@ def kpis_of_feed(series: DataFrame, fed: DataFrame, s: Series = PRICES) -> DataF
     return daily_kpis(series.join(tickers, s.ticker, "left_semi"), s).join(days, [s.ticker, s.date], "left_semi")
 
 
+def from_first_fed(rows: DataFrame, fed: DataFrame, s: Series = PRICES) -> DataFrame:
+    """The rows that a feed (``fed``: ticker and day) may change: of each of its tickers those from the earliest fed day on, as
+    indicators of later days read earlier ones."""
+    firsts = fed.groupBy(F.col(s.ticker).alias("_fed")).agg(F.min(F.col(s.date).cast("date")).alias("_first"))
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    return rows.join(firsts, (F.col(s.ticker) == F.col("_fed")) & (F.col(s.date).cast("date") >= F.col("_first"))).select(*own)
+
+
+def kpis_since_feed(series: DataFrame, fed: DataFrame, s: Series = PRICES) -> DataFrame:
+    """Indicators of all days that a feed changes, over all that ``series``, which has the feed, holds of its tickers."""
+    tickers = fed.select(s.ticker).distinct()
+    return from_first_fed(daily_kpis(series.join(tickers, s.ticker, "left_semi"), s), fed, s)
+
+
 def dividends(prices: DataFrame) -> DataFrame:
     """Days on which a dividend was paid."""
     return prices.where(F.col("vl_dividends") > 0).select(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,3 +97,34 @@ def delete_where(df: DataFrame, condition: Column | str) -> DataFrame:
     """The rows for which the condition does not hold; null counts as not holding."""
     condition = F.expr(condition) if isinstance(condition, str) else condition
     return df.where(~F.coalesce(condition, F.lit(False)))
+
+
+def met(condition: Column | str) -> Column:
+    """Whether a row meets a condition; null counts as not."""
+    return F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
+
+
+def update_where(df: DataFrame, condition: Column | str, assign: Mapping[str, Any]) -> DataFrame:
+    """The rows, those that meet a condition with new values.
+
+    ``assign`` maps columns to constants or to expressions over the row as it was; None empties a column. A value takes the
+    type of its column. A column that is not there yet is added, null on the rows that do not meet the condition.
+    """
+    taken, new = met(condition), assigned(df, assign)
+    kept = [F.when(taken, new[c]).otherwise(F.col(f"`{c}`")).alias(c) if c in new else F.col(f"`{c}`") for c in df.columns]
+    return df.select(*kept, *[F.when(taken, new[c]).alias(c) for c in new if c not in df.columns])
+
+
+def assigned(df: DataFrame, assign: Mapping[str, Any]) -> dict[str, Column]:
+    """The assignments as columns of their columns' types."""
+    if not assign:
+        raise ValueError("an update needs an assignment")
+    types = {f.name: f.dataType for f in df.schema}
+    columns = {name: value if isinstance(value, Column) else F.lit(value) for name, value in assign.items()}
+    return {name: value.cast(types[name]) if name in types else value for name, value in columns.items()}
+
+
+def altered(df: DataFrame, assign: Mapping[str, Any]) -> Column:
+    """Whether the assignments change anything of a row."""
+    new = assigned(df, assign)
+    return reduce(operator.or_, [~F.col(f"`{n}`").eqNullSafe(v) if n in df.columns else v.isNotNull() for n, v in new.items()])

@@ -14,6 +14,8 @@ from tallyline.operators.merge import ACTION, INSERT, KEEP, UPDATE
 from tallyline.operators.pairing import checked_source, matched, only_new, pair_rows
 
 END, CURRENT = "end_dt", "is_current"
+#: When a row of a snapshot was seen.
+AT = "_at"
 
 
 def first_version(snapshot: DataFrame) -> DataFrame:
@@ -76,3 +78,55 @@ def apply_snapshot(
     compared = pair_rows(current, source, keys, versions, strategy)
     earlier = [F.lit(None).cast(types[c]).alias(c) for c in added]
     return past.select(*business, *earlier, END, CURRENT, F.lit(KEEP).alias(ACTION)).unionByName(compared)
+
+
+def history_of(observations: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """The versions that snapshots give, whatever the order in which they arrived.
+
+    ``observations``: the rows of all snapshots, with the moment of each in ``_at``; one row for a key and moment. The result
+    is that of applying the snapshots one after the other by time. A key has as many observations as there are
+    snapshots, so its own fit one row.
+    """
+    business = [c for c in observations.columns if c not in (*keys, AT)]
+    row = F.struct(AT, *business)
+    rows = observations.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    kind = observations.select(F.array(row)).schema[0].dataType
+
+    def different(a: Column, b: Column) -> Column:
+        tests = [~a[c].eqNullSafe(b[c]) if null_safe else F.coalesce(a[c] != b[c], F.lit(False)) for c in business]
+        return reduce(operator.or_, tests, F.lit(False))
+
+    def opened(versions: Column, seen: Column) -> Column:
+        last = F.get(versions, F.size(versions) - 1)
+        return F.when((F.size(versions) > 0) & ~different(last, seen), versions).otherwise(F.concat(versions, F.array(seen)))
+
+    heads = rows.select(*keys, F.aggregate("_rows", F.array().cast(kind), opened).alias("_heads"))
+    each = heads.select(*keys, "_heads", F.posexplode("_heads").alias("_place", "_head"))
+    following = F.get(F.col("_heads"), F.col("_place") + 1)
+    end = following[AT] - F.expr("INTERVAL 1 DAY")
+    return each.select(*keys, *[F.col("_head")[c].alias(c) for c in business], end.alias(END), following.isNull().alias(CURRENT))
+
+
+def apply_late_snapshot(
+    history: DataFrame, seen: DataFrame, snapshot: DataFrame, keys: Sequence[str], as_of, *, null_safe: bool = False
+) -> DataFrame:
+    """All versions, closed and open, of the snapshot's keys after a snapshot that is older than one applied before.
+
+    ``seen``: the keys of each snapshot applied so far, with its moment in ``_at``. At every such moment a key held the version
+    that had not ended by then; these rows and the snapshot's make up the history anew. A row seen at ``as_of`` before
+    is replaced. The snapshot must have the columns of the history. With plain inequality a null is no change, so where one
+    was seen beside a value, the version's value stands for it; with ``null_safe`` the order of snapshots makes no difference.
+    """
+    business = [c for c in history.columns if c not in (*keys, END, CURRENT)]
+    if set(snapshot.columns) != {*keys, *business}:
+        raise ValueError("a late snapshot must have the columns of the history")
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    moments = seen.join(snapshot.select(*keys), list(keys), "left_semi").where(F.col(AT) != moment)
+    own = history.join(snapshot.select(*keys), list(keys), "left_semi")
+    held = moments.join(own, list(keys)).where(F.col(END).isNull() | (F.col(END).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY") > F.col(AT)))
+    first_to_end = F.min_by(F.struct(*business), F.coalesce(F.col(END).cast("timestamp_ntz"), F.lit("9999-12-31").cast("timestamp_ntz")))
+    before = held.groupBy(*keys, AT).agg(first_to_end.alias("_held")).select(*keys, *[F.col("_held")[c].alias(c) for c in business], AT)
+    types = {f.name: f.dataType for f in history.schema}
+    arrived = snapshot.select(*keys, *[F.col(f"`{c}`").cast(types[c]).alias(c) for c in business], moment.alias(AT))
+    versions = history_of(before.unionByName(arrived), keys, null_safe)
+    return versions.withColumn(END, F.col(END).cast(types[END])).select(*history.columns)

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyline.operators.scd2 import CURRENT
 from tallyline.plans.loads import PARTITIONS
-from tallyline.sinks.tables import open_table
+from tallyline.sinks.catalog import follow, register_tables, text
 from tallyline.sources.tables import table_exists, table_path
 
+__all__ = [
+    "LAYOUTS", "SERVING_TABLES", "create_database", "follow", "register_rate_views", "register_serving", "register_tables", "show_databases",
+    "show_tables",
+]
+
 # The tables reports read by name.
 SERVING_TABLES = [
     "calendar", "tickers", "prices", "prices_month", "dividends", "interest_rate", "financial_event",
     "income", "balance", "profile",
 ]
 LAYOUTS = {t: [PARTITIONS[t]] for t in SERVING_TABLES} | {"profile": [CURRENT, PARTITIONS["profile"]]}
-YEARS = StructType([StructField("dt_year", IntegerType())])
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -33,31 +36,12 @@ def register_serving(spark: SparkSession, database: str, root: str, tier: str =
     register_tables(spark, database, written, {t: LAYOUTS[t] for t in written})
 
 
-def register_tables(
-    spark: SparkSession, database: str, locations: Mapping[str, str], layouts: Mapping[str, Sequence[str]] | None = None
-) -> None:
-    """Creates a table over each location that is not registered yet, and finds its partitions.
-
-    ``layouts`` names the partition columns of tables: they are text then (whole years are numbers). Without them Spark
-    guesses their types from the folders' names.
-    """
-    for table, location in locations.items():
-        name, columns, layout = f"`{database}`.`{table}`", "", ""
-        if layouts and table in layouts:
-            found = open_table(spark, location, layouts[table][-1], like=YEARS).schema
-            columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found) + ")"
-            layout = "PARTITIONED BY (" + ", ".join(f"`{c}`" for c in layouts[table]) + ")"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING parquet {layout} LOCATION {_text(location)}")
-        if _partitioned(spark, database, table):
-            spark.catalog.recoverPartitions(f"{database}.{table}")
-
-
 def register_rate_views(spark: SparkSession, database: str, rate_types: Sequence[str]) -> None:
     """One view per rate type, named after it, over the table of all rates."""
     for rate_type in rate_types:
         spark.sql(
             f"CREATE OR REPLACE VIEW `{database}`.`{rate_type.lower()}` AS "
-            f"SELECT * FROM `{database}`.interest_rate WHERE rate_type = {_text(rate_type)}"
+            f"SELECT * FROM `{database}`.interest_rate WHERE rate_type = {text(rate_type)}"
         )
 
 
@@ -67,12 +51,3 @@ def show_databases(spark: SparkSession) -> DataFrame:
 
 def show_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{database}`")
-
-
-def _partitioned(spark: SparkSession, database: str, table: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}"))
-
-
-def _text(value: str) -> str:
-    """A value as a SQL text literal; DDL takes no parameters."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -18,16 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyline.functions.predicates import differs, recent, reprocess_days
+from tallyline.operators import states
 from tallyline.operators.audit import DONE, FAILED, STARTED, log_row
 from tallyline.operators.calendar import calendar_from
-from tallyline.operators.kpis import daily_kpis, dividends, kpis_of_feed
+from tallyline.operators.kpis import daily_kpis, dividends, from_first_fed
 from tallyline.operators.quality import require_quality
 from tallyline.operators.rates import clean_rates, month_rates, rejected_rates, usable_rates
 from tallyline.operators.reshape import rename_by_position, unpivot_prices
+from tallyline.operators.scd2 import CURRENT
 from tallyline.operators.summary import month_kpis, month_summary
 from tallyline.plans import schemas
 from tallyline.plans.statements import as_events, clean_statement, raw_statement
-from tallyline.sinks.tables import Commit, open_table, selective, upsert, upsert_versions, write_table
+from tallyline.sinks.catalog import follow
+from tallyline.sinks.tables import Commit, open_table, selective, staging, upsert, upsert_versions, write_table
 from tallyline.sources import landed as files
 from tallyline.sources.tables import LOAD_START, empty_table, high_water_mark, or_latest_partition, read_table, since, table_path
 
@@ -44,16 +47,17 @@ PARTITIONS = {
     "prices": "ticker", "prices_month": "ticker", "dividends": "ticker", "financial_event": "ticker", "interest_rate": "rate_type",
     "tickers": "ticker_type", "profile": "ticker_type", "calendar": "dt_year", "income": "ticker", "balance": "ticker",
 }
-CLEANED_PARTITIONS = PARTITIONS | {"income": "income_period", "balance": "balance_period"}
+CLEANED_PARTITIONS = PARTITIONS | {"prices_state": "ticker", "income": "income_period", "balance": "balance_period"}
 
 
 @dataclass
 class Warehouse:
-    """Where the tables are, and the day the load is for."""
+    """Where the tables are, and the day the load is for. Serving tables are kept known by name in ``database``, if one is given."""
 
     spark: SparkSession
     root: str
     as_of: date
+    database: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
@@ -83,6 +87,7 @@ class Warehouse:
             self._declared = {
                 (RAW, "prices"): schemas.PRICES_RAW,
                 (CLEANED, "prices"): prices.schema,
+                (CLEANED, "prices_state"): empty_table(self.spark, f"ticker string, {states.STATE}").schema,
                 (SERVING, "prices"): _served(prices).schema,
                 (SERVING, "dividends"): dividends(prices).schema,
                 (SERVING, "prices_month"): month_kpis(month_summary(_served(prices))).schema,
@@ -101,10 +106,21 @@ class Warehouse:
     ) -> Commit:
         """Upserts into a table and logs what it did."""
         started = _now()
-        commit = upsert(rows, self.path(tier, table), keys, update_when, partition, self.declared().get((tier, table)))
+        named = self.database is not None and tier == SERVING
+        commit = upsert(rows, self.path(tier, table), keys, update_when, partition, self.declared().get((tier, table)), note_partitions=named)
+        if named:
+            follow(self.spark, self.database, table, commit, [partition])
         self.log(tier, table, started, commit=commit, reprocessed=reprocessed)
         return commit
 
+    def ended_well(self, table: str) -> bool:
+        """Whether the load of a table before the one that runs now came to its end; true if there was none."""
+        log = self.find(AUDIT, "run_log")
+        if log is None:
+            return True
+        loads = log.where((F.col("tier") == "load") & (F.col("table_name") == table)).orderBy(F.desc("logged_at"))
+        return [r["status"] for r in loads.select("status").limit(2).collect()][1:] in ([], [DONE])
+
     def log(self, tier: str, table: str, started: datetime, *, commit: Commit | None = None, **columns) -> None:
         if commit is not None:
             columns |= {"location": commit.path, "metrics": commit.metrics, "source_rows": commit.source}
@@ -128,11 +144,12 @@ UNNAMED: Source = (None, None, None)
 
 
 def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None, source: Source = UNNAMED) -> None:
-    """Daily prices: raw, quality gate, indicators, dividends, prices and months.
+    """Daily prices: raw, quality gate, states, indicators, dividends, prices and months.
 
-    Indicators are computed over all that is stored of the feed's tickers, so a feed of one
-    day gets those of a feed that goes back to the first. ``start_load`` widens the update
-    window back to that day, to reload history.
+    A feed changes its tickers' days from the earliest that it brings on, so a corrected day brings the days and months after it
+    up to date. Earlier days are not read: the table of states has what indicators need of them. A feed of one
+    day gets those of a feed that goes back to the first. ``start_load`` widens the update window back to that day, to
+    correct or reload history. After a load that failed, and for tickers without a state, all stored days are read.
     """
     with w.run("prices", landed, source):
         _load_prices(w, landed, start_load)
@@ -144,25 +161,80 @@ def _load_prices(w: Warehouse, landed: DataFrame, start_load: date | None) -> No
     def save(rows: DataFrame, tier: str, table: str, keys: list[str], day: str, partition: str = "ticker") -> None:
         w.merge(rows, tier, table, keys, recent(day, w.as_of, days), partition, reprocessed=start_load is not None)
 
+    trusted = w.ended_well("prices")
     raw = landed.withColumn("ymd", F.lit(w.ymd))
     save(raw, RAW, "prices", ["Ticker", "Date"], "Date", "ymd")
     require_quality(raw, schemas.PRICES_RAW)  # what fails stays in the raw tier, to be looked at
     fed = raw.select(F.col("Ticker").alias("ticker"), F.col("Date").cast("date").alias("price_date")).distinct()
-    tickers = selective(fed.select("ticker").distinct(), "ticker")
-    # The raw tier has the exact prices; of its rows those count that are in the feed or have passed the gate before.
+    firsts = fed.groupBy("ticker").agg(F.min("price_date").alias("first"))
+    held = w.find(CLEANED, "prices_state") if trusted else None
+    before = states.latest_before(held.join(selective(firsts.select("ticker"), "ticker"), "ticker", "left_semi"), firsts) if held is not None else None
+    with staging(w.spark, w.path(CLEANED, "prices_state")) as stage:
+        whole = stage.keep(_days(w, fed, _bounds(firsts, before, w.find(CLEANED, "prices"))))
+        before = stage.keep(empty_table(w.spark, f"ticker string, {states.STATE}") if before is None else before)
+        w.merge(states.month_states(whole, before), CLEANED, "prices_state", states.KEYS, F.lit(True), "ticker", reprocessed=start_load is not None)
+        save(from_first_fed(states.kpis_from_states(whole, before), fed), CLEANED, "prices", PRICE_KEYS, "price_date")
+    # One frame feeds two tables: the indicators are written once and read back, from the feed's first days on.
+    tickers = selective(firsts.select("ticker"), "ticker")
+    prices = from_first_fed(w.read(CLEANED, "prices").join(tickers, "ticker", "left_semi"), fed)
+    save(dividends(prices), SERVING, "dividends", DIVIDEND_KEYS, "ex_date")
+    save(_served(prices), SERVING, "prices", PRICE_KEYS, "price_date")
+    save(_months(w, firsts, trusted), SERVING, "prices_month", MONTH_KEYS, "price_date")
+
+
+def _bounds(firsts: DataFrame, before: DataFrame | None, stored: DataFrame | None) -> DataFrame:
+    """For each ticker the day from which its days are read: the first that its state does not have, the first of the feed's month
+    if nothing is stored of it, else null for all of them."""
+    bounds = firsts.select("ticker", F.trunc("first", "MM").alias("first"))
+    if before is not None:
+        ends = before.select("ticker", F.date_add(F.last_day("month"), 1).alias("next"))
+        bounds = bounds.join(ends, "ticker", "left")
+    else:
+        bounds = bounds.withColumn("next", F.lit(None).cast("date"))
+    if stored is not None:
+        without = selective(bounds.where("next IS NULL").select(F.col("ticker").alias("_of")), "_of")
+        known = stored.join(without, F.col("ticker") == F.col("_of"), "left_semi").select(F.col("ticker").alias("_known")).distinct()
+        bounds = bounds.join(known, F.col("ticker") == F.col("_known"), "left")
+    else:
+        bounds = bounds.withColumn("_known", F.lit(None).cast("string"))
+    return bounds.select("ticker", F.coalesce("next", F.when(F.col("_known").isNull(), F.col("first"))).alias("since"))
+
+
+def _days(w: Warehouse, fed: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The exact prices of the feed's tickers from their bounds on. They are in the raw tier; of its rows those count that are in
+    the feed or have passed the gate before."""
+    lowest = bounds.agg(F.when(F.count("*") == F.count("since"), F.min("since")).alias("day")).first()["day"]
+    tickers = selective(bounds.select("ticker"), "ticker")
     passed, stored = fed, w.find(CLEANED, "prices")
+    history = w.read(RAW, "prices")
+    if lowest is not None:
+        # as text, which the files' statistics are of; what does not start with a digit is no plain date and is looked at too
+        history = history.where((F.col("Date") >= str(lowest)) | (F.col("Date") < "0"))
+        stored = stored.where(F.col("price_date") >= F.lit(lowest)) if stored is not None else None
     if stored is not None:
         passed = fed.union(stored.join(tickers, "ticker", "left_semi").select(*PRICE_KEYS)).distinct()
-    history = rename_by_position(w.read(RAW, "prices"), schemas.PRICES_RAW, schemas.PRICES)
-    series = history.withColumn("price_date", F.col("price_date").cast("date")).join(passed, PRICE_KEYS, "left_semi")
-    save(kpis_of_feed(series.select(*schemas.PRICES.fieldNames()), fed), CLEANED, "prices", PRICE_KEYS, "price_date")
-    # One frame feeds two tables: the indicators are written once and read back, the feed's days of the feed's tickers.
-    prices = w.read(CLEANED, "prices").join(tickers, "ticker", "left_semi").join(fed, PRICE_KEYS, "left_semi")
-    save(dividends(prices), SERVING, "dividends", DIVIDEND_KEYS, "ex_date")
-    save(_served(prices), SERVING, "prices", PRICE_KEYS, "price_date")
-    served = w.read(SERVING, "prices").join(tickers, "ticker", "left_semi")
-    months = fed.select("ticker", F.year("price_date").alias("dt_year"), F.month("price_date").alias("dt_month")).distinct()
-    save(month_kpis(month_summary(served)).join(months, MONTH_KEYS, "left_semi"), SERVING, "prices_month", MONTH_KEYS, "price_date")
+    named = rename_by_position(history, schemas.PRICES_RAW, schemas.PRICES)
+    series = named.withColumn("price_date", F.col("price_date").cast("date")).join(passed, PRICE_KEYS, "left_semi")
+    bound = bounds.withColumnsRenamed({"ticker": "_of", "since": "_since"})
+    inside = (F.col("ticker") == F.col("_of")) & (F.col("_since").isNull() | (F.col("price_date") >= F.col("_since")))
+    return series.join(bound, inside, "left_semi").select(*schemas.PRICES.fieldNames())
+
+
+def _months(w: Warehouse, firsts: DataFrame, trusted: bool) -> DataFrame:
+    """The months from the feed's first on, summed from their days; the months before come as they are stored."""
+    starts = firsts.select(F.col("ticker").alias("_of"), F.trunc("first", "MM").alias("_start"))
+    tickers = selective(firsts.select("ticker"), "ticker")
+    served, stored = w.read(SERVING, "prices"), w.find(SERVING, "prices_month") if trusted else None
+    own = F.col("ticker") == F.col("_of")
+    if stored is None:
+        months = month_summary(served.join(tickers, "ticker", "left_semi"))
+    else:
+        lowest = starts.agg(F.min("_start")).first()[0]
+        days = served.where(F.col("price_date") >= F.lit(lowest)).join(tickers, "ticker", "left_semi")
+        new = month_summary(days.join(starts, own & (F.col("price_date") >= F.col("_start")), "left_semi"))
+        earlier = stored.join(tickers, "ticker", "left_semi").join(starts, own & (F.col("price_date") < F.col("_start")), "left_semi")
+        months = earlier.select(*new.columns).unionByName(new)
+    return month_kpis(months).join(starts, own & (F.col("price_date") >= F.col("_start")), "left_semi")
 
 
 def _served(prices: DataFrame) -> DataFrame:
@@ -236,6 +308,8 @@ def load_profiles(w: Warehouse, landed: DataFrame, source: Source = UNNAMED) ->
         as_of = datetime.combine(w.as_of, datetime.min.time())
         # The load day is not an attribute of the company: a new day alone makes no new version.
         commit = upsert_versions(named.drop("ymd"), w.path(SERVING, "profile"), [own], as_of, "ticker_type")
+        if w.database is not None:
+            follow(w.spark, w.database, "profile", commit, [CURRENT, "ticker_type"])
         w.log(SERVING, "profile", started, commit=commit)
 
 

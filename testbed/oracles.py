@@ -238,6 +238,18 @@ result AS (
      OR c_custkey NOT IN (SELECT c_custkey FROM history WHERE is_current))"""
 
 
+# Snapshots of three months; a version starts where a customer differs from the month before that has it.
+LATE = """observations AS (
+  SELECT * EXCLUDE (end_dt, is_current), TIMESTAMP '2001-01-01' AS seen FROM history WHERE is_current
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'BUILDING') THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment), TIMESTAMP '2001-02-01' FROM snap
+  UNION ALL
+  SELECT *, TIMESTAMP '2001-03-01' FROM snap),
+heads AS (
+  SELECT * EXCLUDE (before) FROM (
+    SELECT *, lag({'n': c_name, 'k': c_nationkey, 'a': c_acctbal, 's': c_mktsegment}) OVER (PARTITION BY c_custkey ORDER BY seen) AS before FROM observations)
+  WHERE before IS NULL OR before <> {'n': c_name, 'k': c_nationkey, 'a': c_acctbal, 's': c_mktsegment})"""
+
 WIDER_HISTORY = (
     HISTORY.replace("c_mktsegment FROM customers WHERE c_acctbal >= 0", "c_mktsegment, CASE WHEN c_nationkey % 3 = 0 THEN 'gold' END AS c_tier FROM customers WHERE c_acctbal >= 0")
     .replace("OR h.c_mktsegment <> s.c_mktsegment", "OR h.c_mktsegment <> s.c_mktsegment OR s.c_tier IS NOT NULL")
@@ -396,6 +408,37 @@ ORACLES: dict[str, str] = {
     "q_sink_upsert": f"SELECT * EXCLUDE (_action) FROM ({merged(PRICE_DIFFERS)})",
     "q_sink_delete": with_(MERGE_OLD) + "SELECT * FROM old WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
     "q_sink_versions": with_(HISTORY) + "SELECT * EXCLUDE (_action) FROM result WHERE is_current OR _action = 'update'",
+    "q_update_where": with_(MERGE_OLD)
+    + """SELECT o_orderkey, o_custkey, CASE WHEN hit THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN hit THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+        CASE WHEN hit THEN 'was ' || o_orderstatus END AS o_note
+        FROM (SELECT *, coalesce(o_orderpriority = '5-LOW', false) AS hit FROM old)""",
+    "q_sink_update": with_(MERGE_OLD)
+    + """SELECT o_orderkey, o_custkey, CASE WHEN hit THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN hit THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+        FROM (SELECT *, o_orderstatus = 'P' OR coalesce(o_orderpriority = '5-LOW', false) AS hit FROM old)
+        UNION ALL SELECT -1, NULL, 'N', 100.0, NULL, NULL""",
+    "q_sink_upsert_feed": f"SELECT * EXCLUDE (_action), strftime(o_orderdate, '%Y-%m') AS o_month FROM ({merged(PRICE_DIFFERS)})".replace(
+        "TIMESTAMP '1998-01-01'", "TIMESTAMP '2000-10-01'"
+    ),
+    "q_sink_versions_late": with_(HISTORY, LATE) + """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+        lead(seen) OVER w - INTERVAL 1 DAY AS end_dt, lead(seen) OVER w IS NULL AS is_current FROM heads WINDOW w AS (PARTITION BY c_custkey ORDER BY seen)""",
+    "q_catalog_in_step": f"SELECT * EXCLUDE (_action), strftime(o_orderdate, '%Y') AS o_year, CASE WHEN _action <> 'keep' THEN 'seen ' || o_orderstatus END AS o_note "
+    f"FROM ({merged(PRICE_DIFFERS)})",
+    "q_catalog_listing": "SELECT 'orders_of_status' AS table_name, false AS is_temporary, count(*) AS n_rows FROM orders UNION ALL SELECT 'customers', false, count(*) FROM customer",
+    "q_empty_table": with_(MERGE_NEW) + "SELECT *, 'insert' AS _action FROM new",
+    "q_schema_equality": "SELECT 'part' AS table_name, true AS same, count(*) AS n_rows FROM part UNION ALL SELECT 'region', false, count(*) FROM region "
+    "UNION ALL SELECT 'nation', false, count(*) FROM nation",
+    "q_multi_file_read": f"SELECT o_orderkey, o_custkey, {cents('o_totalprice')} AS cents FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')",
+    "q_kpis_correction": with_(SALES, BARS, KPIS) + "SELECT * FROM kpis",
+    "q_kpis_from_states": with_(SALES, BARS, KPIS) + "SELECT * FROM kpis WHERE price_date >= DATE '2000-01-01'",
+    "q_month_states": with_(SALES, BARS)
+    + f"""SELECT ticker, CAST(date_trunc('month', price_date) AS DATE) AS month, max(price_date) AS last_day, CAST(max(n) AS BIGINT) AS n,
+        last(total ORDER BY price_date) AS total, CAST(least(max(n), 200) AS INTEGER) AS held, last(held_closes ORDER BY price_date) AS held_closes
+        FROM (SELECT *, count(*) OVER w AS n, sum(vl_close) OVER w AS total, sum(vl_close) OVER (w ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS held_closes
+              FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY price_date)) GROUP BY 1, 2""",
+    "q_load_corrected_days": with_(SALES, BARS, KPIS)
+    + "SELECT ticker, price_date, vl_close, z_score, vl_change_week, perc_change_month, vl_moving_avg_20_days, vl_moving_avg_200_days FROM kpis",
     "q_run_log_latest": f"""SELECT run_id, tier, last(event_id ORDER BY d, event_id) AS inserted, max(d) AS logged_on,
         last(c ORDER BY d, event_id) AS updated
         FROM (SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS tier, event_id, CAST(ts AS DATE) AS d,

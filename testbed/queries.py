@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from tallyline.functions.dates import as_date, calendar_attributes, lenient_date, year_month
 from tallyline.functions.numbers import lenient_double
 from tallyline.functions.predicates import differs, recent, reprocess_days
-from tallyline.operators import kpis, quality, rates, scd2, summary
+from tallyline.operators import kpis, quality, rates, scd2, states, summary
 from tallyline.operators.audit import latest_log
 from tallyline.operators.calendar import join_calendar
-from tallyline.operators.merge import ACTION, delete_where, merge, merge_metrics
+from tallyline.operators.merge import ACTION, delete_where, merge, merge_metrics, update_where
 from tallyline.operators.reshape import rename_by_position, unpivot_prices
-from tallyline.plans import reports, schemas
+from tallyline.plans import catalog, loads, reports, schemas
 from tallyline.plans.schemas import declare
 from tallyline.plans.statements import as_events
 from tallyline.settings import shared_dir
@@ -246,6 +246,117 @@ def q_sink_versions(t: Tables) -> DataFrame:
     return sinks.open_table(t.spark, path, partition).withColumn("end_dt", F.col("end_dt").cast("timestamp_ntz"))
 
 
+@query
+def q_update_where(t: Tables) -> DataFrame:
+    """Two columns of some rows, and a column that is new."""
+    assign = {"o_totalprice": F.col("o_totalprice") * 2, "o_orderstatus": "X", "o_note": F.concat(F.lit("was "), F.col("o_orderstatus"))}
+    return update_where(inputs.merge_old(t), "o_orderpriority = '5-LOW'", assign)
+
+
+@query
+def q_sink_update(t: Tables) -> DataFrame:
+    """Updates by a condition: one that moves rows to a partition that is new and empties another, one that meets nothing and
+    inserts, and one that meets what was inserted."""
+    path, partition = _new_table(t, "update"), "o_orderstatus"
+    sinks.upsert(inputs.merge_old(t), path, KEY, partition=partition)
+    sinks.update(t.spark, path, "o_orderstatus = 'P' OR o_orderpriority = '5-LOW'", {"o_totalprice": F.col("o_totalprice") * 2, partition: "X"}, partition)
+    for _ in range(2):
+        price = F.coalesce(F.col("o_totalprice"), F.lit(0.0)) + 50
+        sinks.update(t.spark, path, "o_orderkey = -1", {"o_totalprice": price}, partition, insert={"o_orderkey": -1, partition: "N"})
+    return sinks.open_table(t.spark, path, partition)
+
+
+@query
+def q_sink_upsert_feed(t: Tables) -> DataFrame:
+    """Keys that contain the partition: only the partitions and files that the feed's keys can be in are read."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    path, partition, keys = _new_table(t, "feed"), "o_month", ["o_month", "o_orderkey"]
+    sinks.upsert(inputs.merge_old(t).withColumn(partition, month), path, keys, partition=partition)
+    feed = inputs.merge_new(t).withColumn(partition, month).where("o_orderdate >= '2000-10-01'")
+    sinks.upsert(feed, path, keys, PRICE_DIFFERS, partition)
+    return sinks.open_table(t.spark, path, partition)
+
+
+@query
+def q_sink_versions_late(t: Tables) -> DataFrame:
+    """Snapshots of January, March and then February."""
+    path, partition, key = _new_table(t, "late"), "c_mktsegment", ["c_custkey"]
+    first = inputs.profile_history(t).where("is_current").drop("end_dt", "is_current")
+    moved = F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "BUILDING"), "MOVED").otherwise(F.col("c_mktsegment"))
+    second, third = inputs.profile_snapshot(t).withColumn(partition, moved), inputs.profile_snapshot(t)
+    for month, snapshot in ((1, first), (3, third), (2, second)):
+        sinks.upsert_versions(snapshot, path, key, datetime(2001, month, 1), partition)
+    return sinks.open_table(t.spark, path, partition).withColumn("end_dt", F.col("end_dt").cast("timestamp_ntz"))
+
+
+def _new_database(t: Tables) -> str:
+    name = f"served_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE `{name}`")
+    return name
+
+
+@query
+def q_catalog_in_step(t: Tables) -> DataFrame:
+    """A table read by name after an upsert has brought it a column and partitions."""
+    path, partition, name = _new_table(t, "named"), "o_year", _new_database(t)
+    year = F.year("o_orderdate").cast("string")
+    first = sinks.upsert(inputs.merge_old(t).withColumn(partition, year), path, KEY, partition=partition, note_partitions=True)
+    catalog.follow(t.spark, name, "orders", first, [partition])
+    wider = inputs.merge_new(t).withColumns({partition: year, "o_note": F.concat(F.lit("seen "), F.col("o_orderstatus"))})
+    commit = sinks.upsert(wider, path, KEY, PRICE_DIFFERS, partition, note_partitions=True)
+    catalog.follow(t.spark, name, "orders", commit, [partition])
+    return t.spark.table(f"{name}.orders")
+
+
+@query
+def q_catalog_listing(t: Tables) -> DataFrame:
+    """The tables of a database as listed, and the rows of each by name."""
+    name = _new_database(t)
+    written = {"orders_of_status": (t.orders, "o_orderstatus"), "customers": (t.customer, "c_mktsegment")}
+    locations = {table: _new_table(t, table) for table in written}
+    for table, (rows, partition) in written.items():
+        sinks.write_table(rows, locations[table], partition)
+    catalog.register_tables(t.spark, name, locations, {table: [partition] for table, (_, partition) in written.items()})
+    counts = [t.spark.table(f"{name}.{table}").agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for table in written]
+    listed = catalog.show_tables(t.spark, name).select(F.col("tableName").alias("table_name"), "isTemporary")
+    return listed.join(counts[0].unionByName(counts[1]), "table_name").withColumnRenamed("isTemporary", "is_temporary")
+
+
+@query
+def q_empty_table(t: Tables) -> DataFrame:
+    """A first load into a typed table without rows."""
+    source = inputs.merge_new(t)
+    return merge(tables.empty_table(t.spark, source.schema), source, KEY)
+
+
+@query
+def q_schema_equality(t: Tables) -> DataFrame:
+    """Tables with the declared schema, with another type, and with another order, with the rows that each has."""
+    wanted = {
+        "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        "region": "r_regionkey int, r_name string",
+        "nation": "n_name string, n_nationkey long, n_regionkey long",
+    }
+    frames = {"part": t.part.select("p_partkey", "p_name", "p_brand", "p_type", F.col("p_size").cast("int").alias("p_size"), "p_retailprice"),
+              "region": t.region.select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name"),
+              "nation": t.nation.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("long").alias("n_regionkey"))}
+    parts = [
+        frames[n].agg(F.lit(n).alias("table_name"), F.lit(quality.same_schema(frames[n], declare(s))).alias("same"), F.count(F.lit(1)).alias("n_rows"))
+        for n, s in wanted.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def q_multi_file_read(t: Tables) -> DataFrame:
+    """Files landed apart, read as one."""
+    paths = [_new_table(t, "landed") for _ in range(3)]
+    columns = ["o_orderkey", "o_custkey", inputs.cents("o_totalprice").alias("cents")]
+    for path, status in zip(paths, ("F", "O", "P"), strict=True):
+        t.orders.where(F.col("o_orderstatus") == status).select(*columns).write.parquet(path)
+    return t.spark.read.parquet(*paths)
+
+
 @query
 def q_run_log_latest(t: Tables) -> DataFrame:
     return latest_log(inputs.run_log(t), ["run_id", "tier"], "logged_on", ["inserted"])
@@ -407,6 +518,52 @@ def q_kpis_incremental(t: Tables) -> DataFrame:
     return kpis.daily_kpis(bars.where(~later)).unionByName(kpis.kpis_of_feed(bars, feed.select("ticker", "price_date")))
 
 
+@query
+def q_kpis_correction(t: Tables) -> DataFrame:
+    """Stored indicators with wrong closes in a quarter, and a feed of that quarter: later days follow it."""
+    bars, wrong = inputs.bars(t), F.col("price_date").between("1998-04-01", "1998-06-30")
+    keys, stored = ["ticker", "price_date"], bars.withColumn("vl_close", F.when(wrong, F.col("vl_close") * 3 + 1).otherwise(F.col("vl_close")))
+    fed = bars.where(wrong).select(*keys)
+    return merge(kpis.daily_kpis(stored), kpis.kpis_since_feed(bars, fed), keys).drop(ACTION)
+
+
+@query
+def q_kpis_from_states(t: Tables) -> DataFrame:
+    """The later days from their own prices and the state of the month before alone."""
+    bars, later = inputs.bars(t), F.col("price_date") >= "2000-01-01"
+    held = states.month_states(bars.where(~later))
+    before = states.latest_before(held, bars.where(later).groupBy("ticker").agg(F.min("price_date").alias("first")))
+    return states.kpis_from_states(bars.where(later), before)
+
+
+@query
+def q_month_states(t: Tables) -> DataFrame:
+    """States made in two steps, without the closes that they hold: those of the later months follow the last of the earlier."""
+    bars, later = inputs.bars(t), F.col("price_date") >= "2000-01-01"
+    held = states.month_states(bars.where(~later))
+    before = states.latest_before(held, bars.where(later).groupBy("ticker").agg(F.min("price_date").alias("first")))
+    both = held.unionByName(states.month_states(bars.where(later), before))
+    closes = F.aggregate("tail", F.lit(0.0), lambda total, close: total + close)
+    return both.select("ticker", "month", "last_day", "n", F.rint(F.col("mean") * F.col("n")).alias("total"), F.size("tail").alias("held"), closes.alias("held_closes"))
+
+
+@query
+def q_load_corrected_days(t: Tables) -> DataFrame:
+    """Whole loads: all days with wrong prices in some, then the right ones of these. What is served is as if they had been right."""
+    bars, wrong = inputs.bars(t), F.col("price_date").between("2000-05-10", "2000-05-12")
+    w = loads.Warehouse(t.spark, _new_table(t, "warehouse"), AS_OF)
+    fields = {"Open": "vl_open", "High": "vl_high", "Low": "vl_low", "Close": "vl_close", "AdjClose": "vl_close", "Volume": "vl_volume", "Dividends": "vl_dividends"}
+    landed_prices = bars.select(
+        F.col("ticker").alias("Ticker"), F.col("price_date").cast("string").alias("Date"), *[F.col(c).cast("double").alias(n) for n, c in fields.items()],
+        F.lit(0.0).alias("StockSplits"), F.lit(None).cast("double").alias("CapitalGains"), wrong.alias("wrong"),
+    )
+    stale = landed_prices.withColumn("Close", F.when(F.col("wrong"), F.col("Close") * 2).otherwise(F.col("Close")))
+    loads.load_prices(w, stale.drop("wrong"))
+    loads.load_prices(w, landed_prices.where("wrong").drop("wrong"), start_load=date(2000, 5, 1))
+    columns = ["ticker", "price_date", "vl_close", "z_score", "vl_change_week", "perc_change_month", "vl_moving_avg_20_days", "vl_moving_avg_200_days"]
+    return w.read("serving", "prices").select(*columns)
+
+
 def _months(t: Tables) -> DataFrame:
     return summary.month_summary(kpis.with_moving_averages(kpis.checked_series(inputs.bars(t))))
 

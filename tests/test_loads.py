@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -57,6 +58,84 @@ def test_a_day_at_a_time_equals_all_at_once(spark, tmp_path, rows):
         assert rows(parts.read(tier, table)) == rows(whole.read(tier, table))
 
 
+TABLES = (("cleaned", "prices"), ("serving", "prices"), ("serving", "prices_month"), ("serving", "dividends"))
+
+
+def long_prices(spark, days=300):
+    """A year of prices of three tickers that move, with gaps."""
+    dice, data = random.Random(8), []
+    for ticker, base in (("A", 10.0), ("B", 50.0), ("C", 7.0)):
+        for i in range(days):
+            base = round(max(base + dice.uniform(-1, 1.05), 3.0), 3)
+            if dice.random() < 0.9:
+                data.append((ticker, str(DAY_ONE - timedelta(days=days - 1 - i)), base, base + 1, max(base - 1, 0.5), base, base, 100.0, float(dice.random() < 0.05), 0.0, None))
+    return spark.createDataFrame(data, schemas.StructType(schemas.PRICES_RAW.fields[:-1]))
+
+
+def same_tables(a, b, rows):
+    for tier, table in TABLES:
+        columns = sorted(a.read(tier, table).columns)
+        assert rows(a.read(tier, table), *columns) == rows(b.read(tier, table), *columns), table
+
+
+def test_a_correction_brings_later_days_up_to_date(spark, tmp_path, rows):
+    """A feed that corrects two days in the middle, and one that brings a day left out: as if all had been right at once."""
+    right = long_prices(spark)
+    middle = F.col("Date").isin("2023-11-08", "2023-12-20") & (F.col("Ticker") != "C")
+    wrong = right.withColumn("Close", F.when(middle, F.col("Close") * 2).otherwise(F.col("Close")))
+    left_out = (F.col("Ticker") == "C") & F.col("Date").between("2023-12-01", "2023-12-04")
+    parts, whole = Warehouse(spark, str(tmp_path / "parts"), DAY_ONE), Warehouse(spark, str(tmp_path / "whole"), DAY_ONE)
+    loads.load_prices(parts, wrong.where(~left_out))
+    loads.load_prices(parts, right.where(middle | left_out), start_load=date(2023, 11, 1))
+    loads.load_prices(whole, right)
+    same_tables(parts, whole, rows)
+    state = "prices_state"
+    assert rows(parts.read("cleaned", state), "ticker", "month", "last_day", "n", "tail") == rows(whole.read("cleaned", state), "ticker", "month", "last_day", "n", "tail")
+
+
+def test_a_new_ticker_and_a_load_that_failed(spark, tmp_path, rows, monkeypatch):
+    """Days of known tickers and of a new one; then a load is cut short after the states, and the next one reads all days."""
+    data = long_prices(spark)
+    last, day_before = F.col("Date") == "2024-03-05", F.col("Date") == "2024-03-04"
+    parts, whole = Warehouse(spark, str(tmp_path / "parts"), DAY_ONE), Warehouse(spark, str(tmp_path / "whole"), DAY_ONE)
+    loads.load_prices(parts, data.where(~last & ~day_before & (F.col("Ticker") != "B")))
+    loads.load_prices(parts, data.where(day_before & (F.col("Ticker") != "B") | ~last & (F.col("Ticker") == "B")))
+    merge = Warehouse.merge
+
+    def fail(self, rows, tier, table, *a, **k):
+        if (tier, table) == ("cleaned", "prices"):
+            raise RuntimeError("driver lost")
+        return merge(self, rows, tier, table, *a, **k)
+
+    monkeypatch.setattr(Warehouse, "merge", fail)
+    with pytest.raises(RuntimeError):
+        loads.load_prices(parts, data.where(last))
+    monkeypatch.undo()
+    loads.load_prices(parts, data.where(last))
+    loads.load_prices(whole, data)
+    same_tables(parts, whole, rows)
+
+
+def test_a_load_of_one_day_reads_one_state_and_one_month(spark, warehouse, monkeypatch):
+    data = long_prices(spark)
+    last = F.col("Date") == "2024-03-05"
+    loads.load_prices(warehouse, data.where(~last))
+    seen = {}
+    days, states_of = loads._days, loads.states.latest_before
+
+    def noted(name, found):
+        seen[name] = (found, found._jdf.queryExecution().executedPlan().toString(), found.collect())
+        return found
+
+    monkeypatch.setattr(loads, "_days", lambda *a: noted("days", days(*a)))
+    monkeypatch.setattr(loads.states, "latest_before", lambda *a: noted("states", states_of(*a)))
+    loads.load_prices(warehouse, data.where(last))
+    assert "GreaterThanOrEqual(Date,2024-03-01)" in seen["days"][1]
+    assert {(r.price_date.year, r.price_date.month) for r in seen["days"][2]} == {(2024, 3)}
+    assert {(r.month, len(r.tail)) for r in seen["states"][2]} == {(date(2024, 2, 1), 200)}
+    assert "dynamicpruning" in seen["states"][1]
+
+
 def test_tickers_of_digits_stay_text(spark, tmp_path, rows):
     w = Warehouse(spark, str(tmp_path / "w"), DAY_ONE)
     coded = prices(spark, 30).withColumn("Ticker", F.when(F.col("Ticker") == "A", "005930").otherwise("1E5")).withColumn("Dividends", F.lit(0.0))

@@ -190,6 +190,87 @@ def test_delete(spark, path, rows):
     assert sinks.delete(spark, path, "v > 99", "p").deleted == 0
 
 
+@pytest.mark.parametrize("partition", ["p", None])
+def test_update(spark, path, rows, partition):
+    sinks.upsert(frame(spark, (1, "a", 1), (2, "a", 2), (3, "b", 3), (4, "c", None), (5, None, 9)), path, ["k"], CHANGED, partition)
+    commit = sinks.update(spark, path, "v >= 2", {"v": F.col("v") * 10, "p": F.when(F.col("k") == 3, "new").otherwise(F.col("p"))}, partition)
+    assert (commit.source, commit.updated, commit.inserted) == (3, 3, 0)
+    got = sinks.open_table(spark, path, partition, like=frame(spark).schema)
+    assert rows(got, "k", "p", "v") == [(1, "a", 1), (2, "a", 20), (3, "new", 30), (4, "c", None), (5, None, 90)]
+    same = sinks.update(spark, path, F.col("k") < 3, {"p": "a"}, partition)
+    assert (same.source, same.updated) == (2, 0)
+    nulled = sinks.update(spark, path, "k = 2", {"v": None}, partition)
+    assert nulled.updated == 1 and rows(sinks.open_table(spark, path, partition), "k", "v")[1] == (2, None)
+
+
+def test_update_that_matches_nothing_may_insert(spark, path, rows):
+    new = {"k": 7, "p": "x"}
+    assert sinks.update(spark, path, "k = 7", {"v": 1}, "p") == sinks.Commit(path)
+    assert sinks.update(spark, path, "k = 7", {"v": F.lit(1)}, "p", insert=new).inserted == 1
+    assert sinks.update(spark, path, "k = 7", {"v": F.col("v") + 1}, "p", insert=new).metrics == {"inserted": 0, "updated": 1, "deleted": 0}
+    assert sinks.update(spark, path, "k = 8", {"v": 5}, "p", insert={"k": 8}).inserted == 1
+    wider = sinks.update(spark, path, "k = 8", {"note": F.lit("seen")}, "p")
+    assert wider.columns == (("note", "string"),)
+    assert rows(read_table(spark, path, schema="k int, p string, v int, note string"), "k", "p", "v", "note") == [(7, "x", 2, None), (8, None, 5, "seen")]
+    with pytest.raises(ValueError, match="assignment"):
+        sinks.update(spark, path, "k = 8", {}, "p")
+
+
+def test_update_writes_the_changed_partitions_alone(spark, path):
+    sinks.upsert(frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3)), path, ["k"], CHANGED, "p")
+    before = {p: files(path, p) for p in "abc"}
+    sinks.update(spark, path, "k >= 2", {"v": 3}, "p")
+    after = {p: files(path, p) for p in "abc"}
+    assert before["a"] == after["a"] and before["c"] == after["c"] and before["b"] != after["b"]
+
+
+def test_emptied_partitions_cost_no_job_each(spark, tmp_path):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for n in (3, 60):
+        path = str(tmp_path / f"t{n}")
+        rows_in = spark.range(2 * n).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("p/ "), F.col("id") % n).alias("p"), F.lit(1).alias("v"))
+        sinks.upsert(rows_in, path, ["k"], CHANGED, "p")
+        spark.sparkContext.setJobGroup(f"empty {n}", "")
+        assert sinks.delete(spark, path, "p <> 'p/ 0'", "p").deleted == 2 * n - 2
+        jobs.append(len(tracker.getJobIdsForGroup(f"empty {n}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert [r.k for r in spark.read.parquet(path).orderBy("k").collect()] == [0, n]
+        assert len([d for d in os.listdir(path) if d.startswith("p=")]) == n
+    assert jobs[1] < jobs[0] + 12  # listing and the iterator cost a few
+
+
+def scanned(df):
+    """(partitions, files) that the scans of a frame read."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        df._jdf.collectAsList()
+        leaves = [plan.collectLeaves().apply(i) for i in range(plan.collectLeaves().size())]
+        scans = [s.metrics() for s in leaves if "FileScan" in s.toString() and s.metrics().contains("numPartitions")]
+        return [(m.apply("numPartitions").value(), m.apply("numFiles").value()) for m in scans]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_an_upsert_reads_the_partitions_of_its_source(spark, path, monkeypatch):
+    """Keys (ticker, day): of fifty partitions the feed's two; of a table without them the files whose keys can match."""
+    old = spark.range(5000).select(F.concat(F.lit("t"), F.col("id") % 50).alias("p"), F.floor(F.col("id") / 50).cast("int").alias("k"), F.lit(1).alias("v"))
+    sinks.upsert(old, path, ["p", "k"], CHANGED, "p")
+    seen, near = [], sinks._near
+    monkeypatch.setattr(sinks, "_near", lambda *a: seen.append(near(*a)) or seen[-1])
+    reads = []
+    monkeypatch.setattr(sinks, "_counts", lambda taken, counts=sinks._counts: reads.extend(scanned(seen[-1].select("p", "k"))[:1]) or counts(taken))
+    feed = frame(spark, (7, "t3", 5), (500, "t40", 5)).select("p", "k", "v")
+    commit = sinks.upsert(feed, path, ["p", "k"], CHANGED, "p")
+    assert (commit.inserted, commit.updated) == (1, 1) and reads[0] == (2, 2)
+    flat = f"{path}_flat"
+    old.repartitionByRange(10, "k").write.parquet(flat)
+    commit = sinks.upsert(feed, flat, ["k", "p"], CHANGED)
+    assert (commit.inserted, commit.updated) == (1, 1)
+    assert "GreaterThanOrEqual(k,7)" in seen[-1]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_versions(spark, path, rows):
     first = frame(spark, (1, "a", 1), (2, "b", 2))
     assert sinks.upsert_versions(first, path, ["k"], datetime(2024, 1, 1), "p").inserted == 2
@@ -217,6 +298,39 @@ def test_closed_versions_are_not_written_again(spark, path, rows):
     assert got == [(1, "a", 1, None, False), (1, "a", 5, None, True), (2, "a", 2, None, False), (2, "b", 9, "x", True), (3, "b", 3, None, True)]
 
 
+@pytest.mark.parametrize("partition", ["p", None])
+@pytest.mark.parametrize("order", [(0, 2, 1), (2, 1, 0), (2, 0, 1)])
+def test_snapshots_in_any_order(spark, path, rows, order, partition):
+    months = [datetime(2024, m, 1) for m in (1, 2, 3)]
+    snapshots = [
+        frame(spark, (1, "a", 1), (2, "b", 1), (3, "a", 1), (4, "c", 1)),
+        frame(spark, (1, "c", 3), (2, "b", 1), (3, "a", 3)),
+        frame(spark, (1, "a", 1), (2, "b", 2), (3, "a", 1), (5, "c", 1)),
+    ]
+    commits = [sinks.upsert_versions(snapshots[i], path, ["k"], months[i], partition) for i in order]
+    ends = [datetime(2024, 1, 31), datetime(2024, 2, 29)]
+    want = [
+        (1, "a", 1, ends[0], False), (1, "a", 1, None, True), (1, "c", 3, ends[1], False), (2, "b", 1, ends[1], False), (2, "b", 2, None, True),
+        (3, "a", 1, ends[0], False), (3, "a", 1, None, True), (3, "a", 3, ends[1], False), (4, "c", 1, None, True), (5, "c", 1, None, True),
+    ]
+    key = lambda r: [(v is not None, str(v)) for v in r]
+    assert rows(sinks.open_table(spark, path, partition), "k", "p", "v", END, CURRENT) == sorted(want, key=key)
+    assert commits[-1].source == snapshots[order[-1]].count()
+    again = sinks.upsert_versions(snapshots[1], path, ["k"], months[1], partition)
+    assert again.metrics == {"inserted": 0, "updated": 0, "deleted": 0}
+    assert rows(sinks.open_table(spark, path, partition), "k", "p", "v", END, CURRENT) == sorted(want, key=key)
+
+
+def test_a_table_without_a_record_refuses_late_snapshots(spark, path):
+    import shutil
+
+    for month in (1, 3):
+        sinks.upsert_versions(frame(spark, (1, "a", month)), path, ["k"], datetime(2024, month, 1), "p")
+    shutil.rmtree(f"{path}__seen")
+    with pytest.raises(ValueError, match="older than the last closing"):
+        sinks.upsert_versions(frame(spark, (1, "a", 2)), path, ["k"], datetime(2024, 2, 1), "p")
+
+
 def test_catalog(spark, path, rows):
     sinks.write_table(frame(spark, (1, "a", 1), (2, "b", 2)), path, "p")
     catalog.create_database(spark, "served")
@@ -244,3 +358,28 @@ def test_catalog(spark, path, rows):
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE served CASCADE")
+
+
+def test_a_registered_table_follows_its_upserts(spark, path, rows, monkeypatch):
+    first = frame(spark, (1, "a", 1), (2, "it's b", 2), (3, None, 3))
+    spark.sql("CREATE DATABASE IF NOT EXISTS followed")
+    try:
+        commit = sinks.upsert(first, path, ["k"], CHANGED, "p", note_partitions=True)
+        assert set(commit.partitions) == {"a", "it's b", None}
+        catalog.follow(spark, "followed", "things", commit, ["p"])
+        assert rows(spark.table("followed.things"), "k", "p") == [(1, "a"), (2, "it's b"), (3, None)]
+        recovered = []
+        monkeypatch.setattr(type(spark.catalog), "recoverPartitions", lambda self, name: recovered.append(name))
+        wider = frame(spark, (1, "a", 9), (4, "it's new", 4), (5, "007", 5)).withColumn("extra", F.lit("x"))
+        commit = sinks.upsert(wider, path, ["k"], CHANGED, "p", note_partitions=True)
+        assert commit.columns == (("extra", "string"),) and commit.partitions == ("007", "it's new")
+        catalog.follow(spark, "followed", "things", commit, ["p"])
+        want = [(1, "a", 9, "x"), (2, "it's b", 2, None), (3, None, 3, None), (4, "it's new", 4, "x"), (5, "007", 5, "x")]
+        assert rows(spark.table("followed.things"), "k", "p", "v", "extra") == want
+        assert sinks.update(spark, path, "k = 5", {"p": "a", "note": F.lit("moved")}, "p").columns == (("note", "string"),)
+        assert not recovered
+        monkeypatch.undo()
+        catalog.register_tables(spark, "followed", {"things": path}, {"things": ["p"]})
+        assert rows(spark.table("followed.things").where("note = 'moved'"), "k", "p") == [(5, "a")]
+    finally:
+        spark.sql("DROP DATABASE followed CASCADE")
