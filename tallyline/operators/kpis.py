@@ -134,12 +134,10 @@ def dividends(prices: DataFrame) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str = "ticker", date: str = "price_date") -> DataFrame:
-    """The rows that carry their key's last date. Last dates combine before the shuffle, one per key and task; joined back they
-    are small enough to broadcast unless there are very many keys, so the stored rows stay where they are."""
-    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(date).alias("_newest"))
-    own = [F.col(f"_rows.`{c}`") for c in df.columns]
-    met = F.col(f"_rows.`{key}`").eqNullSafe(F.col("_key")) & (F.col(f"_rows.`{date}`") == F.col("_newest"))
-    return df.alias("_rows").join(newest, met).select(*own)
+    """The rows that carry their key's last date, all of them if several do. The input is read once: a task keeps what is first
+    by date among its own rows of a key, and only that is shuffled."""
+    newest = F.rank().over(Window.partitionBy(key).orderBy(F.desc(date)))
+    return df.where(F.col(date).isNotNull()).withColumn("_rank", newest).where("_rank = 1").drop("_rank")
 
 
 def _with_change(prices: DataFrame, period: str, base: Column, percent_base: Column, s: Series) -> DataFrame:

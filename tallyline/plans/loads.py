@@ -30,6 +30,7 @@ from tallyline.operators.summary import month_kpis, month_summary
 from tallyline.plans import schemas
 from tallyline.plans.statements import as_events, clean_statement, raw_statement
 from tallyline.sinks.catalog import follow
+from tallyline.sinks.log import append_log, compact_log, read_log
 from tallyline.sinks.tables import Commit, open_table, selective, staging, upsert, upsert_versions, write_table
 from tallyline.sources import landed as files
 from tallyline.sources.tables import LOAD_START, empty_table, high_water_mark, or_latest_partition, read_table, since, table_path
@@ -69,6 +70,8 @@ class Warehouse:
 
     def find(self, tier: str, table: str) -> DataFrame | None:
         """The table, or None if it is not there yet. Declared tables are read without looking at the files' footers."""
+        if (tier, table) == (AUDIT, "run_log"):
+            return read_log(self.spark, self.path(tier, table))
         declared = self.declared().get((tier, table))
         partition = "ymd" if tier == RAW else (CLEANED_PARTITIONS if tier == CLEANED else PARTITIONS).get(table, "rate_type")
         return open_table(self.spark, self.path(tier, table), None if tier == AUDIT else partition, declared, declared)
@@ -124,7 +127,11 @@ class Warehouse:
     def log(self, tier: str, table: str, started: datetime, *, commit: Commit | None = None, **columns) -> None:
         if commit is not None:
             columns |= {"location": commit.path, "metrics": commit.metrics, "source_rows": commit.source}
-        write_table(log_row(self.spark, self.run_id, tier, table, started, _now(), **columns), self.path(AUDIT, "run_log"))
+        append_log(log_row(self.spark, self.run_id, tier, table, started, _now(), **columns), self.path(AUDIT, "run_log"))
+
+    def compact_log(self) -> int:
+        """Merges the run log's files of the days before the load day; how many days that were."""
+        return compact_log(self.spark, self.path(AUDIT, "run_log"), self.as_of)
 
     @contextmanager
     def run(self, table: str, landed: DataFrame, source: tuple[str | None, str | None, str | None] = (None, None, None)) -> Iterator[None]:

@@ -403,11 +403,11 @@ def _empty(stage: _Stage, table: DataFrame, layout: list[str], emptied: DataFram
 
     folders = ((folder, [r["_file"] for r in found]) for folder, found in groupby(files.toLocalIterator(), key=lambda r: r["_folder"]))
     with ThreadPoolExecutor(AT_A_TIME) as pool:
-        for some in _chunks(folders, 64 * AT_A_TIME):
+        for some in chunks(folders, 64 * AT_A_TIME):
             list(pool.map(lambda f: emptied_folder(*f), some))
 
 
-def _chunks(items: Iterator, size: int) -> Iterator[list]:
+def chunks(items: Iterator, size: int) -> Iterator[list]:
     while some := list(islice(items, size)):
         yield some
 

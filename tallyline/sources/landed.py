@@ -12,16 +12,27 @@ XML_RATE_TAG = "rate"
 JSON_RATE_SCHEMA = "data string, valor string"
 
 
-def json_rates(spark: SparkSession, path: str, rate_type: str, ymd: str, lines: bool = False) -> DataFrame:
+def json_rates(spark: SparkSession, path: str, rate_type: str, ymd: str, lines: bool = False, split: bool = False) -> DataFrame:
     """Landed JSON rate lists to (tipo, data, valor, ymd), all text.
 
     A list may span lines, so one task reads a whole file; with ``lines`` every line is a rate of its own and large files
-    are split. What can't be parsed is a row without date and value.
+    are split. What can't be parsed is a row without date and value. ``split`` cuts lists that span lines too: a rate ends
+    at its closing brace, which no field of a rate may hold, so tasks read parts of a file; then it is the rate that can't
+    be parsed, not its whole list, that becomes such a row.
     """
+    if split:
+        return _json_rate_columns(_split_json_rates(spark, path), F.lit(rate_type), ymd)
     rows = spark.read.schema(JSON_RATE_SCHEMA).option("multiLine", not lines).json(path)
     return _json_rate_columns(rows, F.lit(rate_type), ymd)
 
 
+def _split_json_rates(spark: SparkSession, path: str) -> DataFrame:
+    parts = spark.read.option("lineSep", "}").text(path)
+    rate = F.regexp_replace("value", r"^[\s,\[\]\x{FEFF}]+", "")
+    parsed = F.from_json(F.concat("rate", F.lit("}")), JSON_RATE_SCHEMA).alias("_rate")
+    return parts.select(rate.alias("rate")).where("rate <> ''").select(parsed).select("_rate.*")
+
+
 def json_rates_in(df: DataFrame, payload: str, rate_type: Column, ymd: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The same from a text column that holds one JSON list of rates per row. A list that can't be parsed is a row without
     date and value; an empty list is none."""

@@ -408,6 +408,9 @@ ORACLES: dict[str, str] = {
     "q_sink_upsert": f"SELECT * EXCLUDE (_action) FROM ({merged(PRICE_DIFFERS)})",
     "q_sink_delete": with_(MERGE_OLD) + "SELECT * FROM old WHERE o_orderpriority IS DISTINCT FROM '5-LOW'",
     "q_sink_versions": with_(HISTORY) + "SELECT * EXCLUDE (_action) FROM result WHERE is_current OR _action = 'update'",
+    "q_json_rates_split": f"""SELECT 'SELIC' AS tipo, strftime(o_orderdate, '%d/%m/%Y') AS data, CAST({cents('o_totalprice')} AS VARCHAR) AS valor,
+        {YMD} AS ymd FROM orders""",
+    "q_run_log_compacted": "SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS tier, event_id AS inserted, CAST(ts AS DATE) AS logged_day FROM events",
     "q_update_where": with_(MERGE_OLD)
     + """SELECT o_orderkey, o_custkey, CASE WHEN hit THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
         CASE WHEN hit THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,

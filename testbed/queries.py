@@ -13,7 +13,7 @@ from tallyline.functions.dates import as_date, calendar_attributes, lenient_date
 from tallyline.functions.numbers import lenient_double
 from tallyline.functions.predicates import differs, recent, reprocess_days
 from tallyline.operators import kpis, quality, rates, scd2, states, summary
-from tallyline.operators.audit import latest_log
+from tallyline.operators.audit import LOG_SCHEMA, latest_log
 from tallyline.operators.calendar import join_calendar
 from tallyline.operators.merge import ACTION, delete_where, merge, merge_metrics, update_where
 from tallyline.operators.reshape import rename_by_position, unpivot_prices
@@ -22,6 +22,7 @@ from tallyline.plans.schemas import declare
 from tallyline.plans.statements import as_events
 from tallyline.settings import shared_dir
 from tallyline.sinks import tables as sinks
+from tallyline.sinks.log import append_log, compact_log, read_log
 from tallyline.sources import landed, tables
 from testbed import inputs
 from testbed.inputs import AS_OF, YMD, Tables
@@ -69,6 +70,30 @@ def q_json_rates(t: Tables) -> DataFrame:
     return inputs.json_rates(t, with_broken=True)
 
 
+@query
+def q_json_rates_split(t: Tables) -> DataFrame:
+    """Files of JSON lists that span lines, read by more tasks than there are files."""
+    rate = F.struct(F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"), inputs.cents("o_totalprice").cast("string").alias("valor"))
+    lists = t.orders.groupBy(F.floor(F.col("o_orderkey") / 5000).alias("part")).agg(F.collect_list(rate).alias("rates"))
+    path = _new_table(t, "lists")
+    lists.select(F.to_json("rates", {"pretty": "true"}).alias("value")).write.text(path)
+    return landed.json_rates(t.spark, path, "SELIC", YMD, split=True)
+
+
+@query
+def q_run_log_compacted(t: Tables) -> DataFrame:
+    """The log of a run for each event, in files by task, after the files of all its days but the last have been merged."""
+    path, at = _new_table(t, "log"), F.col("ts").cast("timestamp")
+    columns = {"run_id": F.col("user_id").cast("string"), "tier": F.col("event_type"), "inserted": F.col("event_id"), "started_at": at, "logged_at": at}
+    schema = tables.empty_table(t.spark, LOG_SCHEMA).schema
+    log = t.events.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+    for part in (F.col("inserted") % 2 == 0, F.col("inserted") % 2 == 1):
+        append_log(log.where(part), path)
+    for _ in range(2):
+        compact_log(t.spark, path, date(2024, 1, 31))
+    return read_log(t.spark, path).select("run_id", "tier", "inserted", "logged_day")
+
+
 @query
 def q_xml_rates(t: Tables) -> DataFrame:
     return inputs.xml_rates(t, with_broken=True)

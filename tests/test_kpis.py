@@ -98,5 +98,14 @@ def test_latest_rows(spark, rows):
     assert rows(kpis.latest_rows(both), "ticker", "vl_close") == [("A", 5.0), ("B", 2.0)]
 
 
+def test_latest_rows_keep_ties_and_read_their_input_once(spark, rows, tmp_path):
+    data = [("A", date(2024, 1, 1), 1), ("A", date(2024, 1, 2), 2), ("A", date(2024, 1, 2), 3), ("B", None, 4), (None, date(2024, 1, 3), 5), (None, date(2024, 1, 1), 6)]
+    spark.createDataFrame(data, "ticker string, price_date date, v int").write.parquet(str(tmp_path / "t"))
+    last = kpis.latest_rows(spark.read.parquet(str(tmp_path / "t")))
+    assert rows(last, "v") == [(2,), (3,), (5,)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "WindowGroupLimit [ticker" in plan
+
+
 def test_empty_input(spark):
     assert kpis.daily_kpis(series(spark, CLOSES).where(F.lit(False))).count() == 0

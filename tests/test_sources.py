@@ -61,6 +61,27 @@ def test_high_water_mark(spark, rows):
     assert got == [(date(2024, 2, 1),), (date(2024, 2, 2),)]
 
 
+def test_json_lists_are_split(spark, tmp_path, rows):
+    """The same rates as from whole files; a list that spans lines is read by several tasks; a rate that is cut off is one bad row."""
+    dice = [{"data": f"{1 + i % 28:02}/01/2024", "valor": str(i)} for i in range(20_000)]
+    (tmp_path / "a.json").write_text(json.dumps(dice, indent=2))
+    (tmp_path / "b.json").write_text("\ufeff[]")
+    (tmp_path / "c.json").write_text(json.dumps(dice[:3]).replace(", ", " ,\n"))
+    (tmp_path / "d.json").write_text(json.dumps(dice[5]))
+    whole = landed.json_rates(spark, str(tmp_path), "SELIC", "20240307")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        split = landed.json_rates(spark, str(tmp_path), "SELIC", "20240307", split=True)
+        assert split.rdd.getNumPartitions() > 8
+        assert rows(split) == rows(whole) and split.count() == 20_004
+        (tmp_path / "a.json").write_text(json.dumps(dice[:9])[:-20])
+        bad = landed.json_rates(spark, str(tmp_path / "a.json"), "SELIC", "20240307", split=True)
+        assert rows(bad, "data", "valor") == sorted([(r["data"], r["valor"]) for r in dice[:8]] + [(None, None)], key=lambda r: [(v is not None, str(v)) for v in r])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_json_rates(spark, tmp_path, rows):
     content = [{"data": "05/03/2024", "valor": "10.5"}, {"data": "06/03/2024", "valor": "10.6", "extra": 1}]
     (tmp_path / "a.json").write_text(json.dumps(content))
