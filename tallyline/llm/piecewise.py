@@ -12,16 +12,24 @@ import re
 from array import array
 from functools import cache
 
-#: Pieces that a worker remembers at most; about 200 bytes each. When full, it starts anew.
-REMEMBERED = 1_000_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Pieces that a worker remembers at most; about 200 bytes each. Those not met for half as many others are forgotten.
+REMEMBERED = 1_500_000
 #: First bytes of characters that are surely not white space: ASCII signs, and lead bytes of blocks without white space.
 SOLID = rb"[\x21-\x7e\xc3-\xdf\xe0\xe4-\xf4]"
 STARTS = re.compile(rb"(?=[ \n]" + SOLID + rb")")
 IRREGULAR = {b""} | {bytes([b]) for b in range(256) if not re.match(SOLID, bytes([b]))}
-#: Letters followed by ASCII signs other than the apostrophe, which may start a contraction.
-CLOSED = re.compile(rb"([ \n]?[A-Za-z\xc3\x80-\xbf]*[A-Za-z])([!-&(-/:-@\[-`{-~]+)")
+#: Signs that may end a word; runs of them are pre-tokens of their own. Byte-level models write a space as another sign.
+CLOSING, SPACE = b"!,.:;?", "\u0120"
 #: Before a text's first part; a text that holds it is cut another way.
 HEAD = b"\x00"
+#: Stands for such a text: no regular part is empty.
+IRREGULAR_PART = b""
+#: ASCII white space as spaces.
+TO_SPACES = bytes(32 if b in b"\t\n\x0b\x0c\r" else b for b in range(256))
 
 
 class PiecewiseEncoder:
@@ -34,46 +42,76 @@ class PiecewiseEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.closings = self.tokenizer.model, {}
         self.spaces_kept, self.remembered = spaces_kept, remembered
+        #: The pieces met since the last time that half of what is remembered was full, and those from before.
         self.known: dict[bytes, bytes | None] = {}
+        self.earlier: dict[bytes, bytes | None] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Of each text its ids as little-endian unsigned 32-bit integers; null is empty."""
-        if len(self.known) > self.remembered:
-            self.known.clear()
+        """Of each text its ids as little-endian unsigned 32-bit integers; null is empty.
+
+        Arrow cuts all texts at once and numbers the distinct parts, so that a part is looked up once, however often it is
+        there; the ids are then gathered by these numbers."""
+        if not texts:
+            return []
+        if len(self.known) > self.remembered // 2:
+            self.known, self.earlier = {}, self.known
         data = [(t or "").encode() for t in texts]
-        cut = [self._parts(d) for d in data]
-        self._learn({p for p in set().union(*cut) if p not in self.known})
-        return [self._joined(parts, d) for parts, d in zip(cut, data, strict=True)]
-
-    def _parts(self, data: bytes) -> list[bytes]:
-        """Where spaces are kept, a part stands for itself after a space, or for itself if it starts with a line feed or with
-        the mark HEAD of a text's first part."""
+        lines = [self._line(d) for d in data]
+        parts = pc.split_pattern(pa.array([b" ".join(lines)], pa.large_binary()), " ").values.dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        new = [p for p in distinct if p not in self.known]
+        self.known.update((p, self.earlier[p]) for p in new if p in self.earlier)
+        self._learn([p for p in new if p not in self.earlier])
+        found = [self.known[p] for p in distinct]
+        ids = np.frombuffer(b"".join(filter(None, found)), "<u4")
+        sizes = np.fromiter((len(f) // 4 if f else 0 for f in found), np.int64, len(found))
+        begins, number = np.cumsum(sizes) - sizes, parts.indices.to_numpy()
+        sizes_of, last = sizes[number], np.cumsum([line.count(b" ") + 1 for line in lines])
+        ends = np.cumsum(sizes_of)
+        all_ids = ids[np.repeat(begins[number] - ends + sizes_of, sizes_of) + np.arange(ends[-1])].tobytes()
+        stops = (4 * ends[last - 1]).tolist()
+        out = [all_ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        unsure = np.fromiter((f is None for f in found), bool, len(found))
+        if unsure.any():  # a part's start is not surely a pre-token's start
+            for i in np.unique(np.searchsorted(last, np.flatnonzero(unsure[number]), "right")).tolist():
+                out[i] = b"".join(self._ids([p for p in STARTS.split(data[i]) if p]))
+        return out
+
+    def _line(self, data: bytes) -> bytes:
+        """The text's parts with a space between each. Where spaces are kept, a part stands for itself after a space, or for itself
+        if it starts with a line feed or with the mark HEAD of a text's first part."""
         if not self.spaces_kept:
-            return data.split()
+            return data.translate(TO_SPACES)
         if HEAD in data:
-            return [b""]  # irregular
-        return (HEAD + data).replace(b"\n", b" \n").split(b" ")
-
-    def _joined(self, parts: list[bytes], data: bytes) -> bytes:
-        try:
-            return b"".join(map(self.known.__getitem__, parts))
-        except TypeError:  # a part is None: its start is not surely a pre-token's start
-            pieces = [p for p in STARTS.split(data) if p]
-            return b"".join(self._ids(pieces))
-
-    def _learn(self, new: set[bytes]) -> None:
-        """Word and closing signs of a new part are separate pre-tokens: only new words are encoded, not each combination."""
+            return IRREGULAR_PART
+        return (HEAD + data).replace(b"\n", b" \n")
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Words of ASCII letters, with closing signs or without, are pre-tokens as they are: the library's model alone cuts
+        them. All else goes through the whole library."""
+        known, closings, tokenize, rest = self.known, self.closings, self.model.tokenize, []
         if not self.spaces_kept:
-            spelled = {p: p for p in new}
+            known[b""] = b""  # between two white spaces
+            new = [p for p in new if p]
         else:
-            self.known |= {p: None for p in new if not _regular(p)}
-            spelled = {p: p[1:] if p[:1] == HEAD else p if p[:1] == b"\n" else b" " + p for p in new if _regular(p)}
-        ends = {p: CLOSED.fullmatch(s) for p, s in spelled.items()}
-        words = list({m[1] for m in ends.values() if m} | {m[2] for m in ends.values() if m} | {spelled[p] for p, m in ends.items() if not m})
-        ids = dict(zip(words, self._ids(words), strict=True))
-        for part, m in ends.items():
-            self.known[part] = ids[m[1]] + ids[m[2]] if m else ids[spelled[part]]
+            known.update((p, None) for p in new if not _regular(p))
+            new = [p for p in new if _regular(p)]
+        for part in new:
+            word = part.rstrip(CLOSING)
+            if not word.isalpha():  # of bytes: ASCII letters only
+                rest.append(part)
+                continue
+            ids = array("I", [t.id for t in tokenize(SPACE + word.decode() if self.spaces_kept else word.lower().decode())]).tobytes()
+            if len(word) < len(part):
+                closing = part[len(word) :]
+                if closing not in closings:
+                    closings[closing] = self._ids([closing])[0]
+                ids += closings[closing]
+            known[part] = ids
+        spelled = [p if p[:1] == b"\n" else b" " + p if p[:1] != HEAD else p[1:] for p in rest] if self.spaces_kept else rest
+        known.update(zip(rest, self._ids(spelled), strict=True))
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
