@@ -117,6 +117,27 @@ def test_packing(spark, whole):
     assert packing.pack(frame(spark, []), WORDS, end_id=1).collect() == []
 
 
+@pytest.mark.parametrize("tasks", [1, 211])
+def test_few_sequences_whatever_the_tasks(spark, smallest, tasks):
+    """Within three hundredths of the least that the tokens need."""
+    docs = spark.read.parquet(f"{smallest.replace('sf0.001', 'sf0.01')}/documents.parquet").repartition(tasks)
+    got = packing.pack(docs, WORDS, end_id=1).agg(F.count_distinct("sequence_id").alias("used"), F.ceil(F.sum("length") / 4096).alias("least"), F.count_distinct("doc_id").alias("n")).first()
+    assert got["used"] <= 1.03 * got["least"] and got["n"] == docs.count()
+
+
+def test_many_tasks_at_the_second_time(spark, whole, monkeypatch):
+    monkeypatch.setattr(packing, "SECOND_SEQUENCES", 3)
+    rows = [(i, "word " * (i * 37 % 90)) for i in range(200)] + [(None, "word")] * 20
+    got = packing.pack(frame(spark, rows).repartition(20), WORDS, end_id=1, room=64, open_bins=4).collect()
+    assert sum(r["length"] for r in got) == sum(len(whole(WORDS, t)) + 1 for _, t in rows)
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts) + 1)]
+        assert [offset for offset, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 64
+
+
 def test_open_bins_are_bounded_and_the_fullest_closes():
     bins, dice = packing.OpenBins(100, 5), random.Random(1)
     for _ in range(2000):
