@@ -48,7 +48,7 @@ def words(text: str | None) -> list[bytes]:
 class Block:
     """Some benchmark items: their vocabulary, their words as numbers in one line, and the places of their windows, sorted."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], window: int):
+    def __init__(self, items: Iterable[tuple[int | None, str]], window: int):
         self.window, self.vocabulary, self.ids, self.shortest = window, {}, [], window
         lines, starts, at = [np.array([END], np.uint32)], {}, 1
         for item, text in items:
@@ -88,7 +88,7 @@ class Block:
             np.add.at(covered, at + windows.size, -1)
             docs = np.searchsorted(ends, at, "right")
             for doc, n in np.unique(np.stack([docs, number], 1), axis=0).tolist():
-                of_doc.setdefault(doc, set()).update(self.ids[i] for i in windows.items(n))
+                of_doc.setdefault(doc, set()).update(self.ids[i] for i in windows.items(n) if self.ids[i] is not None)
             before = np.where(at > 0, everything[at - 1], 0)
             # a match that can be longer to the left is no longest one
             first = (windows.left_low[number] != before) | (windows.left_high[number] != before)
@@ -209,7 +209,7 @@ def _blocks(benchmark: DataFrame, most: int) -> list[str]:
     return [f"{path}/block={r['block']}" for r in written.select("block").distinct().orderBy("block").collect()]
 
 
-def _items(path: str) -> Iterator[tuple[int, str]]:
+def _items(path: str) -> Iterator[tuple[int | None, str]]:
     files, folder = _filesystem(path)
     for file in files.get_file_info(pa.fs.FileSelector(folder)):
         if file.path.endswith(".parquet"):
@@ -224,10 +224,10 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
     of the benchmark; items, those with a window in the document; longest, the longest verbatim match in words.
 
     A window is ``window`` words of an item, or a shorter item as a whole. Null and empty texts have no words and no hits,
-    items without words no windows; repeated documents or items count each; empty tables give no rows or no hits; null
-    item ids are passed over. All columns of the documents are kept, but for one named as ``into``, which is replaced.
+    items without words no windows; repeated documents or items count each; empty tables give no rows or no hits; an item
+    with a null id hits words like any other and is left out of ``items``. All columns of the documents are kept, but for one named as ``into``, which is replaced.
     """
-    items = benchmark.select(F.col(f"`{item}`").cast("bigint").alias("item"), F.col("text").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(f"`{item}`").cast("bigint").alias("item"), F.col("text").alias("text")).where("text IS NOT NULL")
     found = docs.withColumn(into, F.lit(None).cast(FOUND))
     for path in _blocks(items, block_words) or [None]:
         found = found.withColumn(into, _pass(path, window)(F.col(f"`{text}`"), F.col(into)))
@@ -266,7 +266,5 @@ def n_hit(found: str = "found"):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, item: str = "item_id", **settings) -> DataFrame:
-    """The documents without a hit, with their own columns (one named __found is not kept). Items with a null id count like
-    any other, as no id is given out."""
-    named = benchmark.withColumn(item, F.coalesce(F.col(f"`{item}`").cast("bigint"), F.lit(0).cast("bigint")))
-    return search(docs, named, item=item, into="__found", **settings).where(F.size("__found.hits") == 0).drop("__found")
+    """The documents without a hit, with their own columns (one named __found is not kept)."""
+    return search(docs, benchmark, item=item, into="__found", **settings).where(F.size("__found.hits") == 0).drop("__found")
