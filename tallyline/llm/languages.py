@@ -11,7 +11,6 @@ by row, with tables of a size that depends on the number of languages only.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,13 +44,14 @@ PASSAGES, PASSAGE_WORDS, PASSAGE_BYTES = 4, (4, 10, 25, 60), 2000
 ORDERS, BUCKETS = (2, 3, 4), 1 << 15
 EPOCHS, BATCH, PENALTY = 8, 64, 1e-5
 NOT_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-LETTER = re.compile(r"[^\W\d_]")
+#: Weights are whole multiples of one in so many: their sums do not depend on the order in which they are added.
+FIXED = 1 << 20
 _MODELS: dict[str, "Model"] = {}
 
 
 def letters(text: str | None) -> bytes:
-    """Lower-cased words of letters, a space before and after each; empty without a letter."""
-    if not text or not LETTER.search(text):
+    """Lower-cased words of letters, a space before and after each; empty without a letter (Unicode category L)."""
+    if not text or not any(map(str.isalpha, text)):
         return b""
     return b" " + b" ".join(text.lower().encode().translate(NOT_LETTERS).split()) + b" "
 
@@ -115,15 +115,16 @@ def _voted(classes: list[str], machines: list[Machine], margins: dict[int, np.nd
 
 
 def _margins(data: list[bytes], machines: list[Machine]) -> list[np.ndarray]:
+    """Zero bytes stand between the texts, so that a sequence of one never reaches into the next, as in training."""
+    gap = bytes(max(ORDERS))
     sizes = np.array([len(d) for d in data])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    places = hashed(b"".join(data))
+    starts = np.concatenate([[0], np.cumsum(sizes + len(gap))[:-1]])
+    spans = np.stack([starts, starts + sizes], 1).ravel()
+    places = hashed(gap.join([*data, b""]))
     out = []
     for m in machines:
-        margin = np.full(len(data), m.bias)
-        for order, at in enumerate(places):
-            margin += np.add.reduceat(m.weights[order][at], starts, dtype=np.float64) / sizes
-        out.append(margin)
+        total = sum(np.add.reduceat(m.weights[order][at], spans, dtype=np.int64)[::2] for order, at in enumerate(places))
+        out.append(m.bias + total / (FIXED * sizes))
     return out
 
 
@@ -152,7 +153,7 @@ def _fit(first: str, second: str, passages: list[bytes], signs: np.ndarray, seed
                 steps += 1
                 mean += (weights - mean) / steps
                 mean_bias += (bias - mean_bias) / steps
-    machine = Machine(first, second, mean.astype(np.float32).reshape(len(ORDERS), BUCKETS), mean_bias, 1.0)
+    machine = Machine(first, second, np.rint(mean * FIXED).astype(np.int32).reshape(len(ORDERS), BUCKETS), mean_bias, 1.0)
     margin = _margins(passages, [machine])[0] * signs
     machine.slope = min((1.0, 2.0, 3.0, 4.0, 6.0, 8.0), key=lambda s: float(np.logaddexp(0, -s * margin).mean()))
     return machine
