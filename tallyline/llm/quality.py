@@ -8,11 +8,12 @@ distinct bit patterns and their counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import narrow, words_of
+from tallyline.llm.frames import kept_table, narrow, words_of
 
 WINDOW = 5
 #: The rules by the number of their bit; each is true where a document fails it. New rules take the next bits.
@@ -37,6 +38,8 @@ class Policy:
 
 BASE = Policy("base", ("few_words", "repeated_words"))
 STRICT = Policy("1", tuple(name for name, _ in RULES))
+#: Every version of the policy that has been in use.
+POLICIES = [BASE, STRICT, Policy("2", tuple(name for name, _ in RULES if name != "word_length"))]
 
 
 def ledger(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -94,6 +97,20 @@ def _covered(starts: str) -> Column:
     return F.aggregate(starts, none, lambda a, s: F.struct((a["n"] + F.least(F.lit(WINDOW), s - a["last"])).alias("n"), s.alias("last")))["n"]
 
 
+def kept_ledger(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The ledger written as a table: policies and ablations read it, never the texts again."""
+    return kept_table(ledger(docs, text, key), "ledger")
+
+
+def verdicts(rows: DataFrame, policies: list[Policy] = POLICIES) -> DataFrame:
+    """The ledger with a column ``kept_<version>`` for each policy."""
+    return rows.withColumns({f"kept_{p.version}": ~fails(p) for p in policies})
+
+
+def all_ablations(rows: DataFrame, policies: list[Policy] = POLICIES) -> DataFrame:
+    return reduce(DataFrame.unionByName, [ablations(rows, p) for p in policies])
+
+
 def fails(policy: Policy) -> Column:
     """True where a ledger row fails a rule of the policy."""
     return F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) != 0

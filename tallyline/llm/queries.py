@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import conversation_repair, decontamination, exact_dedup, fill_in_middle, languages, packing, quality, secret_scan, simhash, substring_dedup, token_counts, token_shards, url_filter
+from tallyline.llm import conversation_repair, decontamination, exact_dedup, fill_in_middle, labelled_findings, languages, packing, quality, secret_scan, simhash, substring_dedup, token_counts, token_shards, url_filter
 from tallyline.llm.frames import kept_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,17 +137,35 @@ FROM failed
 """
 
 
+@query
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of each policy does, from the stored ledger."""
+    return quality.all_ablations(quality.kept_ledger(table(spark, folder, "documents")))
+
+
+_POLICIES = ", ".join(f"('{p.version}', {p.mask})" for p in quality.POLICIES)
+_RULES = ", ".join(f"('{name}', {1 << bit})" for bit, (name, _) in enumerate(quality.RULES))
+ORACLES["quality_ablations"] = f"""
+SELECT policy, rule, CAST(count(*) FILTER ((b & bit) <> 0) AS BIGINT) AS failed, CAST(count(*) FILTER (b = bit) AS BIGINT) AS failed_alone,
+  CAST(count(*) FILTER ((b & ~bit) = 0) AS BIGINT) AS kept_without
+FROM (SELECT policy, rule, bit, fail_bits & mask AS b FROM ({ORACLES["op10_quality_ledger"]})
+  CROSS JOIN (VALUES {_POLICIES}) AS p(policy, mask) CROSS JOIN (VALUES {_RULES}) AS r(rule, bit) WHERE (mask & bit) <> 0)
+GROUP BY policy, rule
+"""
+
+
 @query
 def op9_forest_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs, trained_forest(docs))
-    return found.select("doc_id", F.explode("secrets").alias("s")).select("doc_id", "s.number", "s.start", "s.secret", "s.score")
+    # from an outer generator no filter on the array is inferred, which would write the scan out once more
+    each = found.select("doc_id", F.explode_outer("secrets").alias("s")).where("s IS NOT NULL")
+    return each.select("doc_id", "s.number", "s.start", "s.secret", "s.score")
 
 
 def trained_forest(docs: DataFrame) -> secret_scan.Forest:
-    """From the findings of these documents whose form settles their label."""
-    labelled = secret_scan.labelled_by_form(secret_scan.findings(docs))
-    return secret_scan.train(labelled, secret_scan.common_words(docs))
+    """From the labelled findings, with the words that are common in these documents."""
+    return secret_scan.train(labelled_findings.labelled(docs.sparkSession), secret_scan.common_words(docs))
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -28,12 +28,14 @@ ASSIGNED = rf"(?i:{NAMES})[\"'`]?[ \t]{{0,2}}(?:=>|:=|[=:])[ \t]{{0,2}}"
 #: looks behind at first spare most places the long ones.
 CANDIDATE = "|".join([
     r"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{0,2}[\"'`]?)(?:" + "|".join([
-        *[rf"(?<={ASSIGNED}{q})[^{q}\r\n]{{6,256}}(?={q})" for q in ("\"", "'", "`")],
+        *[rf"(?<={ASSIGNED}{q})[^{q}\r\n]{{6,}}+(?={q})" for q in ("\"", "'", "`")],
         rf"(?<={ASSIGNED}[\"'`]?)[^\s\"'`<>]{{5,}}[^\s\"'`<>.,;:)\]}}]",
     ]) + ")",
-    r"(?<=:)(?<=://[^\s/?#@:]{0,64}:)[^\s/]+(?=@)",
+    r"(?<=:)(?<=://[^\s/?#@:]{0,1024}:)[^\s/]+(?=@)",
     r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+",
 ])
+#: Words beside what only looks like a secret. Fixed values.
+BENIGN = "commit|merge|revision|rev|parent|tree|blob|sha\\d*|md5|md5sum|checksum|digest|hash|etag|uuid|guid|id|request|base64|image|version|build"
 #: The end of what stands before a password in a URL; the user's name may be cut.
 URL_BEFORE = r"(?:^|//)[^\s/?#@:]*:$"
 #: Signs of text kept from before and after a candidate.
@@ -46,7 +48,7 @@ PLACEHOLDER = "<secret>"
 FEATURES = [
     "length", "digits", "capitals", "class_changes", "digit_letter_changes", "vowel_changes", "distinct_signs", "hex_only", "dictionary",
     "path", "assigned", "quoted", "named", "number_only",
-    "signs", "in_url",
+    "signs", "in_url", "benign",
 ]
 
 
@@ -79,6 +81,7 @@ def features(found: Column, before: Column, after: Column, dictionary: list[str]
         "number_only": flag(found.rlike("^[0-9+-]+$")),
         "signs": share(r"[^A-Za-z0-9\s]"),
         "in_url": flag(before.rlike(URL_BEFORE) & after.startswith("@")),
+        "benign": flag(before.rlike(rf"(?i)\b(?:{BENIGN})(?: of)?\W{{0,4}}$")),
     }
 
 

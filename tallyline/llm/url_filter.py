@@ -1,16 +1,21 @@
 """URL filters by rules and an exact Bloom filter cascade, in DataFrame functions alone.
 
 Level 1 of the cascade is a Bloom filter of the listed keys. Level 2 holds the keys of the universe that level 1 takes
-for listed though they are not, level 3 the listed keys that level 2 takes for those, and so on until no key is taken
-wrongly. For any key of the universe the first level that says no decides, and it is right: membership is exact, tested
-row by row without a join. Levels are arrays of 64-bit words read through scalar subqueries. A filter is kept below
-``FILTER_BYTES``: with more listed keys the keys are dealt by their hash to several cascades.
+for listed though they are not (only what level 1 takes is held against the list), level 3 the listed keys that level 2
+takes for those, and so on until no key is taken wrongly. For any key of the universe the first level that says no
+decides, and it is right: membership is exact, tested row by row without a join. Levels are arrays of 64-bit words read
+through scalar subqueries. A filter is kept below ``FILTER_BYTES``: with more keys, listed or taken wrongly, the keys are
+dealt by their hash to several cascades.
+
+For hosts the keys are domains: the universe has every domain above a host of the corpus that has no more labels than the
+longest listed one, and a host is tested by each of its own.
 """
 
 from __future__ import annotations
 
 import functools
 import math
+import operator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +26,8 @@ from tallyline.llm.frames import kept_table, narrow
 #: (bits for a key, hashes) of the first level and of those after it.
 FIRST_LEVEL, LATER_LEVELS = (10, 7), (4, 3)
 FILTER_BYTES = 16 << 20
+#: The share of unlisted keys that the first level takes, rounded up.
+FIRST_WRONG = 0.01
 MAX_LEVELS = 40
 
 
@@ -31,15 +38,15 @@ class Level:
     hashes: int
     seed: int
 
-    def holds(self, key: str) -> Column:
+    def holds(self, key: Column) -> Column:
         words, found = self.words.scalar(), F.lit(True)
         for at in self.places(key):
             word = F.get(words, F.shiftright(at, 6).cast("int"))
             found = found & (F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1)
         return found
 
-    def places(self, key: str) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.col(key), F.lit(self.seed), F.lit(j)), F.lit(64 * self.n_words)) for j in range(self.hashes)]
+    def places(self, key: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(key, F.lit(self.seed), F.lit(j)), F.lit(64 * self.n_words)) for j in range(self.hashes)]
 
 
 @dataclass
@@ -48,14 +55,15 @@ class Cascade:
 
     parts: list[list[Level]] = field(default_factory=list)
 
-    def listed(self, key: str) -> Column:
+    def listed(self, key: Column | str) -> Column:
         """Whether the key, one of the universe, is listed; null is not."""
-        share = F.pmod(F.xxhash64(F.lit("share"), F.col(key)), F.lit(len(self.parts)))
+        key = F.col(key) if isinstance(key, str) else key
+        share = F.pmod(F.xxhash64(F.lit("share"), key), F.lit(len(self.parts)))
         verdict = functools.reduce(lambda rest, i: F.when(share == i, self._decided(self.parts[i], key)).otherwise(rest), range(len(self.parts)), F.lit(False))
-        return F.coalesce(F.col(key).isNotNull() & verdict, F.lit(False))
+        return F.coalesce(key.isNotNull() & verdict, F.lit(False))
 
     @staticmethod
-    def _decided(levels: list[Level], key: str) -> Column:
+    def _decided(levels: list[Level], key: Column) -> Column:
         """The first level that says no: an odd one means not listed, an even one listed."""
         verdict = F.lit(len(levels) % 2 == 1)
         for number in range(len(levels), 0, -1):
@@ -67,7 +75,7 @@ def _level(keys: DataFrame, n_keys: int, shape: tuple[int, int], seed: int) -> L
     """A Bloom filter of the keys: set bits are put together word by word before and after the shuffle."""
     bits, hashes = shape
     level = Level(None, max(1, math.ceil(n_keys * bits / 64)), hashes, seed)
-    at = keys.select(F.explode(F.array(*level.places("key"))).alias("at"))
+    at = keys.select(F.explode(F.array(*level.places(F.col("key")))).alias("at"))
     set_bits = at.select(F.shiftright("at", 6).alias("i"), F.expr("shiftleft(1L, int(at & 63))").alias("word"))
     empty = keys.sparkSession.range(level.n_words).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("word"))
     words = set_bits.union(empty).groupBy("i").agg(F.bit_or("word").alias("word"))
@@ -78,19 +86,27 @@ def _level(keys: DataFrame, n_keys: int, shape: tuple[int, int], seed: int) -> L
 
 def build_cascade(universe: DataFrame) -> Cascade:
     """universe: every key that will be asked for (``key``, distinct and not null) and whether it is ``listed``."""
-    n_listed = universe.where("listed").count()
-    shares = max(1, math.ceil(n_listed * FIRST_LEVEL[0] / 8 / FILTER_BYTES))
+    return cascade_of(universe.where("listed").select("key"), universe.select("key"))
+
+
+def cascade_of(listed: DataFrame, universe: DataFrame) -> Cascade:
+    """listed: the keys of the list, in the universe or not; universe: every key that will be asked for. Both have distinct keys
+    that are not null, in ``key``."""
+    n_listed, n_asked = listed.count(), universe.count()
+    bits = max(n_listed * FIRST_LEVEL[0], n_asked * FIRST_WRONG * LATER_LEVELS[0])
+    shares = max(1, math.ceil(bits / 8 / FILTER_BYTES))
     cascade = Cascade()
     for share in range(shares):
-        own = universe.where(F.pmod(F.xxhash64(F.lit("share"), F.col("key")), F.lit(shares)) == share)
-        inside, outside = own.where("listed").select("key"), own.where("NOT listed").select("key")
+        inside, asked = (keys.where(F.pmod(F.xxhash64(F.lit("share"), F.col("key")), F.lit(shares)) == share) for keys in (listed, universe))
         levels, n = [], inside.count()
         while n:
             if len(levels) == MAX_LEVELS:
-                raise ValueError("the cascade does not end: the universe holds a key both listed and not listed")
+                raise ValueError("the cascade does not end: the list holds a key that it does not hold")
             levels.append(_level(inside, n, LATER_LEVELS if levels else FIRST_LEVEL, len(levels)))
-            wrong = kept_table(outside.where(levels[-1].holds("key")), "cascade")
-            inside, outside, n = wrong, inside, wrong.count()
+            taken = asked.where(levels[-1].holds(F.col("key")))
+            # after the first level both sides are known: listed keys, and those that it took wrongly
+            wrong = kept_table(taken.join(inside, "key", "left_anti") if len(levels) == 1 else taken, "cascade")
+            inside, asked, n = wrong, inside, wrong.count()
         cascade.parts.append(levels)
     return cascade
 
@@ -116,10 +132,9 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def parent_domains(host: Column) -> Column:
-    """The host and the domains above it."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def parent_domains(host: Column, labels: int) -> list[Column]:
+    """The domains of one to ``labels`` labels above the host, itself included; the host where it has fewer."""
+    return [F.substring_index(host, ".", -n) for n in range(1, labels + 1)]
 
 
 def judge(pages: DataFrame, rules: list[Rule], domains: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
@@ -132,11 +147,15 @@ def judge(pages: DataFrame, rules: list[Rule], domains: DataFrame, url: str = "u
     """
     host, path = split_url(F.col("url"))
     rows = narrow(pages, page_id=key, url=url).withColumns({"host": host, "path": path})
-    hosts = rows.where("host <> ''").select(F.col("host").alias("key")).distinct()
-    below = hosts.select("key", F.explode(parent_domains(F.col("key"))).alias("domain"))
-    hit = below.join(domains.select("domain").distinct(), "domain", "left_semi").select("key").distinct().withColumn("listed", F.lit(True))
-    universe = kept_table(hosts.join(hit, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")), "hosts")
-    listed = build_cascade(universe).listed("host")
+    keys = domains.where("domain <> ''").select(F.col("domain").alias("key")).distinct()
+    labels = keys.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 0
+    listed = F.lit(False)
+    if labels:
+        above = parent_domains(F.col("host"), labels)
+        hosts = rows.where("host <> ''").select("host").distinct()
+        universe = kept_table(hosts.select(F.explode(F.array_distinct(F.array(*above))).alias("key")).distinct(), "domains")
+        cascade = cascade_of(kept_table(keys, "listed"), universe)
+        listed = (F.col("host") != "") & functools.reduce(operator.or_, [cascade.listed(domain) for domain in above])
     rule = verdict = F.lit(None).cast("string")
     for r in sorted(rules, key=lambda r: len(r.text)):  # the last that fits wins
         fits = ((F.col("host") == r.host) | F.endswith("host", F.lit("." + r.host))) & F.startswith("path", F.lit(r.path))

@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from brute import frame, plain_words
-from tallyline.llm import quality, secret_scan, url_filter
+from tallyline.llm import labelled_findings, quality, secret_scan, url_filter
 
 
 def native(df):
@@ -60,6 +60,32 @@ def test_cascade_is_exact(spark):
     assert keys.where(none.listed("key")).count() == 0
 
 
+def test_cascade_of_a_list_and_a_larger_universe(spark):
+    """Thousands of listed keys, some of them never asked for; nothing but what the first level takes is held against the list."""
+    listed = spark.range(0, 9000, 3).select(F.concat(F.lit("host"), "id").alias("key"))
+    universe = spark.range(3000, 30_000).select(F.concat(F.lit("host"), "id").alias("key"))
+    cascade = url_filter.cascade_of(listed, universe)
+    asked = universe.withColumn("said", cascade.listed("key")).join(listed.withColumn("truth", F.lit(True)), "key", "left")
+    assert asked.where("said <> coalesce(truth, false)").count() == 0 and asked.where("said").count() == 2000
+    shares, url_filter.FILTER_BYTES = url_filter.FILTER_BYTES, 40
+    try:
+        few = url_filter.cascade_of(listed.limit(3), universe)
+        assert len(few.parts) == 4  # by what the second level may hold
+    finally:
+        url_filter.FILTER_BYTES = shares
+
+
+def test_many_listed_domains(spark):
+    dice = random.Random(3)
+    name = lambda: ".".join(dice.choice("abcdefgh") + str(dice.randrange(6)) for _ in range(dice.randrange(1, 6)))
+    hosts, domains = [name() for _ in range(3000)], {name() for _ in range(800)}
+    pages = spark.createDataFrame([(i, f"x://{h}/p") for i, h in enumerate(hosts)], "page_id bigint, url string")
+    judged = url_filter.judge(pages, [], spark.createDataFrame([(d,) for d in domains], "domain string"))
+    above = lambda h: {".".join(h.split(".")[i:]) for i in range(h.count(".") + 1)}
+    got = {r["page_id"] for r in judged.where("verdict = 'block'").collect()}
+    assert got == {i for i, h in enumerate(hosts) if above(h) & domains} and 0 < len(got) < len(hosts) and native(judged)
+
+
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"), url_filter.Rule("block", "net", "/x")]
 
 
@@ -125,6 +151,38 @@ def test_short_secrets_and_those_with_signs(spark):
     assert [cut[d] for d in range(5)] == [f.format(secret_scan.PLACEHOLDER) for f in forms]
 
 
+def test_labelled_findings(spark):
+    """Precision and recall over lines that the forest has not seen, half of them hard negatives."""
+    forest = secret_scan.train(labelled_findings.labelled(spark), secret_scan.common_words(labelled_findings.lines(spark)))
+    lines = labelled_findings.lines(spark, 4000, seed=2)
+    found = secret_scan.scan(lines, forest)
+    assert native(found)
+    rows = found.select("value", "is_secret", F.col("secrets.secret").alias("said")).collect()
+    right = sum(r["value"] in r["said"] for r in rows if r["is_secret"])
+    wrong = sum(len(r["said"]) for r in rows if not r["is_secret"])
+    secrets = sum(r["is_secret"] for r in rows)
+    assert 0.3 * len(rows) < secrets < 0.5 * len(rows)
+    print("recall", right / secrets, "precision", right / (right + wrong))
+    assert right >= 0.9 * secrets and right >= 0.95 * (right + wrong)
+    labels = {r["is_secret"]: r["n"] for r in labelled_findings.labelled(spark, 4000, 2).groupBy("is_secret").agg(F.count("*").alias("n")).collect()}
+    assert labels[True] >= 0.95 * secrets and labels[False] >= 0.9 * (len(rows) - secrets)
+
+
+def test_a_scan_stands_in_the_plan_a_few_times(spark, smallest):
+    from tallyline.llm.queries import op9_forest_scan
+
+    plan = op9_forest_scan(spark, smallest)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 6 and "Filter (size" not in plan
+
+
+def test_long_values_and_user_names(spark):
+    always = secret_scan.Forest((secret_scan.Tree(vote=1.0),), ())
+    long, user = "p w " * 400 + "!", "u" * 900
+    rows = [(1, f'password = "{long}" x'), (2, f"see https://{user}:pa55!@host/ x")]
+    got = {r["doc_id"]: [s["secret"] for s in r["secrets"]] for r in secret_scan.scan(frame(spark, rows), always).collect()}
+    assert long in got[1] and "pa55!" in got[2]
+
+
 def test_forest_votes_as_the_model_does(spark):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler

@@ -19,7 +19,7 @@ def test_same_result_as_sql(spark, smallest, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *[f"op{n}" for n in range(1, 11)]}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", "quality", *[f"op{n}" for n in range(1, 14)]}
 
 
 def test_pipeline_against_plain_stages(spark, smallest, tmp_path):
