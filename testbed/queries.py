@@ -20,7 +20,7 @@ from tallyline.operators.reshape import rename_by_position, unpivot_prices
 from tallyline.plans import catalog, loads, reports, schemas
 from tallyline.plans.schemas import declare
 from tallyline.plans.statements import as_events
-from tallyline.settings import shared_dir
+from tallyline.settings import scratch_dir
 from tallyline.sinks import tables as sinks
 from tallyline.sinks.log import append_log, compact_log, read_log
 from tallyline.sources import landed, tables
@@ -241,7 +241,7 @@ def q_delete_where(t: Tables) -> DataFrame:
 
 
 def _new_table(t: Tables, name: str) -> str:
-    return f"{shared_dir(t.spark, 'file:/tmp/checkpoints')}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query

@@ -142,3 +142,16 @@ def test_wallet_tickers_by_type(portfolios):
     assert [r.ticker for r in stocks.collect()] == ["MSFT", "AAPL"]
     etfs = landed.wallet_tickers(portfolios, F.col("stocks.type").isin("ETF", "Index"))
     assert [r.ticker for r in etfs.collect()] == ["SPY"]
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from tallyline.settings import scratch_dir
+
+    def session(master, folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("local[8]", None)).startswith("file:") and scratch_dir(session("spark://host:7077", "s3a://b/c")) == "s3a://b/c"
+    with pytest.raises(ValueError, match="must name a folder"):
+        scratch_dir(session("spark://host:7077", None))
