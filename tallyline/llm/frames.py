@@ -24,7 +24,11 @@ def narrow(docs: DataFrame, **columns: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A new folder's path below the folder that the driver and all executors share."""
-    base = spark.conf.get(CHECKPOINT_DIR, None) or LOCAL_DIR
+    base = spark.conf.get(CHECKPOINT_DIR, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
+        base = LOCAL_DIR
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
