@@ -7,9 +7,9 @@ search: the suffixes that start with it are its occurrences. Matches are followe
 themselves, so an item or a document costs bytes in proportion to its words, however long it is.
 
 The documents stay where they are read: nothing is shuffled, and no document, source or passage can be hot. Only the
-benchmark is sent to the tasks, in blocks of at most ``BLOCK_WORDS`` words that Spark writes to the shared folder; each
-block is one more pass over rows that carry what was found before. A longer item is a block of its own: cut, it would lose
-the length of matches that run over the cut.
+benchmark is sent to the tasks, in blocks of at most ``BLOCK_WORDS`` words that Spark writes to the shared folder. A task
+holds up to ``KEPT_BLOCKS`` of them; of more it reads one after the other for every ``ROUND_BYTES`` of text. A longer item
+is a block of its own: cut, it would lose the length of matches that run over the cut.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else
 END = 0xFFFFFFFF
 #: Windows of the benchmark that are looked up at a time, and numbers compared at a time.
 CHUNK = 1 << 18
+#: Blocks that a worker keeps, and the bytes of text that it holds against all blocks at a time if there are more.
+KEPT_BLOCKS, ROUND_BYTES = 3, 64 << 20
 _PREPARED: dict[str, "Block"] = {}
 FOUND = "struct<n_words:bigint,hits:array<struct<start:int,stop:int>>,items:array<bigint>,longest:int>"
 
@@ -228,28 +230,45 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: st
     with a null id hits words like any other and is left out of ``items``. All columns of the documents are kept, but for one named as ``into``, which is replaced.
     """
     items = benchmark.select(F.col(f"`{item}`").cast("bigint").alias("item"), F.col("text").alias("text")).where("text IS NOT NULL")
-    found = docs.withColumn(into, F.lit(None).cast(FOUND))
-    for path in _blocks(items, block_words) or [None]:
-        found = found.withColumn(into, _pass(path, window)(F.col(f"`{text}`"), F.col(into)))
-    return found
-
-
-def _pass(path: str | None, window: int):
-    name = f"{path} {window}"
-
-    def look(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        if name not in _PREPARED:  # a worker prepares a block once for all its tasks
-            _PREPARED.clear()
-            _PREPARED[name] = Block(_items(path) if path else [], window)
-        for texts, before in batches:
-            rows = pa.RecordBatch.from_arrays([texts, before], ["text", "found"])
-            parts = []
-            for part in slices([rows], 0):
-                earlier = part.column(1).to_pylist()
-                parts += [_joined(new, old) for new, old in zip(_PREPARED[name].search(part.column(0).to_pylist()), earlier, strict=True)]
-            yield pa.array(parts, texts_type)
-
-    texts_type = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.int64())), ("longest", pa.int32())])
+    return docs.withColumn(into, _pass(_blocks(items, block_words), window)(F.col(f"`{text}`")))
+
+
+def _pass(paths: list[str], window: int):
+    def prepared(path: str) -> Block:
+        """A worker prepares a block once for all its tasks, if there are few."""
+        name = f"{path} {window}"
+        if name not in _PREPARED:
+            while len(_PREPARED) >= KEPT_BLOCKS:
+                _PREPARED.pop(next(iter(_PREPARED)))
+            _PREPARED[name] = Block(_items(path), window)
+        return _PREPARED[name]
+
+    def searched(texts: list[pa.Array]) -> Iterator[pa.Array]:
+        parts = [part.column(0).to_pylist() for one in texts for part in slices([pa.RecordBatch.from_arrays([one], ["text"])], 0)]
+        found: list[list] = [[None] * len(part) for part in parts]
+        if not paths:
+            found = [[_joined((len(words(t)), [], set(), 0), None) for t in part] for part in parts]
+        for path in paths:
+            block = prepared(path)
+            found = [[_joined(new, old) for new, old in zip(block.search(part), before, strict=True)] for part, before in zip(parts, found, strict=True)]
+        rows, at = [r for part in found for r in part], 0
+        for one in texts:
+            yield pa.array(rows[at : at + len(one)], kind)
+            at += len(one)
+
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held: list[pa.Array] = []
+        size = 0
+        for texts in batches:
+            held.append(texts)
+            size += texts.nbytes
+            if len(paths) <= KEPT_BLOCKS or size >= ROUND_BYTES:
+                yield from searched(held)
+                held, size = [], 0
+        if held:
+            yield from searched(held)
+
+    kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.int64())), ("longest", pa.int32())])
     return F.arrow_udf(look, FOUND, F.ArrowUDFType.SCALAR_ITER)
 
 
