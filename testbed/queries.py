@@ -87,8 +87,9 @@ def q_run_log_compacted(t: Tables) -> DataFrame:
     columns = {"run_id": F.col("user_id").cast("string"), "tier": F.col("event_type"), "inserted": F.col("event_id"), "started_at": at, "logged_at": at}
     schema = tables.empty_table(t.spark, LOG_SCHEMA).schema
     log = t.events.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
-    for part in (F.col("inserted") % 2 == 0, F.col("inserted") % 2 == 1):
-        append_log(log.where(part), path)
+    paid = F.col("tier") == "purchase"
+    for part in (log.where(paid), log.where(~paid)):
+        append_log(part, path)
     for _ in range(2):
         compact_log(t.spark, path, date(2024, 1, 31))
     return read_log(t.spark, path).select("run_id", "tier", "inserted", "logged_day")
