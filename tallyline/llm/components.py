@@ -15,7 +15,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links``: columns a and b; repeated links and loops do no harm. A round tells every node of the least node among its
     neighbours; the number of rounds grows with the logarithm of the longest chain. Neighbours are never gathered: a
-    round takes minima and joins, and each round's links are written to the shared folder.
+    round takes minima, which combine before the shuffle, and joins links with them. Both sides of a join are tables in the
+    shared folder, one row a node on one of them, so Spark can split the links of a hub over many tasks.
     """
     now = kept_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "star")
     before = None
@@ -25,11 +26,11 @@ def components(links: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = kept_table(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star-least")
         # large star: greater neighbours go to the least of all
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = kept_table(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star-large")
         # small star: smaller neighbours and the node itself go to the least of them
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = kept_table(large.groupBy("u").agg(F.min("v").alias("m")), "star-small")
         moved = large.join(small, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = kept_table(moved.union(small.select("u", F.col("m").alias("v"))).distinct(), "star")
     raise RuntimeError(f"components are not found after {MAX_ROUNDS} rounds")
