@@ -156,38 +156,39 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def messages(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Distinct rows, in the shared folder: conv, turn, role, text, digest, copies, and their first fault: 'blank', 'duplicate',
-    'truncated' or ''. All copies of a row but its first are duplicates too, unless blank."""
+    """Distinct rows, in the shared folder: conv, turn, role, text, digest, copies, and what the text's end says: 'blank',
+    'truncated' or ''."""
     own = narrow(rows, conv=conversation, turn=turn, role=role, text=text)
     own = own.withColumns({"role": F.coalesce("role", F.lit(" ")), "text": F.coalesce("text", F.lit(" "))})
     once = own.groupBy("conv", "turn", "role", "text").agg(F.count("*").alias("copies"))
-    seen = kept_table(once.withColumn("digest", F.unhex(F.sha2("text", 256))), "messages")
+    body = F.rtrim(F.col("text"), F.lit(SPACE))
+    end = F.when(body == "", "blank").when(~F.right(body, F.lit(1)).isin(".", "!", "?"), "truncated").otherwise("")
+    return kept_table(once.withColumns({"digest": F.unhex(F.sha2("text", 256)), "end": end}), "messages")
+
+
+def judged(found: DataFrame) -> DataFrame:
+    """The messages without their texts, and the first fault of each: 'blank', 'duplicate', 'truncated' or ''. All copies of a row
+    but its first are duplicates too, unless blank."""
+    slim = found.select("conv", "turn", "role", "digest", "copies", "end")
     first = F.min(F.struct(F.col("turn").isNotNull().alias("known"), "turn")).alias("first")
-    firsts = seen.groupBy("conv", "role", "digest").agg(first).select(
+    firsts = slim.groupBy("conv", "role", "digest").agg(first).select(
         F.col("conv").alias("c"), F.col("first.turn").alias("t"), F.col("role").alias("r"), F.col("digest").alias("d"), F.lit(True).alias("is_first")
     )
     on = F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")) & (F.col("role") == F.col("r")) & (F.col("digest") == F.col("d"))
-    marked = seen.join(firsts, on, "left").drop("c", "t", "r", "d")
-    body = F.rtrim(F.col("text"), F.lit(SPACE))
-    fault = (
-        F.when(body == "", "blank")
-        .when(F.col("is_first").isNull(), "duplicate")
-        .when(~F.right(body, F.lit(1)).isin(".", "!", "?"), "truncated")
-        .otherwise("")
-    )
-    return kept_table(marked.withColumn("fault", fault).drop("is_first"), "judged")
+    fault = F.when(F.col("end") == "blank", "blank").when(F.col("is_first").isNull(), "duplicate").otherwise(F.col("end"))
+    return kept_table(slim.join(firsts, on, "left").withColumn("fault", fault).drop("c", "t", "r", "d", "is_first", "end"), "judged")
 
 
 ORDER = ["conv", "turn", "role", "digest"]
 
 
-def _pieces(judged: DataFrame, kind: str) -> DataFrame:
+def _pieces(rows: DataFrame, kind: str) -> DataFrame:
     """Of each conversation one row for each task that has rows of it: illegal neighbours, first and last letter, and the cheapest
     paths between states of the grammar; a conversation that lies on one task alone needs that from start to end only."""
     schema = f"conv {kind}, part int, illegal bigint, first string, last string, options array<struct<entry:int,exit:int,cost:bigint,audit:string>>, whole boolean"
     letter = F.when(F.col("role") == "", "-").otherwise(F.substring("role", 1, 1))
-    slim = judged.select(*ORDER, letter.alias("letter"), "copies", "fault")
-    dealt = slim.repartitionByRange(shuffle_partitions(judged.sparkSession), *ORDER).sortWithinPartitions(*ORDER).select("conv", "letter", "copies", "fault")
+    slim = rows.select(*ORDER, letter.alias("letter"), "copies", "fault")
+    dealt = slim.repartitionByRange(shuffle_partitions(rows.sparkSession), *ORDER).sortWithinPartitions(*ORDER).select("conv", "letter", "copies", "fault")
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -222,7 +223,7 @@ def _pieces(judged: DataFrame, kind: str) -> DataFrame:
             yield flush(held, False)
 
     fields = pa.schema([
-        ("conv", _arrow(judged, "conv")), ("part", pa.int32()), ("illegal", pa.int64()), ("first", pa.string()), ("last", pa.string()),
+        ("conv", _arrow(rows, "conv")), ("part", pa.int32()), ("illegal", pa.int64()), ("first", pa.string()), ("last", pa.string()),
         ("options", pa.list_(pa.struct([("entry", pa.int32()), ("exit", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))),
         ("whole", pa.bool_()),
     ])
@@ -264,11 +265,11 @@ def _whole(conv, parts: list[dict]) -> tuple:
     return conv, illegal, costs[0], "".join(audit) + END_AUDITS[state]
 
 
-def repairs(judged: DataFrame) -> DataFrame:
-    """One row for each conversation with a row in ``judged`` (``messages``): conv, gaps in its turns, blank, duplicate and
+def repairs(found: DataFrame) -> DataFrame:
+    """One row for each conversation with a row in ``found`` (``messages``): conv, gaps in its turns, blank, duplicate and
     truncated rows, illegal neighbours, the cost of the repair and its audit. ``gaps`` is null if it does not fit a long."""
-    kind = judged.schema["conv"].dataType.simpleString()
-    audits = kept_table(_joined(kept_table(_pieces(judged, kind), "pieces"), kind), "audits")
+    kind, rows_judged = found.schema["conv"].dataType.simpleString(), judged(found)
+    audits = kept_table(_joined(kept_table(_pieces(rows_judged, kind), "pieces"), kind), "audits")
     turn = F.col("turn").cast("decimal(38,0)")
     gaps = F.coalesce(F.max(turn) - F.min(turn) + 1 - F.count_distinct("turn"), F.lit(0).cast("decimal(38,0)"))
     more = F.col("copies") - 1
@@ -279,7 +280,7 @@ def repairs(judged: DataFrame) -> DataFrame:
             return F.sum(F.when(F.col("fault") == "duplicate", F.col("copies")).when(F.col("fault") != "blank", more).otherwise(0))
         return F.sum(F.when(F.col("fault") == fault, F.col("copies") if fault == "blank" else F.lit(1)).otherwise(F.lit(0)))
 
-    counted = judged.groupBy("conv").agg(
+    counted = rows_judged.groupBy("conv").agg(
         gaps.try_cast("bigint").alias("gaps"), *[rows(f).cast("bigint").alias(f) for f in ("blank", "duplicate", "truncated")]
     )
     return counted.join(audits, counted["conv"].eqNullSafe(audits["conv"])).select(
@@ -287,21 +288,21 @@ def repairs(judged: DataFrame) -> DataFrame:
     )
 
 
-def repaired(judged: DataFrame, audits: DataFrame) -> DataFrame:
-    """The turns of the repaired conversations: conv, place (from 0), role, text. Rows come in order within each conversation,
-    and a conversation's rows are all in one partition."""
-    kind = judged.schema["conv"].dataType.simpleString()
+def repaired(found: DataFrame, audits: DataFrame) -> DataFrame:
+    """The turns of the repaired conversations: conv, place (from 0), role, text, from their messages and audits. Rows come in
+    order within each conversation, and a conversation's rows are all in one partition."""
+    kind = found.schema["conv"].dataType.simpleString()
     none = lambda t: F.lit(None).cast(t)
-    turn = judged.schema["turn"].dataType
-    rows = judged.select("conv", F.lit(1).alias("kind"), "turn", "role", "digest", "text", "copies").union(
+    turn = found.schema["turn"].dataType
+    rows = found.select("conv", F.lit(1).alias("kind"), "turn", "role", "digest", "text", "copies").union(
         audits.select("conv", F.lit(0), none(turn), none("string"), none("binary"), F.col("audit"), F.lit(1).cast("bigint"))
     )
-    fields = pa.schema([("conv", _arrow(judged, "conv")), ("place", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    fields = pa.schema([("conv", _arrow(found, "conv")), ("place", pa.int64()), ("role", pa.string()), ("text", pa.string())])
 
     def edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches((row for conv, members in _grouped(batches, text=5) for row in _edited(conv, members)), fields)
 
-    dealt = rows.repartition(shuffle_partitions(judged.sparkSession), "conv").sortWithinPartitions("conv", "kind", "turn", "role", "digest")
+    dealt = rows.repartition(shuffle_partitions(found.sparkSession), "conv").sortWithinPartitions("conv", "kind", "turn", "role", "digest")
     return dealt.mapInArrow(edited, f"conv {kind}, place bigint, role string, text string")
 
 

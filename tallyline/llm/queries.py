@@ -237,9 +237,9 @@ FROM cut
 @query
 def op13_deepening_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations")
-    judged = conversation_repair.messages(conversation_repair.damaged(rows))
-    found = kept_table(conversation_repair.repairs(judged), "repairs")
-    hashes = conversation_repair.line_digests(conversation_repair.repaired(judged, found))
+    messages = conversation_repair.messages(conversation_repair.damaged(rows))
+    found = kept_table(conversation_repair.repairs(messages), "repairs")
+    hashes = conversation_repair.line_digests(conversation_repair.repaired(messages, found))
     ids = rows.select("conv_id").distinct()
     joined = ids.join(found, ids["conv_id"].eqNullSafe(found["conv"]), "left").drop("conv")
     joined = joined.join(hashes, joined["conv_id"].eqNullSafe(hashes["conv"]), "left")
