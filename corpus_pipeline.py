@@ -22,8 +22,6 @@ from tallyline.llm.frames import scratch_path
 from tallyline.llm.queries import SIMHASH_DISTANCE, SIMHASH_SHINGLE, learned_languages, table, trained_forest
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose language is less sure than this is rejected.
-LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -32,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     if not model.families:
         return docs.select(COLUMNS)
     found = docs.withColumn("__lang", languages.predicted(model, spark, F.col("text")))
-    return found.where((F.col("__lang.lang") != languages.UNDETERMINED) & (F.col("__lang.score") >= LEAST_SCORE)).select(COLUMNS)
+    return found.where(F.col("__lang.lang") != languages.UNDETERMINED).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
