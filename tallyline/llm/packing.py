@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyline.llm.frames import kept_table, narrow, slices
-from tallyline.llm.piecewise import encoder
+from tallyline.llm.piecewise import REMEMBERED, encoder
 
 ROOM = 4096
 OPEN_BINS = 512
@@ -69,10 +69,10 @@ class OpenBins:
 
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int, spaces_kept: bool = False, room: int = ROOM, open_bins: int = OPEN_BINS,
-    text: str = "text", key: str = "doc_id", with_ids: bool = False,
+    text: str = "text", key: str = "doc_id", with_ids: bool = False, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row for each piece of each document: its place in the document, in a sequence, and a checksum of its ids
-    (``with_ids``: and the ids). Only documents longer than ``room`` are cut, into pieces of ``room`` and a last shorter
+    (``with_ids``: and the ids). A worker remembers the ids of ``remembered`` pieces of text. Only documents longer than ``room`` are cut, into pieces of ``room`` and a last shorter
     one.
 
     Null and empty texts are the end id alone; a null key stays null; repeated rows are packed each for itself; an empty
@@ -89,7 +89,7 @@ def pack(
     kinds = [to_arrow_type(docs.schema[key].dataType), pa.int32(), *[pa.int64()] * 5, *[pa.binary()] * with_ids]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, encode = OpenBins(room, open_bins), encoder(tokenizer, spaces_kept).encode
+        bins, encode = OpenBins(room, open_bins), encoder(tokenizer, spaces_kept, remembered).encode
         first = TaskContext.get().partitionId() << 40
         held: dict[int, list[tuple]] = {}
         done: list[tuple] = []

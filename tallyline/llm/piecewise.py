@@ -125,6 +125,6 @@ def _regular(part: bytes) -> bool:
 
 
 @cache
-def encoder(path: str, spaces_kept: bool) -> PiecewiseEncoder:
+def encoder(path: str, spaces_kept: bool, remembered: int = REMEMBERED) -> PiecewiseEncoder:
     """One for each worker."""
-    return PiecewiseEncoder(path, spaces_kept)
+    return PiecewiseEncoder(path, spaces_kept, remembered)
