@@ -22,6 +22,8 @@ from tallyline.llm.frames import scratch_path
 from tallyline.llm.queries import SIMHASH_DISTANCE, SIMHASH_SHINGLE, learned_languages, table, trained_forest
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Pieces of text that a packing worker remembers: fewer than by default, beside what the stages before leave in memory.
+REMEMBERED = 500_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -52,7 +54,7 @@ def secret_removal(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The pieces of the documents in sequences of 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
