@@ -354,7 +354,8 @@ def damaged(rows: DataFrame) -> DataFrame:
     """Conversations with faults put in by the checksum of ``conv_id:turn``, nulls being one space: of twenty, one row is dropped,
     one loses its text, one its sentence ends, one is repeated, one becomes the user's."""
     plain = narrow(rows, conv_id="conv_id", turn="turn", role="role", text="text")
-    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(":") for c in ("conv_id", ":", "turn")])
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    key = F.concat(conv, F.lit(":"), turn)
     what, text = F.crc32(key) % 20, F.coalesce("text", F.lit(" "))
     return plain.withColumn("what", what).where("what <> 0").select(
         "conv_id", "turn",

@@ -24,6 +24,8 @@ STARTS = re.compile(rb"(?=[ \n]" + SOLID + rb")")
 IRREGULAR = {b""} | {bytes([b]) for b in range(256) if not re.match(SOLID, bytes([b]))}
 #: Signs that may end a word; runs of them are pre-tokens of their own. Byte-level models write a space as another sign.
 CLOSING, SPACE = b"!,.:;?", "\u0120"
+#: Parts whose ids are gathered at a time; runs of closing signs that are remembered.
+GATHERED, MOST_CLOSINGS = 1 << 18, 10_000
 #: Before a text's first part; a text that holds it is cut another way.
 HEAD = b"\x00"
 #: Stands for such a text: no regular part is empty.
@@ -68,10 +70,14 @@ class PiecewiseEncoder:
         ids = np.frombuffer(b"".join(filter(None, found)), "<u4")
         sizes = np.fromiter((len(f) // 4 if f else 0 for f in found), np.int64, len(found))
         begins, number = np.cumsum(sizes) - sizes, parts.indices.to_numpy()
-        sizes_of, last = sizes[number], np.cumsum([line.count(b" ") + 1 for line in lines])
-        ends = np.cumsum(sizes_of)
-        all_ids = ids[np.repeat(begins[number] - ends + sizes_of, sizes_of) + np.arange(ends[-1])].tobytes()
-        stops = (4 * ends[last - 1]).tolist()
+        gathered = []
+        for at in range(0, len(number), GATHERED):
+            some = number[at : at + GATHERED]
+            n = sizes[some]
+            ends = np.cumsum(n)
+            gathered.append(ids[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])].tobytes())
+        all_ids, last = b"".join(gathered), np.cumsum([line.count(b" ") + 1 for line in lines])
+        stops = (4 * np.cumsum(sizes[number])[last - 1]).tolist()
         out = [all_ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
         unsure = np.fromiter((f is None for f in found), bool, len(found))
         if unsure.any():  # a part's start is not surely a pre-token's start
@@ -107,6 +113,8 @@ class PiecewiseEncoder:
             if len(word) < len(part):
                 closing = part[len(word) :]
                 if closing not in closings:
+                    if len(closings) == MOST_CLOSINGS:
+                        closings.clear()
                     closings[closing] = self._ids([closing])[0]
                 ids += closings[closing]
             known[part] = ids

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from brute import frame
-from tallyline.llm import packing, token_shards
+from tallyline.llm import packing, piecewise, token_shards
 from tallyline.llm.piecewise import PiecewiseEncoder
 from tallyline.llm.token_counts import UnigramCounter, token_counts
 
@@ -51,6 +51,19 @@ def test_pieces_give_the_ids_of_any_text(text):
         assert array.array("I", encoder.encode([text])[0]).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_few_pieces_remembered_and_many_parts(whole, path, monkeypatch):
+    """Pieces that are forgotten and met again, runs of closing signs, texts of more parts than are gathered at a time."""
+    monkeypatch.setattr(piecewise, "GATHERED", 7)
+    monkeypatch.setattr(piecewise, "MOST_CLOSINGS", 2)
+    dice, own = random.Random(5), PiecewiseEncoder(path, path == BYTES, 20)
+    texts = [" ".join("".join(dice.choices("abcXY", k=dice.randrange(1, 5))) + "".join(dice.choices(".,!", k=dice.randrange(4))) for _ in range(dice.randrange(60))) for _ in range(200)]
+    for at in range(0, 200, 9):
+        assert [array.array("I", x).tolist() for x in own.encode(texts[at : at + 9])] == [whole(path, t) for t in texts[at : at + 9]]
+        assert len(own.earlier) < 1000
+    assert own.encode([]) == [] and own.encode([None, ""]) == [b"", b""]
+
+
 ROWS = [(5, "one two"), (3, None), (9, "x " * 9000), (4, ""), (None, "no key"), (7, "same"), (7, "same"), (7, "other"), (1, "<|endoftext|>")]
 
 
