@@ -7,13 +7,15 @@ points it passes over. The place of a cut is found from the top lane down by add
 units passed over, and gives the exact code point.
 
 A null text is empty. Empty texts, and those that hold a mark themselves, stay plain. A text's cuts depend on its doc_id
-alone, so repeated rows get the same result; a null doc_id counts as an empty one. Very long texts take eight bytes a unit.
+alone, so repeated rows get the same result; a null doc_id counts as an empty one. Very long texts take eight bytes a unit of
+a pattern, and four bytes a unit for the lanes.
 An empty table gives no rows, and columns of the documents may have any names.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -29,32 +31,31 @@ RESULT = "n bigint, form string, prefix_chars bigint, middle_chars bigint, outpu
 #: A node is in the next lane if so many bits of its hash are zero.
 LANE_BITS = 3
 MIX = np.uint64(0x9E3779B97F4A7C15)
-#: A lane of up to so many links has no lane above it.
-TOP = 16
+#: A lane of up to so many nodes has no lane above it; nodes that are hashed at a time.
+TOP, CHUNK = 16, 1 << 16
 
 
 class SkipList:
-    """Units by their rank. ``ends``: for each unit, how many code points it and those before it have."""
+    """Units by their rank. ``ends``: for each unit, how many code points it and those before it have; a range if each has one.
 
-    def __init__(self, ends: np.ndarray):
-        self.units, self.chars = len(ends), int(ends[-1]) if len(ends) else 0
-        #: Of each lane from the lowest: the links' widths in units and in code points, and the links' places in the lane below.
+    The lowest lane is ``ends`` itself; ``lanes`` are those above it, each with its links' widths in units and in code points and
+    its nodes' places in the lane below."""
+
+    def __init__(self, ends: np.ndarray | range):
+        self.ends, self.units = ends, len(ends)
+        self.chars = int(ends[-1]) if len(ends) else 0
         self.lanes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        # nodes by the units before them; the list's head is node 0, its end the last
-        nodes = np.arange(len(ends) + 1)
-        before = np.concatenate([np.zeros(1, np.int64), ends])
+        # a node is the number of units before it; the list's head is node 0, its end the last
+        nodes = np.concatenate([_promoted(np.arange(at, min(at + CHUNK, self.units + 1)), 0, self.units) for at in range(0, self.units + 1, CHUNK)])
         places = nodes
-        mixed = (nodes.astype(np.uint64) * MIX) >> np.uint64(20)
-        while True:
-            self.lanes.append((np.diff(nodes), np.diff(before[nodes]), places))
+        while self.units > TOP and (not self.lanes or len(nodes) < len(self.lanes[-1][0]) + 1):
+            before = nodes if isinstance(ends, range) else np.where(nodes > 0, ends[nodes - 1], 0)
+            self.lanes.append((np.diff(nodes), np.diff(before), places))
             if len(nodes) <= TOP:
                 return
-            up = (mixed & np.uint64((1 << LANE_BITS) - 1)) == 0
-            up[0] = up[-1] = True
-            places = np.flatnonzero(up)
-            if len(places) == len(nodes):
-                return
-            nodes, mixed = nodes[places], mixed[places] >> np.uint64(LANE_BITS)
+            above = _promoted(nodes, len(self.lanes), self.units)
+            places = np.searchsorted(nodes, above)
+            nodes = above
 
     def chars_before(self, rank: int) -> int:
         """Code points of the first ``rank`` units."""
@@ -65,17 +66,26 @@ class SkipList:
                 chars += int(char_widths[at])
                 at += 1
             at = int(places[at])
+        while units < rank:
+            chars += int(self.ends[units]) - (int(self.ends[units - 1]) if units else 0)
+            units += 1
         return chars
 
 
-def unit_ends(text: str, pattern: re.Pattern | None) -> np.ndarray:
+def _promoted(nodes: np.ndarray, lane: int, last: int) -> np.ndarray:
+    """Of a lane's nodes those that are in the next one too: about one in eight by a hash, and the ends."""
+    mixed = (nodes.astype(np.uint64) * MIX) >> np.uint64(20 + lane * LANE_BITS)
+    return nodes[((mixed & np.uint64((1 << LANE_BITS) - 1)) == 0) | (nodes == 0) | (nodes == last)]
+
+
+def unit_ends(text: str, pattern: re.Pattern | None) -> np.ndarray | range:
     """Where the units of a text end, in code points; without a pattern every code point is one."""
     if pattern is None:
-        return np.arange(1, len(text) + 1, dtype=np.int64)
-    ends = [m.end() for m in pattern.finditer(text) if m.end() > m.start()]
+        return range(1, len(text) + 1)
+    ends = array("q", (m.end() for m in pattern.finditer(text) if m.end() > m.start()))
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
-    return np.array(ends, np.int64)
+    return np.frombuffer(ends, np.int64) if ends else np.array([], np.int64)
 
 
 @dataclass(frozen=True)

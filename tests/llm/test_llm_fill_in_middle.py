@@ -47,6 +47,19 @@ def test_skip_list_reaches_every_rank(n):
 def test_long_lists_have_few_links_to_follow():
     held = fim.SkipList(np.arange(1, 1_000_001))
     assert 4 <= len(held.lanes) <= 8 and len(held.lanes[-1][0]) <= fim.TOP
+    assert held.chars_before(777_777) == 777_777
+
+
+def test_very_long_texts_cost_few_bytes_a_sign():
+    import tracemalloc
+
+    text = "ab " * 1_000_000
+    tracemalloc.start()
+    n, form, a, b, output = fim.transformed(text, (123_456_789, 987_654_321, 5, 50), fim.Shares())
+    assert (n, form) == (3_000_000, fim.PSM) and fim.restored(output, form) == text
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(text)
 
 
 @given(TEXTS, DRAWS)
