@@ -11,13 +11,14 @@ import os
 import re
 from array import array
 from functools import cache
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers at most; about 200 bytes each. Those not met for half as many others are forgotten.
-REMEMBERED = 1_500_000
+REMEMBERED = 2_000_000
 #: First bytes of characters that are surely not white space: ASCII signs, and lead bytes of blocks without white space.
 SOLID = rb"[\x21-\x7e\xc3-\xdf\xe0\xe4-\xf4]"
 STARTS = re.compile(rb"(?=[ \n]" + SOLID + rb")")
@@ -62,13 +63,18 @@ class PiecewiseEncoder:
         data = [(t or "").encode() for t in texts]
         lines = [self._line(d) for d in data]
         parts = pc.split_pattern(pa.array([b" ".join(lines)], pa.large_binary()), " ").values.dictionary_encode()
-        distinct = parts.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.known]
-        self.known.update((p, self.earlier[p]) for p in new if p in self.earlier)
-        self._learn([p for p in new if p not in self.earlier])
-        found = [self.known[p] for p in distinct]
-        ids = np.frombuffer(b"".join(filter(None, found)), "<u4")
-        sizes = np.fromiter((len(f) // 4 if f else 0 for f in found), np.int64, len(found))
+        _, places, raw = parts.dictionary.buffers()
+        raw, places = raw.to_pybytes(), np.frombuffer(places, np.int64, len(parts.dictionary) + 1).tolist()
+        distinct = [raw[a:b] for a, b in pairwise(places)]
+        new = list(filterfalse(self.known.__contains__, distinct))
+        self._learn(list(filterfalse(self.earlier.__contains__, new)))
+        self.known.update((p, self.earlier[p]) for p in new if p not in self.known)
+        found = list(map(self.known.__getitem__, distinct))
+        unsure = np.fromiter((f is None for f in found), bool, len(found)) if None in found else None
+        if unsure is not None:
+            found = [f or b"" for f in found]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begins, number = np.cumsum(sizes) - sizes, parts.indices.to_numpy()
         gathered = []
         for at in range(0, len(number), GATHERED):
@@ -79,8 +85,7 @@ class PiecewiseEncoder:
         all_ids, last = b"".join(gathered), np.cumsum([line.count(b" ") + 1 for line in lines])
         stops = (4 * np.cumsum(sizes[number])[last - 1]).tolist()
         out = [all_ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
-        unsure = np.fromiter((f is None for f in found), bool, len(found))
-        if unsure.any():  # a part's start is not surely a pre-token's start
+        if unsure is not None:  # a part's start is not surely a pre-token's start
             for i in np.unique(np.searchsorted(last, np.flatnonzero(unsure[number]), "right")).tolist():
                 out[i] = b"".join(self._ids([p for p in STARTS.split(data[i]) if p]))
         return out
@@ -101,10 +106,10 @@ class PiecewiseEncoder:
         if not self.spaces_kept:
             known[b""] = b""  # between two white spaces
             new = [p for p in new if p]
-        else:
-            known.update((p, None) for p in new if not _regular(p))
-            new = [p for p in new if _regular(p)]
         for part in new:
+            if self.spaces_kept and not _regular(part):
+                known[part] = None
+                continue
             word = part.rstrip(CLOSING)
             if not word.isalpha():  # of bytes: ASCII letters only
                 rest.append(part)
