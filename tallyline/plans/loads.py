@@ -1,8 +1,9 @@
 """Whole loads: landed rows into the raw, cleaned and serving tables.
 
 Each tier is written, read back, and only then used for the next, so a load has no long
-lineage: a lost executor costs one tier's tasks. A load logs its start, every table it
-changes, and how it ended.
+lineage: a lost executor costs one tier's tasks. What has landed is written once, and a load
+reads that: many steps need it, and each would make it anew from where it comes from. A load
+logs its start, every table it changes, and how it ended.
 """
 
 from __future__ import annotations
@@ -134,16 +135,22 @@ class Warehouse:
         return compact_log(self.spark, self.path(AUDIT, "run_log"), self.as_of)
 
     @contextmanager
-    def run(self, table: str, landed: DataFrame, source: tuple[str | None, str | None, str | None] = (None, None, None)) -> Iterator[None]:
-        """Logs that a load has started, and how it ended; a failure goes on."""
+    def run(
+        self, table: str, landed: DataFrame, source: tuple[str | None, str | None, str | None] = (None, None, None), columns: Sequence[str] | None = None
+    ) -> Iterator[DataFrame]:
+        """Logs that a load has started, and how it ended; a failure goes on. Gives the landed rows (all columns, or those named) as
+        a table that is written once."""
         started = _now()
         self.log("load", table, started, status=STARTED, source=source)
         try:
-            yield
+            with staging(self.spark, self.path(RAW, table)) as stage:
+                staged = stage.keep(landed if columns is None else landed.select(*columns))
+                yield staged
+                arrived = staged.count()
         except Exception as failure:
             self.log("load", table, started, status=FAILED, source=source, message=f"{type(failure).__name__}: {failure}"[:500])
             raise
-        self.log("load", table, started, status=DONE, source=source, source_rows=landed.count())
+        self.log("load", table, started, status=DONE, source=source, source_rows=arrived)
 
 
 Source = tuple[str | None, str | None, str | None]
@@ -158,7 +165,7 @@ def load_prices(w: Warehouse, landed: DataFrame, start_load: date | None = None,
     day gets those of a feed that goes back to the first. ``start_load`` widens the update window back to that day, to
     correct or reload history. After a load that failed, and for tickers without a state, all stored days are read.
     """
-    with w.run("prices", landed, source):
+    with w.run("prices", landed, source) as landed:
         _load_prices(w, landed, start_load)
 
 
@@ -255,7 +262,7 @@ def load_statement(w: Warehouse, landed: DataFrame, kind: str, source: Source =
     no further, as values are declared not null.
     """
     schema = {"income": schemas.INCOME, "balance": schemas.BALANCE}[kind]
-    with w.run(kind, landed, source):
+    with w.run(kind, landed, source) as landed:
         w.merge(landed, RAW, kind, STATEMENT_KEYS, differs(["Value"]), "ymd")
         cleaned = clean_statement(landed.where("Value IS NOT NULL"), schema)
         keys = ["ticker", f"{kind}_description", f"{kind}_report_date", f"{kind}_period"]
@@ -273,7 +280,7 @@ def load_rates(
     """Interest rates from the day last loaded on, or from the first day of all loads; ``monthly`` keeps the last rate of each
     month. What can't be read goes to a table of rejects beside the raw one, the day's rejects anew on every run."""
     kind, day, value, _ = raw_schema.fieldNames()
-    with w.run(table, landed, source):
+    with w.run(table, landed, source) as landed:
         rejects = rejected_rates(landed, kind, day, value, pattern)
         write_table(rejects, w.path(RAW, f"{table}_rejects"), "ymd", "overwrite", partitionOverwriteMode="dynamic")
         rates = usable_rates(clean_rates(landed, kind, day, value, pattern))
@@ -304,8 +311,7 @@ def load_profiles(w: Warehouse, landed: DataFrame, source: Source = UNNAMED) ->
     key = "uuid" if "uuid" in landed.columns else "ticker"
     raw_schema = StructType([f for f in schemas.PROFILE_RAW if f.name in names])
     target = StructType([schemas.PROFILE.fields[schemas.PROFILE_RAW.fieldNames().index(n)] for n in names])
-    with w.run("profile", landed, source):
-        raw = landed.select(*names)
+    with w.run("profile", landed, source, names) as raw:
         w.merge(raw, RAW, "profile", [key], differs(names, exclude=[key]), "ymd")
         raw = or_latest_partition(raw, w.read(RAW, "profile").select(*names))
         named = rename_by_position(raw, raw_schema, target)
